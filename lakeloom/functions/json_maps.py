@@ -34,9 +34,11 @@ def json_map_totals(df: DataFrame, column: str, value_type: str = "double") -> D
     Malformed documents, and those with a value that is no number, add nothing and are counted;
     null documents are only left out.
     """
-    total = map_total(F.from_json(F.col(column), f"map<string,{value_type}>"), value_type)
+    parsed = F.from_json(F.col(column), f"map<string,{value_type}>")
     return (
-        df.select(F.col(column).isNotNull().alias("given"), total.alias("document_total"))
+        # Parsed in a step of its own: each document once, however often the total refers to it.
+        df.select(F.col(column).isNotNull().alias("given"), parsed.alias("parsed"))
+        .select("given", map_total(F.col("parsed"), value_type).alias("document_total"))
         .agg(
             F.sum("document_total").alias("total_order_value"),
             F.count("document_total").alias("valid_documents"),

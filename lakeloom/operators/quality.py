@@ -20,12 +20,28 @@ def _report(df: DataFrame, model: str, column: str, test: str, failures: Column)
     )
 
 
+def _rows(counts: DataFrame, model: str, tests: Sequence[tuple[str, str, Column]]) -> DataFrame:
+    """Turn one row of counts into a row per test."""
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(model).alias("model"),
+                F.lit(column).alias("column_name"),
+                F.lit(test).alias("test"),
+                failures.cast("bigint").alias("failures"),
+            )
+            for column, test, failures in tests
+        ]
+    )
+    return counts.select(F.inline(rows))
+
+
 def unique(df: DataFrame, model: str, columns: str | Sequence[str]) -> DataFrame:
     """How many values, or combinations of values, occur more than once. Nulls do not count."""
     columns = [columns] if isinstance(columns, str) else list(columns)
+    present = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in columns])
     repeated = (
-        df.select(*columns)
-        .dropna(subset=columns)
+        df.filter(present)
         .groupBy(*columns)
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .filter("n_rows > 1")
@@ -37,14 +53,24 @@ def not_null(df: DataFrame, model: str, columns: str | Sequence[str]) -> DataFra
     """How many rows are null, for each of the columns, in one pass."""
     columns = [columns] if isinstance(columns, str) else list(columns)
     counts = df.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in columns])
-    rows = F.array(
-        *[
-            F.struct(F.lit(name).alias("column_name"), F.col(name).alias("failures"))
-            for name in columns
-        ]
+    return _rows(counts, model, [(name, "not_null", F.col(name)) for name in columns])
+
+
+def primary_key(df: DataFrame, model: str, column: str) -> DataFrame:
+    """The tests ``unique`` and ``not_null`` of one column from one aggregation of the model."""
+    present = F.col(column).isNotNull()
+    counts = (
+        df.groupBy(column)
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .agg(
+            F.count_if(present & (F.col("n_rows") > 1)).alias("repeated"),
+            F.coalesce(F.sum(F.when(~present, F.col("n_rows"))), F.lit(0)).alias("missing"),
+        )
     )
-    return counts.select(F.inline(rows)).select(
-        F.lit(model).alias("model"), "column_name", F.lit("not_null").alias("test"), "failures"
+    return _rows(
+        counts,
+        model,
+        [(column, "unique", F.col("repeated")), (column, "not_null", F.col("missing"))],
     )
 
 

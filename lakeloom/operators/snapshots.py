@@ -23,8 +23,15 @@ def version_id(keys: Sequence[str], updated_at: str) -> Column:
 
 
 def latest_states(df: DataFrame, keys: Sequence[str], updated_at: str) -> DataFrame:
-    """The latest row of each key; equal times are settled by the other columns, largest first."""
-    others = [name for name in df.columns if name not in keys and name != updated_at]
+    """The latest row of each key; equal times are settled by the other columns, largest first.
+
+    Map columns have no order and settle nothing.
+    """
+    others = [
+        f.name
+        for f in df.schema
+        if f.name not in (*keys, updated_at) and "map<" not in f.dataType.simpleString()
+    ]
     order = [F.col(updated_at).desc_nulls_last(), *[F.col(name).desc_nulls_last() for name in others]]
     return earliest_rows(df, keys, order, ties=False)
 
@@ -42,6 +49,8 @@ def merge_history(
     * otherwise the open row as it is. So an older or repeated state changes nothing, and a key
       missing from the source stays open.
 
+    A null key equals no other, so it is new in every run.
+
     Both sides have one row per key, so the full outer join has no hot key, and its one pass
     gives closed and open rows together.
     """

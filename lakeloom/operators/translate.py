@@ -49,6 +49,7 @@ def translate_column(
     column: str,
     output: str,
     factory: TranslatorFactory,
+    tasks: int | None = None,
     attempts: int = 3,
     retry_wait: float = 1.0,
 ) -> DataFrame:
@@ -59,6 +60,8 @@ def translate_column(
     joined back. The join compares SHA-256 digests, so only the rows themselves and the
     translations are shuffled, and Spark broadcasts the translations when they turn out small.
     Rows of a popular text pile up on the left of a left join, where AQE splits them.
+
+    AQE sizes tasks by bytes. Where calls are slow, ``tasks`` says how many tasks share them.
     """
     start = _caller(factory, attempts, retry_wait)
 
@@ -71,7 +74,10 @@ def translate_column(
             )
 
     texts = df.select(F.col(column).alias("_text")).filter("_text is not null").distinct()
-    translations = texts.select(F.sha2("_text", 256).alias("_digest"), "_text").mapInArrow(
+    texts = texts.select(F.sha2("_text", 256).alias("_digest"), "_text")
+    if tasks is not None:
+        texts = texts.repartition(tasks, "_digest")
+    translations = texts.mapInArrow(
         translate_batches,
         T.StructType([T.StructField("_digest", T.StringType()), T.StructField(output, T.StringType())]),
     )

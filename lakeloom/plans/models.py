@@ -68,8 +68,9 @@ def customer_order_bounds(orders: DataFrame) -> DataFrame:
 def _amounts_on_edge(orders: DataFrame, paid: DataFrame, first: bool, output: str) -> DataFrame:
     """Paid amounts of the orders on each customer's first (or last) date, ties included."""
     date = F.col("order_date")
+    dated = orders.filter(F.col("user_id").isNotNull() & date.isNotNull())
     edge = earliest_rows(
-        orders.select("id", "user_id", "order_date").dropna(subset=["user_id", "order_date"]),
+        dated.select("id", "user_id", "order_date"),
         ["user_id"],
         [date.asc() if first else date.desc()],
         ties=True,

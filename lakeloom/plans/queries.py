@@ -302,18 +302,15 @@ def dq_report(spark, base):
     m = _models(spark, base)
     source = load(spark, base, "orders")
     return quality.report(
-        quality.unique(m["mart"], "customer_orders", "customer_id"),
-        quality.not_null(m["mart"], "customer_orders", "customer_id"),
-        quality.unique(m["customers"], "stg_customers", "customer_id"),
-        quality.not_null(m["customers"], "stg_customers", "customer_id"),
-        quality.unique(m["orders"], "stg_orders", "order_id"),
-        quality.not_null(m["orders"], "stg_orders", ["order_id", "customer_id"]),
+        quality.primary_key(m["mart"], "customer_orders", "customer_id"),
+        quality.primary_key(m["customers"], "stg_customers", "customer_id"),
+        quality.primary_key(m["orders"], "stg_orders", "order_id"),
+        quality.not_null(m["orders"], "stg_orders", "customer_id"),
         quality.accepted_values(m["orders"], "stg_orders", "status", STATUSES),
         quality.relationships(
             m["orders"], "stg_orders", "customer_id", m["customers"], "customer_id"
         ),
-        quality.unique(source, "orders", "id"),
-        quality.not_null(source, "orders", "id"),
+        quality.primary_key(source, "orders", "id"),
     )
 
 

@@ -49,6 +49,9 @@ def delimited_options(
         "multiLine": str(multiline).lower(),
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
+        # What an empty field is read as internally before it becomes null. Being no text a file
+        # holds, it keeps a quoted empty string apart from null.
+        "nullValue": "\u0001",
         "enforceSchema": "false" if header else "true",
         "mode": "FAILFAST",
     }

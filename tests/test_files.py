@@ -1,0 +1,176 @@
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+
+from conftest import plan, rows
+from lakeloom.sinks.files import (
+    count_ambiguous,
+    write_delimited,
+    write_json,
+    write_parquet,
+    write_unquoted,
+)
+from lakeloom.sources import files
+from lakeloom.sources.named import load_table
+
+PRODUCTS = "id bigint, name string, price double, in_stock boolean"
+
+
+@pytest.fixture(scope="module")
+def products(spark):
+    return spark.createDataFrame(
+        [(1, "shoes", 50.3, True), (2, "tshirt", 10.5, True), (3, "ball", 20.0, False)], PRODUCTS
+    )
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    given = [
+        (1, "a|b"),
+        (2, 'say "x"'),
+        (3, '"quoted"'),
+        (4, " padded "),
+        (5, "line\nbreak"),
+        (6, "cr\r\nlf"),
+        (7, "back\\slash"),
+        (8, '\\"'),
+        (9, ""),
+        (10, None),
+        (11, "ünï"),
+    ]
+    return spark.createDataFrame(given, "id bigint, name string")
+
+
+def lines(path):
+    return sorted(line for part in path.glob("*.csv") for line in part.read_text().splitlines())
+
+
+def test_unquoted_text(products, tmp_path, spark):
+    path = tmp_path / "out"
+    write_unquoted(products.coalesce(1), str(path))
+    assert lines(path) == [
+        "1|shoes|50.3|true",
+        "2|tshirt|10.5|true",
+        "3|ball|20.0|false",
+        "id|name|price|in_stock",
+    ]
+    back = files.read_delimited(spark, str(path), PRODUCTS, sep="|", quoted=False)
+    assert rows(back) == rows(products)
+
+
+def test_unquoted_text_never_quotes(odd, tmp_path, spark):
+    safe = odd.filter("id not in (1, 5, 6, 9)")
+    write_unquoted(safe, str(tmp_path / "out"))
+    back = files.read_delimited(
+        spark, str(tmp_path / "out"), "id bigint, name string", sep="|", quoted=False
+    )
+    assert rows(back) == rows(safe)
+    assert '3|"quoted"' in lines(tmp_path / "out")
+
+
+def test_ambiguous_rows_stop_the_write(odd, tmp_path):
+    with pytest.raises(Exception, match="would break its unquoted row"):
+        write_unquoted(odd, str(tmp_path / "out"))
+    assert not (tmp_path / "out" / "_SUCCESS").exists()
+    counted = count_ambiguous(odd).first()
+    assert (counted["ambiguous_rows"], counted["name"]) == (3, 3)
+
+
+def test_separators_can_be_kept(odd, tmp_path):
+    write_unquoted(odd.filter("id = 1"), str(tmp_path / "out"), on_ambiguous="keep")
+    assert lines(tmp_path / "out") == ["1|a|b", "id|name"]
+    with pytest.raises(Exception, match="would break"):
+        write_unquoted(odd, str(tmp_path / "out2"), on_ambiguous="keep")
+
+
+def test_separator_that_numbers_hold(spark, tmp_path):
+    df = spark.createDataFrame([(-1,)], "n int")
+    with pytest.raises(Exception, match="would break"):
+        write_unquoted(df, str(tmp_path / "out"), sep="-")
+
+
+def test_unquoted_without_header(products, tmp_path):
+    write_unquoted(products.limit(1), str(tmp_path / "out"), header=False)
+    assert lines(tmp_path / "out") == ["1|shoes|50.3|true"]
+
+
+def test_quoted_text_gives_everything_back(odd, tmp_path, spark):
+    write_delimited(odd, str(tmp_path / "out"), max_records_per_file=3)
+    back = files.read_delimited(
+        spark, str(tmp_path / "out"), "id bigint, name string", sep="|", multiline=True
+    )
+    assert rows(back) == rows(odd)
+    assert len(list((tmp_path / "out").glob("*.csv"))) >= 4
+
+
+def test_types_survive_text(spark, tmp_path):
+    schema = "d date, t timestamp_ntz, m decimal(10,2), x double, b boolean"
+    df = spark.createDataFrame(
+        [(datetime(2024, 2, 29).date(), datetime(2024, 1, 1, 1, 2, 3, 456789), Decimal("1.10"), 1e-7, None)],
+        schema,
+    )
+    write_unquoted(df, str(tmp_path / "u"))
+    write_delimited(df, str(tmp_path / "q"))
+    write_json(df, str(tmp_path / "j"))
+    assert rows(files.read_delimited(spark, str(tmp_path / "u"), schema, sep="|", quoted=False)) == rows(df)
+    assert rows(files.read_delimited(spark, str(tmp_path / "q"), schema, sep="|")) == rows(df)
+    assert rows(files.read_json(spark, str(tmp_path / "j"), schema)) == rows(df)
+
+
+def test_json_by_path_list(spark, tmp_path):
+    write_json(spark.range(3), str(tmp_path / "a"))
+    write_json(spark.range(3, 5), str(tmp_path / "b"))
+    both = files.read_json(spark, [str(tmp_path / "a"), str(tmp_path / "b")], "id bigint")
+    assert rows(both) == [(i,) for i in range(5)]
+
+
+def test_a_wrong_header_or_value_is_an_error(products, tmp_path, spark):
+    write_delimited(products, str(tmp_path / "out"))
+    path = str(tmp_path / "out")
+    with pytest.raises(Exception, match="CSV"):
+        files.read_delimited(spark, path, "other bigint, name string, price double, in_stock boolean", sep="|").collect()
+    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+        files.read_delimited(spark, path, "id bigint, name bigint, price double, in_stock boolean", sep="|").collect()
+
+
+def test_seed_with_byte_order_mark(spark, tmp_path):
+    seed = tmp_path / "orders.csv"
+    seed.write_bytes(b"\xef\xbb\xbfID,USER_ID,ORDER_DATE,STATUS\n1,7,2018-01-01,returned\n2,,2018-01-02,placed\n")
+    orders = files.read_seed(
+        spark,
+        str(seed),
+        "ID int, USER_ID int, ORDER_DATE date, STATUS string",
+        ["id", "user_id", "order_date", "status"],
+    )
+    assert orders.columns == ["id", "user_id", "order_date", "status"]
+    assert [tuple(r)[:2] for r in orders.orderBy("id").collect()] == [(1, 7), (2, None)]
+
+
+def test_select_over_file(products, tmp_path, spark):
+    write_delimited(products, str(tmp_path / "out"))
+    result = files.select_over_file(
+        spark, "SELECT name FROM s3object WHERE price > 15", str(tmp_path / "out"), PRODUCTS, sep="|"
+    )
+    assert rows(result) == [("ball",), ("shoes",)]
+    assert "GreaterThan(price,15.0)" in plan(result)
+
+
+def test_record_separator(spark, tmp_path):
+    file = tmp_path / "dos.csv"
+    file.write_bytes(b"id,name\r\n1,a\r\n2,b\r\n")
+    df = files.read_delimited(spark, str(file), "id int, name string", record_sep="\r\n")
+    assert rows(df) == [(1, "a"), (2, "b")]
+
+
+def test_parquet_round_trip(products, tmp_path, spark):
+    write_parquet(products, str(tmp_path / "out"))
+    assert rows(files.read_parquet(spark, str(tmp_path / "out"))) == rows(products)
+    assert files.read_dataset(spark, "parquet", str(tmp_path / "out"), PRODUCTS).count() == 3
+
+
+def test_explicit_schemas_fit_the_tables(spark, testdata):
+    for table in ("customer", "orders", "lineitem", "part", "supplier", "events", "documents"):
+        stored = spark.read.parquet(f"{testdata}/{table}.parquet").schema
+        ours = load_table(spark, testdata, table).schema
+        assert [(f.name, f.dataType) for f in ours] == [(f.name, f.dataType) for f in stored]

@@ -1,0 +1,66 @@
+import pytest
+
+from conftest import plan, rows
+from lakeloom.operators import quality
+
+
+@pytest.fixture(scope="module")
+def orders(spark):
+    given = [
+        (1, 1, "placed"),
+        (2, 1, "shipped"),
+        (2, 7, "lost"),
+        (2, 7, "lost"),
+        (None, None, None),
+        (None, 2, "placed"),
+    ]
+    return spark.createDataFrame(given, "id int, customer_id int, status string")
+
+
+@pytest.fixture(scope="module")
+def customers(spark):
+    return spark.createDataFrame([(1,), (2,), (None,)], "customer_id int")
+
+
+def test_unique_counts_repeated_values_not_nulls(orders):
+    assert rows(quality.unique(orders, "o", "id")) == [("o", "id", "unique", 1)]
+    combined = quality.unique(orders, "o", ["id", "customer_id"])
+    assert rows(combined) == [("o", "id, customer_id", "unique", 1)]
+
+
+def test_not_null_checks_all_columns_in_one_pass(orders):
+    result = quality.not_null(orders, "o", ["id", "customer_id"])
+    assert rows(result) == [("o", "customer_id", "not_null", 1), ("o", "id", "not_null", 2)]
+    assert plan(result).count("Scan") == 1
+
+
+def test_primary_key_is_unique_and_not_null(orders, customers):
+    assert rows(quality.primary_key(orders, "o", "id")) == [
+        ("o", "id", "not_null", 2),
+        ("o", "id", "unique", 1),
+    ]
+    ok = quality.primary_key(customers.filter("customer_id is not null"), "c", "customer_id")
+    assert [r["failures"] for r in ok.collect()] == [0, 0]
+
+
+def test_accepted_values_count_distinct_strangers(orders):
+    result = quality.accepted_values(orders, "o", "status", ["placed", "shipped"])
+    assert rows(result) == [("o", "status", "accepted_values", 1)]
+
+
+def test_relationships_count_rows(orders, customers):
+    result = quality.relationships(orders, "o", "customer_id", customers, "customer_id")
+    assert rows(result) == [("o", "customer_id", "relationships", 2)]
+
+
+def test_empty_models_pass(orders, customers):
+    none = orders.limit(0)
+    result = quality.report(
+        quality.unique(none, "o", "id"),
+        quality.not_null(none, "o", "id"),
+        quality.primary_key(none, "o", "id"),
+        quality.accepted_values(none, "o", "status", ["placed"]),
+        quality.relationships(none, "o", "customer_id", customers, "customer_id"),
+    )
+    assert result.columns == ["model", "column_name", "test", "failures"]
+    assert [r["failures"] for r in result.collect()] == [0] * 6

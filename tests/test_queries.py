@@ -1,0 +1,51 @@
+"""Every registered query against its SQL on the same tables."""
+
+import duckdb
+import pandas as pd
+import pytest
+
+import __spark_entry__ as driver
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages"
+    " benchmark labels conversations"
+).split()
+
+
+@pytest.fixture(scope="module")
+def engine(testdata):
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(
+            f"CREATE VIEW {table} AS SELECT * FROM '{testdata}/{table}.parquet'"
+        )
+    return connection
+
+
+def canonical(columns, values):
+    order = sorted(range(len(columns)), key=columns.__getitem__)
+
+    def text(value):
+        if value is None or (isinstance(value, float) and value != value) or value is pd.NaT:
+            return "null"
+        return repr(round(value, 6)) if isinstance(value, float) else repr(value)
+
+    return sorted(tuple(text(row[i]) for i in order) for row in values)
+
+
+def test_every_query_has_sql():
+    assert set(driver.queries()) == set(driver.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(driver.queries()))
+def test_query_matches_sql(spark, engine, testdata, name):
+    result = driver.queries()[name](spark, testdata)
+    cursor = engine.execute(driver.oracle_sql()[name])
+    columns = [column[0] for column in cursor.description]
+    assert sorted(result.columns) == sorted(columns)
+    actual = canonical(result.columns, [tuple(row) for row in result.collect()])
+    assert actual == canonical(columns, cursor.fetchall())
+
+
+def test_entry(spark):
+    assert driver.entry(spark).count() > 0

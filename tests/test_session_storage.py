@@ -1,0 +1,40 @@
+import pytest
+
+from lakeloom import session, storage
+
+
+def test_shuffle_partitions_follow_the_input():
+    assert session.shuffle_partitions(0, 8) == 8
+    assert session.shuffle_partitions(1 << 40, 8) == 8192
+    assert session.shuffle_partitions(100 << 40, 4000) == session.MAX_SHUFFLE_PARTITIONS
+
+
+class FakeConf:
+    def __init__(self, **values):
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key.replace(".", "_"), default)
+
+
+class FakeSession:
+    def __init__(self, **values):
+        self.conf = FakeConf(**values)
+
+
+def test_scratch_is_the_shared_folder():
+    cluster = FakeSession(spark_checkpoint_dir="hdfs:///shared/", spark_master="spark://host")
+    assert storage.scratch_root(cluster) == "hdfs:///shared"
+    first, second = (storage.scratch_path(cluster, "x") for _ in range(2))
+    assert first != second and first.startswith("hdfs:///shared/lakeloom/x-")
+
+
+def test_a_cluster_needs_a_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.scratch_root(FakeSession(spark_master="spark://host"))
+    assert storage.scratch_root(FakeSession(spark_master="local[2]"))
+
+
+def test_defaults(spark):
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
