@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.operators.aggregates import earliest_rows
-from lakeloom.storage import glob_paths
+from lakeloom.storage import delete_folder, glob_paths
 
 HISTORY_COLUMNS = ("scd_id", "scd_updated_at", "valid_from", "valid_to")
 
@@ -170,3 +170,13 @@ class SnapshotTable:
         history = self.history()
         changed = history.filter("valid_to is not null").select(*self.keys).distinct()
         return history.join(changed, self.keys, "left_semi")
+
+    def expire(self, keep: int = 2) -> None:
+        """Delete the open rows of all but the last ``keep`` runs; later runs hold them anew.
+
+        Closed rows are kept, so the history stays whole. Readers of an older run must be done.
+        """
+        if keep < 1:
+            raise ValueError("the last run's open rows are part of the history")
+        for run in self.runs()[:-keep]:
+            delete_folder(self.spark, f"{self.root}/run={run}/is_open=true")

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloom.storage import glob_paths
+
 # Called once per task; gives the function that translates a list of texts.
 TranslatorFactory = Callable[[], Callable[[list[str]], list[str]]]
 
@@ -49,6 +51,7 @@ def translate_column(
     column: str,
     output: str,
     factory: TranslatorFactory,
+    store: str | None = None,
     tasks: int | None = None,
     attempts: int = 3,
     retry_wait: float = 1.0,
@@ -61,6 +64,11 @@ def translate_column(
     translations are shuffled, and Spark broadcasts the translations when they turn out small.
     Rows of a popular text pile up on the left of a left join, where AQE splits them.
 
+    ``store`` is a folder that keeps translations: texts found there are not translated again, new
+    ones are written there before the join. So neither a second action nor a lost executor repeats
+    a call, and Spark knows the size of the translations when it plans the join: with small ones
+    the rows are not shuffled at all. Without a store everything stays lazy.
+
     AQE sizes tasks by bytes. Where calls are slow, ``tasks`` says how many tasks share them.
     """
     start = _caller(factory, attempts, retry_wait)
@@ -70,17 +78,25 @@ def translate_column(
         for batch in batches:
             results = call(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(results, pa.string())], ["_digest", output]
+                [batch.column(0), pa.array(results, pa.string())], ["_digest", "_result"]
             )
 
     texts = df.select(F.col(column).alias("_text")).filter("_text is not null").distinct()
     texts = texts.select(F.sha2("_text", 256).alias("_digest"), "_text")
+    schema = T.StructType(
+        [T.StructField("_digest", T.StringType()), T.StructField("_result", T.StringType())]
+    )
+    spark = df.sparkSession
+    if store is not None and glob_paths(spark, f"{store}/_SUCCESS"):
+        known = spark.read.schema(schema).parquet(store)
+        texts = texts.join(known.select("_digest"), "_digest", "left_anti")
     if tasks is not None:
         texts = texts.repartition(tasks, "_digest")
-    translations = texts.mapInArrow(
-        translate_batches,
-        T.StructType([T.StructField("_digest", T.StringType()), T.StructField(output, T.StringType())]),
-    )
+    translations = texts.mapInArrow(translate_batches, schema)
+    if store is not None:
+        translations.write.mode("append").parquet(store)
+        translations = spark.read.schema(schema).parquet(store)
+    translations = translations.withColumnRenamed("_result", output)
     keyed = df.withColumn("_digest", F.coalesce(F.sha2(F.col(column), 256), _spread(df)))
     return keyed.join(translations, "_digest", "left").drop("_digest")
 

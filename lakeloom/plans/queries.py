@@ -326,14 +326,16 @@ def udf_string_column(spark, base):
 
 def translate_distinct(spark, base):
     documents = load_table(spark, base, "documents").filter("lang <> 'en'")
-    translated = translate_column(documents, "text", "text_en", _stub_translator())
+    store = scratch_path(spark, "text-translations")
+    translated = translate_column(documents, "text", "text_en", _stub_translator(), store=store)
     return translated.select("doc_id", "lang", "text_en")
 
 
 def translate_roles(spark, base):
     """A column with few values, each holding a large share of the rows."""
     members = load(spark, base, "memberships").select("person_id", "organization_id", "role")
-    return translate_column(members, "role", "role_translated", _stub_translator())
+    store = scratch_path(spark, "role-translations")
+    return translate_column(members, "role", "role_translated", _stub_translator(), store=store)
 
 
 # Snapshots and incremental ingestion

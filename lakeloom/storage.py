@@ -31,8 +31,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/lakeloom/{label}-{uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    return hadoop_path.getFileSystem(conf), hadoop_path
+
+
 def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a Hadoop glob, on any file system Spark can read."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs, path = _file_system(spark, pattern)
     return sorted(status.getPath().toString() for status in fs.globStatus(path) or [])
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it; one that is not there is no error."""
+    fs, folder = _file_system(spark, path)
+    fs.delete(folder, True)

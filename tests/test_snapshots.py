@@ -1,4 +1,5 @@
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 
@@ -104,3 +105,16 @@ def test_composite_keys_and_null_times(spark, tmp_path):
         # Nothing is later than an unknown time.
         (1, "y", 1, None),
     ]
+
+
+def test_expiry_keeps_the_history(table):
+    for day in range(1, 5):
+        apply(table, (1, f"s{day}", datetime(2024, 1, day)), (2, "same", T1))
+    before = states(table.history())
+    table.expire(keep=2)
+    assert states(table.history()) == before
+    assert len(list((Path(table.root)).glob("run=*/is_open=true"))) == 2
+    apply(table, (1, "s9", datetime(2024, 1, 9)))
+    assert len(states(table.history())) == len(before) + 1
+    with pytest.raises(ValueError):
+        table.expire(keep=0)

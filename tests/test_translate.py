@@ -55,6 +55,24 @@ def test_each_distinct_text_is_translated_once(spark, tmp_path):
     assert calls(tmp_path) == ["t0", "t1", "t2", "t3", "t4"]
 
 
+def test_a_store_keeps_translations(spark, tmp_path):
+    log, store = tmp_path / "log", str(tmp_path / "store")
+    log.mkdir()
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, None)], "id int, t string")
+    first = translate_column(df, "t", "en", logging_stub(str(log)), store=store)
+    expected = [(1, "a", "A"), (2, "b", "B"), (3, "a", "A"), (4, None, None)]
+    # Several actions, one call per text.
+    assert rows(first) == rows(first) == expected
+    assert calls(log) == ["a", "b"]
+    # Only the new text is translated; the name of the output does not matter.
+    more = df.unionByName(spark.createDataFrame([(5, "c")], "id int, t string"))
+    second = translate_column(more, "t", "english", logging_stub(str(log)), store=store)
+    assert rows(second) == [*expected, (5, "c", "C")]
+    assert calls(log) == ["a", "b", "c"]
+    # Its size is known, so the rows are joined where they are.
+    assert "Exchange hashpartitioning" not in plan(second)
+
+
 def test_batches_share_calls(spark, tmp_path):
     df = spark.createDataFrame([("spital",)] * 5, "t string").coalesce(1)
     assert translate_in_batches(df, "t", "en", logging_stub(str(tmp_path))).count() == 5
