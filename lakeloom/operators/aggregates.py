@@ -33,12 +33,11 @@ def conditional_sums(
     return df.groupBy(*keys).agg(*sums, F.sum(amount).alias(total))
 
 
-def earliest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], ties: bool) -> DataFrame:
-    """The first row of each key in the given order, or all rows tied for first.
+def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of each key in the given order, which should leave no ties.
 
-    Spark applies the rank limit in each task before the shuffle as well as after it, so a key
-    moves no more than its candidates from each task, however many rows it has.
+    Spark applies the limit in each task before the shuffle as well as after it, so a key moves no
+    more than one row from each task, however many it has.
     """
     window = Window.partitionBy(*keys).orderBy(*order)
-    rank = F.rank() if ties else F.row_number()
-    return df.withColumn("_rank", rank.over(window)).filter("_rank = 1").drop("_rank")
+    return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")

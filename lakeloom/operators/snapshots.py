@@ -9,17 +9,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.operators.aggregates import earliest_rows
+from lakeloom.operators.aggregates import first_rows
 from lakeloom.storage import delete_folder, glob_paths
 
 HISTORY_COLUMNS = ("scd_id", "scd_updated_at", "valid_from", "valid_to")
 
 
-def version_id(keys: Sequence[str], updated_at: str) -> Column:
-    """Row id of a state: MD5 over the key and the time of the change."""
-    stamp = F.date_format(F.col(updated_at), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+def version_id(df: DataFrame, keys: Sequence[str], updated_at: str) -> Column:
+    """Row id of a state: MD5 over the key and the time of the change.
+
+    The time enters in a form that no session setting affects: all six digits of the fraction for a
+    timestamp without time zone, microseconds since 1970 for one with, else as text.
+    """
+    moment, moment_type = F.col(updated_at), df.schema[updated_at].dataType
+    if isinstance(moment_type, T.TimestampNTZType):
+        text = moment.cast("string")
+        text = F.rpad(F.when(text.contains("."), text).otherwise(F.concat(text, F.lit("."))), 26, "0")
+    elif isinstance(moment_type, T.TimestampType):
+        text = F.unix_micros(moment).cast("string")
+    else:
+        text = moment.cast("string")
     parts = [F.coalesce(F.col(key).cast("string"), F.lit("")) for key in keys]
-    return F.md5(F.concat_ws("|", *parts, F.coalesce(stamp, F.lit(""))))
+    return F.md5(F.concat_ws("|", *parts, F.coalesce(text, F.lit(""))))
 
 
 def latest_states(df: DataFrame, keys: Sequence[str], updated_at: str) -> DataFrame:
@@ -33,7 +44,7 @@ def latest_states(df: DataFrame, keys: Sequence[str], updated_at: str) -> DataFr
         if f.name not in (*keys, updated_at) and "map<" not in f.dataType.simpleString()
     ]
     order = [F.col(updated_at).desc_nulls_last(), *[F.col(name).desc_nulls_last() for name in others]]
-    return earliest_rows(df, keys, order, ties=False)
+    return first_rows(df, keys, order)
 
 
 def merge_history(
@@ -58,7 +69,7 @@ def merge_history(
     states = latest_states(incoming, keys, updated_at)
     new_rows = states.select(
         "*",
-        version_id(keys, updated_at).alias("scd_id"),
+        version_id(states, keys, updated_at).alias("scd_id"),
         F.col(updated_at).alias("scd_updated_at"),
         F.col(updated_at).alias("valid_from"),
         F.lit(None).cast(states.schema[updated_at].dataType).alias("valid_to"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.operators.aggregates import conditional_sums, earliest_rows
+from lakeloom.operators.aggregates import conditional_sums
 
 # The payment methods the pivot lists.
 PAYMENT_METHODS = ("bank_transfer", "credit_card", "gift_card")
@@ -65,21 +65,6 @@ def customer_order_bounds(orders: DataFrame) -> DataFrame:
     )
 
 
-def _amounts_on_edge(orders: DataFrame, paid: DataFrame, first: bool, output: str) -> DataFrame:
-    """Paid amounts of the orders on each customer's first (or last) date, ties included."""
-    date = F.col("order_date")
-    dated = orders.filter(F.col("user_id").isNotNull() & date.isNotNull())
-    edge = earliest_rows(
-        dated.select("id", "user_id", "order_date"),
-        ["user_id"],
-        [date.asc() if first else date.desc()],
-        ties=True,
-    )
-    return edge.join(paid, edge["id"] == paid["order_id"], "left").select(
-        F.col("user_id").alias("customer_id"), F.col("payment_amount").alias(output)
-    )
-
-
 def customer_orders(customers: DataFrame, orders: DataFrame, paid: DataFrame) -> DataFrame:
     """Customers with their first and last order, by matching orders on customer and date.
 
@@ -87,25 +72,39 @@ def customer_orders(customers: DataFrame, orders: DataFrame, paid: DataFrame) ->
     these. That is what matching on (customer, date) means; :func:`customer_orders_unique` keeps to
     one row per customer.
 
-    Only orders on a customer's first or last date can match. They are picked first, by a rank
-    limit that works before the shuffle, so the payments meet a few orders per customer rather
-    than all, and all that remains is joined on the customer alone, in one partitioning.
+    A customer who has a first date has an order on it, so the matches are inner joins and only
+    customers without any date are set aside. AQE can split a hot key on either side of an inner
+    join, but not on the right of a left join, which is where the orders would be. Joining on
+    customer and date, not on the customer alone, gives both joins a shuffle of their own, which
+    that split needs, and both read the same shuffle of the orders.
     """
-    return (
-        stg_customers(customers)
-        .join(customer_order_bounds(orders), "customer_id", "left")
-        .join(_amounts_on_edge(orders, paid, True, "first_order_amt"), "customer_id", "left")
-        .join(_amounts_on_edge(orders, paid, False, "most_recent_order_amt"), "customer_id", "left")
-        .select(
-            "customer_id",
-            "first_name",
-            "last_name",
-            "first_order_date",
-            "most_recent_order_date",
-            "first_order_amt",
-            "most_recent_order_amt",
-            F.coalesce("number_of_orders", F.lit(0)).alias("number_of_orders"),
-        )
+    staged = stg_orders(orders, paid)
+    first = staged.select(
+        "customer_id",
+        F.col("order_date").alias("first_order_date"),
+        F.col("payment_amount").alias("first_order_amt"),
+    )
+    most_recent = staged.select(
+        "customer_id",
+        F.col("order_date").alias("most_recent_order_date"),
+        F.col("payment_amount").alias("most_recent_order_amt"),
+    )
+    known = stg_customers(customers).join(customer_order_bounds(orders), "customer_id", "left")
+    dated = (
+        known.filter(F.col("first_order_date").isNotNull())
+        .join(first, ["customer_id", "first_order_date"])
+        .join(most_recent, ["customer_id", "most_recent_order_date"])
+    )
+    undated = known.filter(F.col("first_order_date").isNull())
+    return dated.unionByName(undated, allowMissingColumns=True).select(
+        "customer_id",
+        "first_name",
+        "last_name",
+        "first_order_date",
+        "most_recent_order_date",
+        "first_order_amt",
+        "most_recent_order_amt",
+        F.coalesce("number_of_orders", F.lit(0)).alias("number_of_orders"),
     )
 
 

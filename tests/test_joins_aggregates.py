@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan, rows
-from lakeloom.operators.aggregates import conditional_sums, earliest_rows, group_by_first
+from lakeloom.operators.aggregates import conditional_sums, first_rows, group_by_first
 from lakeloom.operators.joins import join_on, orphans
 from lakeloom.plans.jobs import entity_history
 
@@ -75,10 +75,10 @@ def test_group_by_first_columns(spark):
     assert group_by_first(df, 2).count().count() == 2
 
 
-def test_earliest_rows(spark):
-    df = spark.createDataFrame([(1, 3, "x"), (1, 2, "y"), (1, 2, "z"), (2, 9, "w")], "k int, t int, v string")
-    order = [F.col("t").asc()]
-    assert rows(earliest_rows(df, ["k"], order, ties=True)) == [(1, 2, "y"), (1, 2, "z"), (2, 9, "w")]
-    one = earliest_rows(df, ["k"], [*order, F.col("v").desc()], ties=False)
+def test_first_rows(spark):
+    df = spark.createDataFrame(
+        [(1, 3, "x"), (1, 2, "y"), (1, 2, "z"), (2, 9, "w")], "k int, t int, v string"
+    )
+    one = first_rows(df, ["k"], [F.col("t").asc(), F.col("v").desc()])
     assert rows(one) == [(1, 2, "z"), (2, 9, "w")]
     assert plan(one).count("WindowGroupLimit") == 2

@@ -115,24 +115,24 @@ def test_orphan_check_moves_keys_only(spark, small_partitions, lines):
     assert max(shuffled_rows(missing)) <= 1000 * 8
 
 
-def test_mart_moves_edges_only(spark, small_partitions):
-    """A customer with a third of the orders, none of them on the same date."""
+def test_marts_split_a_hot_date(spark, small_partitions):
+    """A customer with a third of all orders, and all but the last of them on one date."""
     orders = spark.range(0, N, 1, 8).selectExpr(
         "id",
-        f"{hot('id % 100', 7)} AS user_id",
-        "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, id) AS order_date",
+        f"{hot('id % 1000', 7)} AS user_id",
+        f"timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, if(id % 3 = 0 and id < {N - 3}, 0, id))"
+        " AS order_date",
         "'placed' AS status",
     )
-    customers = spark.range(100).selectExpr("id", "'a' AS first_name", "'b' AS last_name")
+    customers = spark.range(1001).selectExpr("id", "'a' AS first_name", "'b' AS last_name")
     payments = orders.selectExpr(
         "id AS order_id", "'card' AS payment_method", "'success' AS status", "id AS amount"
     )
-    mart = models.customer_orders(customers, orders, models.stg_payments(payments))
-    assert mart.count() == 100
-    moved = sorted(shuffled_rows(mart))
-    # Only the payments, aggregated per order, are as many as the orders.
-    assert moved[-1] <= N
-    # Spark's early rank limit lets through one row more than its candidates.
-    assert all(n <= 2 * 100 * 8 for n in moved if n < N)
-    one_row = models.customer_orders_unique(customers, orders, models.stg_payments(payments))
-    assert rows(mart) == rows(one_row)
+    paid = models.stg_payments(payments)
+    mart = models.customer_orders(customers, orders, paid)
+    assert "skew=true" in final_plan(mart)
+    counts = mart.groupBy("customer_id").agg(F.count("*").alias("n"))
+    assert counts.filter("n > 1").collect() == [(7, N // 3 - 1)]
+    assert counts.count() == 1001
+    one_row = models.customer_orders_unique(customers, orders, paid)
+    assert rows(one_row.filter("customer_id <> 7")) == rows(mart.filter("customer_id <> 7"))
