@@ -11,6 +11,10 @@ from lakeloom.operators.translate import TranslatorFactory, translate_in_batches
 from lakeloom.sinks.files import write_parquet, write_unquoted
 from lakeloom.sources.files import read_table
 
+# The tables of the history job, and title, company and row count of the export.
+HISTORY_TABLES = ("persons_json", "memberships_json", "organizations_json")
+TITLE, COMPANY, EXPORTED_ROWS = "Ms.", "spital", 5
+
 
 def entity_history(persons: DataFrame, memberships: DataFrame, organizations: DataFrame) -> DataFrame:
     """Persons with their memberships and the organizations these are in.
@@ -28,19 +32,16 @@ def entity_history(persons: DataFrame, memberships: DataFrame, organizations: Da
 
 def history_job(spark: SparkSession, database: str, output: str) -> None:
     """Join the catalog's person, membership and organization tables and store the history."""
-    tables = [
-        read_table(spark, f"{database}.{name}")
-        for name in ("persons_json", "memberships_json", "organizations_json")
-    ]
+    tables = [read_table(spark, f"{database}.{name}") for name in HISTORY_TABLES]
     write_parquet(entity_history(*tables), output)
 
 
 def translated_contacts(
     contacts: DataFrame,
     factory: TranslatorFactory,
-    title: str = "Ms.",
-    company: str = "spital",
-    n: int = 5,
+    title: str = TITLE,
+    company: str = COMPANY,
+    n: int = EXPORTED_ROWS,
     order_by: str = "customer_id",
 ) -> DataFrame:
     """The first contacts with a title, with a company name and its translation."""

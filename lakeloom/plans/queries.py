@@ -138,7 +138,8 @@ def filter_suffix(spark, base):
 
 def filter_topk_constant(spark, base):
     contacts = filter_equals(load(spark, base, "contacts"), "title", "HOUSEHOLD")
-    return constant_column(top_rows(contacts, ["customer_id"], 5), "companyname", "spital")
+    chosen = top_rows(contacts, ["customer_id"], jobs.EXPORTED_ROWS)
+    return constant_column(chosen, "companyname", jobs.COMPANY)
 
 
 def json_map_total(spark, base):
@@ -228,7 +229,7 @@ def publish_orders(spark, base):
         scratch_path(spark, "orders-published"),
         description="Orders, one row each.",
         properties={"source": "order service", "class": "sales"},
-        column_comments={"o_orderkey": "Unique order ID.", "o_totalprice": "Price (dollar)"},
+        column_comments={"o_orderkey": "Order number", "o_totalprice": "Price with tax"},
     )
 
 

@@ -19,7 +19,7 @@ def database(spark, tmp_path):
 @pytest.fixture(scope="module")
 def products(spark):
     return spark.createDataFrame(
-        [(1, "shoes", 50.3, True), (2, "tshirt", 10.5, True), (3, 'b|"all', 20.0, False)],
+        [(1, "lamp", 40.2, True), (2, "cup", 7.5, True), (3, 'r|"ug', 30.0, False)],
         "id bigint, name string, price double, in_stock boolean",
     )
 
@@ -50,20 +50,20 @@ def test_published_table_is_documented(spark, database, products, tmp_path):
         products,
         "shop.products",
         str(tmp_path / "products"),
-        description="It's my product table.",
-        properties={"source": "Product Web Service", "class": "e-commerce"},
-        column_comments={"id": "Unique product ID.", "price": "Product price (dollar)"},
+        description="What the shop's owner sells",
+        properties={"source": "stock list", "class": "retail"},
+        column_comments={"id": "Number on the shelf", "price": "Price with tax"},
     )
     assert rows(table) == rows(products)
-    assert catalog.table_description(spark, "shop.products") == "It's my product table."
+    assert catalog.table_description(spark, "shop.products") == "What the shop's owner sells"
     assert catalog.column_descriptions(spark, "shop.products") == {
-        "id": "Unique product ID.",
+        "id": "Number on the shelf",
         "name": None,
-        "price": "Product price (dollar)",
+        "price": "Price with tax",
         "in_stock": None,
     }
     properties = catalog.table_properties(spark, "shop.products")
-    assert properties["source"] == "Product Web Service" and properties["class"] == "e-commerce"
+    assert properties["source"] == "stock list" and properties["class"] == "retail"
 
 
 def test_a_table_can_be_replaced_from_itself(spark, database, products, tmp_path):

@@ -20,7 +20,7 @@ PRODUCTS = "id bigint, name string, price double, in_stock boolean"
 @pytest.fixture(scope="module")
 def products(spark):
     return spark.createDataFrame(
-        [(1, "shoes", 50.3, True), (2, "tshirt", 10.5, True), (3, "ball", 20.0, False)], PRODUCTS
+        [(1, "lamp", 40.2, True), (2, "cup", 7.5, True), (3, "rug", 30.0, False)], PRODUCTS
     )
 
 
@@ -50,9 +50,9 @@ def test_unquoted_text(products, tmp_path, spark):
     path = tmp_path / "out"
     write_unquoted(products.coalesce(1), str(path))
     assert lines(path) == [
-        "1|shoes|50.3|true",
-        "2|tshirt|10.5|true",
-        "3|ball|20.0|false",
+        "1|lamp|40.2|true",
+        "2|cup|7.5|true",
+        "3|rug|30.0|false",
         "id|name|price|in_stock",
     ]
     back = files.read_delimited(spark, str(path), PRODUCTS, sep="|", quoted=False)
@@ -92,7 +92,7 @@ def test_separator_that_numbers_hold(spark, tmp_path):
 
 def test_unquoted_without_header(products, tmp_path):
     write_unquoted(products.limit(1), str(tmp_path / "out"), header=False)
-    assert lines(tmp_path / "out") == ["1|shoes|50.3|true"]
+    assert lines(tmp_path / "out") == ["1|lamp|40.2|true"]
 
 
 def test_quoted_text_gives_everything_back(odd, tmp_path, spark):
@@ -152,7 +152,7 @@ def test_select_over_file(products, tmp_path, spark):
     result = files.select_over_file(
         spark, "SELECT name FROM s3object WHERE price > 15", str(tmp_path / "out"), PRODUCTS, sep="|"
     )
-    assert rows(result) == [("ball",), ("shoes",)]
+    assert rows(result) == [("lamp",), ("rug",)]
     assert "GreaterThan(price,15.0)" in plan(result)
 
 
