@@ -23,8 +23,9 @@ def version_id(df: DataFrame, keys: Sequence[str], updated_at: str) -> Column:
     """
     moment, moment_type = F.col(updated_at), df.schema[updated_at].dataType
     if isinstance(moment_type, T.TimestampNTZType):
-        text = moment.cast("string")
-        text = F.rpad(F.when(text.contains("."), text).otherwise(F.concat(text, F.lit("."))), 26, "0")
+        whole = moment.cast("string")
+        fraction = F.when(whole.contains("."), F.substring_index(whole, ".", -1)).otherwise("")
+        text = F.concat(F.substring_index(whole, ".", 1), F.lit("."), F.rpad(fraction, 6, "0"))
     elif isinstance(moment_type, T.TimestampType):
         text = F.unix_micros(moment).cast("string")
     else:

@@ -87,7 +87,7 @@ def translate_column(
         [T.StructField("_digest", T.StringType()), T.StructField("_result", T.StringType())]
     )
     spark = df.sparkSession
-    if store is not None and glob_paths(spark, f"{store}/_SUCCESS"):
+    if store is not None and glob_paths(spark, store):
         known = spark.read.schema(schema).parquet(store)
         texts = texts.join(known.select("_digest"), "_digest", "left_anti")
     if tasks is not None:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from lakeloom.catalog import quote_name, quote_text, set_table_properties
+from lakeloom.catalog import quote_name, quote_part, quote_text, set_table_properties
+from lakeloom.storage import glob_paths
 
 # An inferred type says what the rows seen fit in. The wider type of the same family holds the
 # values that a later file may bring.
@@ -44,38 +46,69 @@ def infer_schema(
     return reader.load(path).schema
 
 
+def folder_columns(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Names of the ``key=value`` folder levels below ``path``."""
+    names, level = [], path.rstrip("/")
+    while folders := glob_paths(spark, f"{level}/*=*"):
+        names.append(folders[0].rsplit("/", 1)[1].split("=", 1)[0])
+        level += f"/{names[-1]}=*"
+    return tuple(names)
+
+
 def discover_table(
     spark: SparkSession,
     table: str,
     path: str,
     fmt: str = "csv",
     options: Mapping[str, str] | None = None,
-    partition_columns: tuple[str, ...] = (),
     sample_ratio: float = 1.0,
     description: str | None = None,
 ) -> DataFrame:
     """Infer the schema of ``path`` and register the files, where they lie, as ``table``.
 
-    An earlier registration of the name is replaced; files are never touched. Text formats read in
-    FAILFAST mode: a value outside a sampled type stops the query instead of becoming a null.
+    ``key=value`` folders become partition columns. An earlier registration of the name is
+    replaced; files are never touched. Text formats read in FAILFAST mode: a value outside a
+    sampled type stops the query instead of becoming a null.
     """
     options = dict(options or {})
     if fmt in ("csv", "json"):
         options.setdefault("mode", "FAILFAST")
     schema = infer_schema(spark, path, fmt, options, sample_ratio)
+    partitions = folder_columns(spark, path)
     names = quote_name(table)
-    columns = ", ".join(f"{quote_name(f.name)} {f.dataType.simpleString()}" for f in schema)
+    columns = ", ".join(f"{quote_part(f.name)} {f.dataType.simpleString()}" for f in schema)
     statement = f"CREATE TABLE {names} ({columns}) USING {fmt}"
     if options:
         pairs = ", ".join(f"{quote_text(k)} {quote_text(v)}" for k, v in options.items())
         statement += f" OPTIONS ({pairs})"
-    if partition_columns:
-        statement += f" PARTITIONED BY ({', '.join(map(quote_name, partition_columns))})"
+    if partitions:
+        statement += f" PARTITIONED BY ({', '.join(map(quote_part, partitions))})"
     if description is not None:
         statement += f" COMMENT {quote_text(description)}"
     spark.sql(f"DROP TABLE IF EXISTS {names}")
     spark.sql(f"{statement} LOCATION {quote_text(path)}")
-    if partition_columns:
+    if partitions:
         spark.sql(f"ALTER TABLE {names} RECOVER PARTITIONS")
     set_table_properties(spark, table, {"discovered_from": path})
     return spark.table(table)
+
+
+def discover_tables(
+    spark: SparkSession,
+    database: str,
+    prefix: str,
+    fmt: str = "csv",
+    options: Mapping[str, str] | None = None,
+    sample_ratio: float = 1.0,
+) -> list[str]:
+    """Register each folder right below ``prefix`` as a table named after it; gives the names.
+
+    Folders whose name starts with ``_`` or ``.`` are passed over, as Spark does.
+    """
+    tables = []
+    for path in glob_paths(spark, f"{prefix.rstrip('/')}/[!_.]*", folders_only=True):
+        folder = path.rsplit("/", 1)[1]
+        name = f"{database}.{re.sub('[^a-z0-9_]+', '_', folder.lower())}"
+        discover_table(spark, name, path, fmt, options, sample_ratio)
+        tables.append(name)
+    return tables

@@ -37,10 +37,11 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(conf), hadoop_path
 
 
-def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+def glob_paths(spark: SparkSession, pattern: str, folders_only: bool = False) -> list[str]:
     """Paths that match a Hadoop glob, on any file system Spark can read."""
     fs, path = _file_system(spark, pattern)
-    return sorted(status.getPath().toString() for status in fs.globStatus(path) or [])
+    found = fs.globStatus(path) or []
+    return sorted(s.getPath().toString() for s in found if s.isDirectory() or not folders_only)
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:

@@ -4,7 +4,7 @@ from conftest import rows
 from lakeloom import catalog
 from lakeloom.sinks.files import write_delimited, write_json
 from lakeloom.sinks.tables import publish_table
-from lakeloom.sources.discovery import discover_table, infer_schema
+from lakeloom.sources.discovery import discover_table, discover_tables, infer_schema
 from lakeloom.sources.files import delimited_options, read_table
 from lakeloom.sources.named import create_source_view, load
 
@@ -94,6 +94,18 @@ def test_discovery_of_text(spark, database, products, tmp_path):
     assert spark.table("shop.found").count() == 4
 
 
+def test_discovery_of_all_folders_below_a_prefix(spark, database, products, tmp_path):
+    write_delimited(products, str(tmp_path / "lake" / "Product-List"))
+    write_delimited(spark.range(5), str(tmp_path / "lake" / "numbers"))
+    write_delimited(spark.range(5), str(tmp_path / "lake" / "_hidden"))
+    found = discover_tables(
+        spark, "shop", str(tmp_path / "lake"), "csv", delimited_options(sep="|")
+    )
+    assert found == ["shop.product_list", "shop.numbers"]
+    assert rows(spark.table("shop.product_list")) == rows(products)
+    assert spark.table("shop.numbers").count() == 5
+
+
 def test_discovery_of_json_with_mixed_types(spark, database, tmp_path):
     (tmp_path / "j").mkdir()
     (tmp_path / "j" / "a.json").write_text('{"id": "1", "n": 1}\n{"id": 2, "n": 2}\n')
@@ -105,8 +117,9 @@ def test_discovery_of_json_with_mixed_types(spark, database, tmp_path):
 def test_discovery_of_parquet_partitions(spark, database, tmp_path):
     path = str(tmp_path / "parts")
     spark.range(10).selectExpr("id", "id % 2 AS odd").write.partitionBy("odd").parquet(path)
-    table = discover_table(spark, "shop.parts", path, "parquet", partition_columns=("odd",))
+    table = discover_table(spark, "shop.parts", path, "parquet")
     assert table.columns == ["id", "odd"]
+    assert [c.name for c in spark.catalog.listColumns("shop.parts") if c.isPartition] == ["odd"]
     assert table.filter("odd = 1").count() == 5
 
 
