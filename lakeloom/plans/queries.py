@@ -107,7 +107,7 @@ def views_sql(spark, base):
     return spark.sql(
         "SELECT status, count(*) AS n_orders, count(payment_amount) AS n_paid,"
         " sum(payment_amount) AS paid FROM stg_orders JOIN stg_customers USING (customer_id)"
-        " GROUP BY status"
+        " GROUP BY 1"
     )
 
 

@@ -28,10 +28,16 @@ def shuffle_partitions(input_bytes: int, cores: int, target_bytes: int = 128 <<
     return max(1, cores, min(by_size, MAX_SHUFFLE_PARTITIONS))
 
 
-def get_session(app_name: str = "lakeloom", master: str | None = None, **conf: str) -> SparkSession:
+def get_session(
+    app_name: str = "lakeloom",
+    master: str | None = None,
+    input_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
     """Return a session with :data:`DEFAULTS`; ``conf`` keys use ``__`` for dots.
 
-    ``master`` is left to ``spark-submit`` unless given.
+    ``master`` is left to ``spark-submit`` unless given. ``input_bytes``, the size of what the job
+    reads, sets the number of shuffle partitions.
     """
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
@@ -39,4 +45,8 @@ def get_session(app_name: str = "lakeloom", master: str | None = None, **conf: s
     settings = {**DEFAULTS, **{key.replace("__", "."): value for key, value in conf.items()}}
     for key, value in settings.items():
         builder = builder.config(key, str(value))
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if input_bytes is not None:
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set("spark.sql.shuffle.partitions", shuffle_partitions(input_bytes, cores))
+    return spark

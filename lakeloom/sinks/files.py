@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloom.catalog import quote_part
+
 # Microseconds are kept in text formats.
 NTZ_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 LTZ_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"
@@ -59,7 +61,7 @@ def _breaks_row(df: DataFrame, sep: str) -> list[tuple[str, Column]]:
     checks = []
     for field in df.schema:
         if _may_hold(field.dataType, sep):
-            value = F.col(field.name).cast("string")
+            value = F.col(quote_part(field.name)).cast("string")
             checks.append(
                 (field.name, value.contains(sep) | value.contains("\n") | value.contains("\r"))
             )
@@ -96,10 +98,12 @@ def write_unquoted(
         raise ValueError("the separator is one character")
     if on_ambiguous not in ("error", "keep"):
         raise ValueError(f"on_ambiguous is 'error' or 'keep', not {on_ambiguous!r}")
+    if header and any(set(name) & {sep, "\n", "\r"} for name in df.columns):
+        raise ValueError(f"a column name would break the header: {df.columns}")
     guards = dict(_breaks_row(df, sep))
     fields = []
     for name in df.columns:
-        text = F.coalesce(F.col(name).cast("string"), F.lit(""))
+        text = F.coalesce(F.col(quote_part(name)).cast("string"), F.lit(""))
         if name in guards:
             bad = guards[name]
             if on_ambiguous == "keep":

@@ -90,6 +90,14 @@ def test_separator_that_numbers_hold(spark, tmp_path):
         write_unquoted(df, str(tmp_path / "out"), sep="-")
 
 
+def test_column_names_in_the_header(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2)], ["a.b", "c"])
+    write_unquoted(df, str(tmp_path / "out"))
+    assert set(lines(tmp_path / "out")) == {"1|2", "a.b|c"}
+    with pytest.raises(ValueError, match="header"):
+        write_unquoted(df.toDF("a|b", "c"), str(tmp_path / "out2"))
+
+
 def test_unquoted_without_header(products, tmp_path):
     write_unquoted(products.limit(1), str(tmp_path / "out"), header=False)
     assert lines(tmp_path / "out") == ["1|lamp|40.2|true"]

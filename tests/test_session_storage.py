@@ -9,6 +9,15 @@ def test_shuffle_partitions_follow_the_input():
     assert session.shuffle_partitions(100 << 40, 4000) == session.MAX_SHUFFLE_PARTITIONS
 
 
+def test_session_takes_the_input_size(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        session.get_session("tests", input_bytes=10 << 30, spark__sql__ansi__enabled="true")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "80"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 class FakeConf:
     def __init__(self, **values):
         self.values = values
