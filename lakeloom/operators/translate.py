@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,12 +40,6 @@ def _caller(factory: TranslatorFactory, attempts: int, retry_wait: float) -> Cal
     return start
 
 
-def _spread(df: DataFrame) -> Column:
-    """A hash that scatters rows whose join key is null; map columns cannot be hashed."""
-    names = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
-    return F.xxhash64(*names).cast("string")
-
-
 def translate_column(
     df: DataFrame,
     column: str,
@@ -62,7 +56,8 @@ def translate_column(
     found with a map-side combine, translated in Arrow batches by tasks all over the cluster, and
     joined back. The join compares SHA-256 digests, so only the rows themselves and the
     translations are shuffled, and Spark broadcasts the translations when they turn out small.
-    Rows of a popular text pile up on the left of a left join, where AQE splits them.
+    Rows of a popular text, or without one, pile up on the left of a left join, where AQE splits
+    them.
 
     ``store`` is a folder that keeps translations: texts found there are not translated again, new
     ones are written there before the join. So neither a second action nor a lost executor repeats
@@ -97,7 +92,7 @@ def translate_column(
         translations.write.mode("append").parquet(store)
         translations = spark.read.schema(schema).parquet(store)
     translations = translations.withColumnRenamed("_result", output)
-    keyed = df.withColumn("_digest", F.coalesce(F.sha2(F.col(column), 256), _spread(df)))
+    keyed = df.withColumn("_digest", F.sha2(F.col(column), 256))
     return keyed.join(translations, "_digest", "left").drop("_digest")
 
 

@@ -111,3 +111,5 @@ def test_the_join_carries_digests(spark, testdata):
     df = spark.read.parquet(f"{testdata}/documents.parquet")
     text = plan(translate_column(df, "text", "en", stub()).select("doc_id", "en"))
     assert "sha2" in text and "MapInArrow" in text
+    # Other columns are not read.
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
