@@ -74,3 +74,22 @@ def set_table_properties(spark: SparkSession, table: str, properties: Mapping[st
     if properties:
         pairs = ", ".join(f"{quote_text(k)} = {quote_text(v)}" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {quote_name(table)} SET TBLPROPERTIES ({pairs})")
+
+
+def describe_table(
+    spark: SparkSession,
+    table: str,
+    description: str | None = None,
+    column_comments: Mapping[str, str] | None = None,
+) -> None:
+    """Set the description of a table and of those columns that are given."""
+    name = quote_name(table)
+    if description is not None:
+        spark.sql(f"COMMENT ON TABLE {name} IS {quote_text(description)}")
+    for column, comment in (column_comments or {}).items():
+        spark.sql(f"ALTER TABLE {name} ALTER COLUMN {quote_part(column)} COMMENT {quote_text(comment)}")
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(table)}")
+    return rows.filter("col_name = 'Location'").first()["data_type"]

@@ -5,10 +5,17 @@ from __future__ import annotations
 from collections.abc import Mapping
 from uuid import uuid4
 
-from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.catalog import drop_table, set_table_properties
+from lakeloom.catalog import (
+    describe_table,
+    drop_table,
+    quote_name,
+    quote_text,
+    set_table_properties,
+    table_location,
+)
+from lakeloom.storage import delete_folder, glob_paths
 
 
 def publish_table(
@@ -22,32 +29,44 @@ def publish_table(
     """Write ``df`` as Parquet and make it the contents of ``table``, replacing what was there.
 
     Each call writes a new version folder below ``path`` and points the table at it once the write
-    is complete. So a frame that reads the table's present contents can replace them, and a failed
-    write leaves the table as it was.
+    is complete. So a frame that reads the table's present contents can replace them, a failed
+    write leaves the table as it was, and a reader sees the one version or the other. Only a change
+    of the columns registers the table anew.
     """
     spark = df.sparkSession
-    comments = dict(column_comments or {})
-    unknown = set(comments) - set(df.columns)
+    unknown = set(column_comments or {}) - set(df.columns)
     if unknown:
         raise ValueError(f"comments on columns that do not exist: {sorted(unknown)}")
     version = f"{path.rstrip('/')}/version-{uuid4().hex}"
     df.write.parquet(version)
-    schema = T.StructType(
-        [
-            T.StructField(
-                f.name, f.dataType, True, {"comment": comments[f.name]} if f.name in comments else {}
-            )
-            for f in df.schema
-        ]
-    )
-    drop_table(spark, table)
-    spark.catalog.createTable(
-        table, path=version, source="parquet", schema=schema, description=description or ""
-    )
+
+    if _has_columns(spark, table, df):
+        spark.sql(f"ALTER TABLE {quote_name(table)} SET LOCATION {quote_text(version)}")
+        spark.catalog.refreshTable(table)
+    else:
+        drop_table(spark, table)
+        spark.catalog.createTable(table, path=version, source="parquet", schema=df.schema)
+    describe_table(spark, table, description, column_comments)
     set_table_properties(spark, table, properties or {})
     return spark.table(table)
 
 
+def _has_columns(spark: SparkSession, table: str, df: DataFrame) -> bool:
+    """Is there such a table over given files, with the columns of ``df``?"""
+    if not spark.catalog.tableExists(table) or spark.catalog.getTable(table).tableType != "EXTERNAL":
+        return False
+    present = [(f.name, f.dataType) for f in spark.table(table).schema]
+    return present == [(f.name, f.dataType) for f in df.schema]
+
+
+def expire_versions(spark: SparkSession, table: str, path: str) -> None:
+    """Delete the version folders the table has left behind; their readers must be done."""
+    present = table_location(spark, table).rstrip("/").rsplit("/", 1)[1]
+    for folder in glob_paths(spark, f"{path.rstrip('/')}/version-*"):
+        if folder.rsplit("/", 1)[1] != present:
+            delete_folder(spark, folder)
+
+
 def materialize_view(df: DataFrame, name: str) -> DataFrame:
     """Give a lazy model a name SQL can use; nothing is computed or stored."""
     df.createOrReplaceTempView(name)

@@ -8,6 +8,7 @@ from uuid import uuid4
 from pyspark.sql import SparkSession
 
 _local_root: tempfile.TemporaryDirectory | None = None
+_issued: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -28,7 +29,18 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the scratch root that no other call returns."""
-    return f"{scratch_root(spark)}/lakeloom/{label}-{uuid4().hex}"
+    path = f"{scratch_root(spark)}/lakeloom/{label}-{uuid4().hex}"
+    _issued.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete what was written below the scratch paths of this process.
+
+    Frames are lazy, so this is for the end of a job, when all that read from there are done.
+    """
+    while _issued:
+        delete_folder(spark, _issued.pop())
 
 
 def _file_system(spark: SparkSession, path: str):

@@ -3,7 +3,7 @@ import pytest
 from conftest import rows
 from lakeloom import catalog
 from lakeloom.sinks.files import write_delimited, write_json
-from lakeloom.sinks.tables import publish_table
+from lakeloom.sinks.tables import expire_versions, publish_table
 from lakeloom.sources.discovery import discover_table, discover_tables, infer_schema
 from lakeloom.sources.files import delimited_options, read_table
 from lakeloom.sources.named import create_source_view, load
@@ -77,6 +77,23 @@ def test_a_table_can_be_replaced_from_itself(spark, database, products, tmp_path
     assert spark.table("shop.products").count() == 2
 
 
+def test_versions(spark, database, products, tmp_path):
+    path = str(tmp_path / "products")
+    publish_table(products, "shop.products", path, "Kept", {"source": "x"}, {"id": "Number"})
+    # The same columns: the table moves on, with what is said about it.
+    publish_table(products.filter("id = 1"), "shop.products", path)
+    assert catalog.table_description(spark, "shop.products") == "Kept"
+    assert catalog.column_descriptions(spark, "shop.products")["id"] == "Number"
+    assert spark.table("shop.products").count() == 1
+    assert len(list((tmp_path / "products").glob("version-*"))) == 2
+    expire_versions(spark, "shop.products", path)
+    assert len(list((tmp_path / "products").glob("version-*"))) == 1
+    assert spark.table("shop.products").count() == 1
+    # Other columns.
+    publish_table(products.drop("name"), "shop.products", path)
+    assert spark.table("shop.products").columns == ["id", "price", "in_stock"]
+
+
 def test_comments_need_their_column(products, tmp_path):
     with pytest.raises(ValueError, match="do not exist"):
         publish_table(products, "shop.p", str(tmp_path), column_comments={"nothing": "x"})

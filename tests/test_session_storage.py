@@ -31,11 +31,12 @@ class FakeSession:
         self.conf = FakeConf(**values)
 
 
-def test_scratch_is_the_shared_folder():
-    cluster = FakeSession(spark_checkpoint_dir="hdfs:///shared/", spark_master="spark://host")
-    assert storage.scratch_root(cluster) == "hdfs:///shared"
+def test_scratch_is_the_shared_folder(tmp_path):
+    shared = str(tmp_path)
+    cluster = FakeSession(spark_checkpoint_dir=shared + "/", spark_master="spark://host")
+    assert storage.scratch_root(cluster) == shared
     first, second = (storage.scratch_path(cluster, "x") for _ in range(2))
-    assert first != second and first.startswith("hdfs:///shared/lakeloom/x-")
+    assert first != second and first.startswith(f"{shared}/lakeloom/x-")
 
 
 def test_a_cluster_needs_a_shared_folder():
@@ -47,3 +48,11 @@ def test_a_cluster_needs_a_shared_folder():
 def test_defaults(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_scratch_can_be_released(spark):
+    path = storage.scratch_path(spark, "passing")
+    spark.range(3).write.parquet(path)
+    assert storage.glob_paths(spark, path)
+    storage.release_scratch(spark)
+    assert not storage.glob_paths(spark, path)

@@ -1,5 +1,6 @@
 from datetime import datetime
 from pathlib import Path
+from random import Random
 
 import pytest
 
@@ -118,3 +119,28 @@ def test_expiry_keeps_the_history(table):
     assert len(states(table.history())) == len(before) + 1
     with pytest.raises(ValueError):
         table.expire(keep=0)
+
+
+def test_random_runs_match_a_simulation(spark, table):
+    """Six runs over thirty keys, with late, repeated and tied changes, against plain Python."""
+    random = Random(7)
+    history = []
+    for _ in range(6):
+        batch = [
+            (random.randrange(30), f"s{random.randrange(4)}", datetime(2024, 1, random.randrange(1, 25)))
+            for _ in range(60)
+        ]
+        latest = {}
+        for key, status, at in batch:
+            if key not in latest or (at, status) > latest[key]:
+                latest[key] = (at, status)
+        for key, (at, status) in latest.items():
+            known = next((row for row in history if row[0] == key and row[3] is None), None)
+            if known is not None and at > known[2]:
+                known[3] = at
+            if known is None or at > known[2]:
+                history.append([key, status, at, None])
+        apply(table, *batch)
+    assert states(table.history()) == sorted(map(tuple, history), key=lambda r: tuple(map(repr, r)))
+    changed = {row[0] for row in history if row[3] is not None}
+    assert {r[0] for r in states(table.changed())} == changed
