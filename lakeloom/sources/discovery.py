@@ -31,19 +31,30 @@ def infer_schema(
     fmt: str = "csv",
     options: Mapping[str, str] | None = None,
     sample_ratio: float = 1.0,
+    sample_files: int | None = None,
 ) -> T.StructType:
     """Infer the columns of a folder, ``key=value`` folder columns included.
 
-    ``sample_ratio`` below 1 parses only that share of the rows. Parquet and ORC carry their schema
-    and are taken as they are.
+    By default text formats are read in full. ``sample_ratio`` below 1 parses only that share of
+    the rows, and ``sample_files`` opens only so many files, spread over the folder. Folder columns
+    always come from all folder names. Parquet and ORC carry their schema.
     """
     reader = spark.read.format(fmt).options(**(options or {}))
+    if fmt not in ("csv", "json"):
+        return reader.load(path).schema
+    paths = [path]
+    if sample_files is not None:
+        files = sorted(spark.read.format("text").load(path).inputFiles())
+        paths = files[:: max(1, -(-len(files) // sample_files))]
+    sampled = reader.option("samplingRatio", str(sample_ratio))
     if fmt == "csv":
-        reader = reader.option("inferSchema", "true")
-    if fmt in ("csv", "json"):
-        schema = reader.option("samplingRatio", str(sample_ratio)).load(path).schema
-        return _widen(schema)
-    return reader.load(path).schema
+        sampled = sampled.option("inferSchema", "true")
+    data = _widen(sampled.load(paths).schema)
+    folders = folder_columns(spark, path)
+    if not folders:
+        return data
+    data = T.StructType([field for field in data if field.name not in folders])
+    return spark.read.format(fmt).options(**(options or {})).schema(data).load(path).schema
 
 
 def folder_columns(spark: SparkSession, path: str) -> tuple[str, ...]:
@@ -62,6 +73,7 @@ def discover_table(
     fmt: str = "csv",
     options: Mapping[str, str] | None = None,
     sample_ratio: float = 1.0,
+    sample_files: int | None = None,
     description: str | None = None,
 ) -> DataFrame:
     """Infer the schema of ``path`` and register the files, where they lie, as ``table``.
@@ -73,7 +85,7 @@ def discover_table(
     options = dict(options or {})
     if fmt in ("csv", "json"):
         options.setdefault("mode", "FAILFAST")
-    schema = infer_schema(spark, path, fmt, options, sample_ratio)
+    schema = infer_schema(spark, path, fmt, options, sample_ratio, sample_files)
     partitions = folder_columns(spark, path)
     names = quote_name(table)
     columns = ", ".join(f"{quote_part(f.name)} {f.dataType.simpleString()}" for f in schema)
@@ -100,6 +112,7 @@ def discover_tables(
     fmt: str = "csv",
     options: Mapping[str, str] | None = None,
     sample_ratio: float = 1.0,
+    sample_files: int | None = None,
 ) -> list[str]:
     """Register each folder right below ``prefix`` as a table named after it; gives the names.
 
@@ -109,6 +122,6 @@ def discover_tables(
     for path in glob_paths(spark, f"{prefix.rstrip('/')}/[!_.]*", folders_only=True):
         folder = path.rsplit("/", 1)[1]
         name = f"{database}.{re.sub('[^a-z0-9_]+', '_', folder.lower())}"
-        discover_table(spark, name, path, fmt, options, sample_ratio)
+        discover_table(spark, name, path, fmt, options, sample_ratio, sample_files)
         tables.append(name)
     return tables

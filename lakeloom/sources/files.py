@@ -66,16 +66,17 @@ def delimited_options(
 def read_delimited(
     spark: SparkSession,
     paths: str | Sequence[str],
-    schema: Schema,
+    schema: Schema | None = None,
     **options,
 ) -> DataFrame:
     """Scan delimited text; ``options`` as in :func:`delimited_options`.
 
     A header that does not name the schema's columns, or a value that does not fit its type, is an
-    error rather than a null.
+    error rather than a null. Without a schema every column is a string, named by the header.
     """
     paths = paths if isinstance(paths, str) else list(paths)
-    return spark.read.options(**delimited_options(**options)).schema(schema).csv(paths)
+    reader = spark.read.options(**delimited_options(**options))
+    return (reader if schema is None else reader.schema(schema)).csv(paths)
 
 
 def read_seed(
@@ -96,25 +97,32 @@ def select_over_file(
     spark: SparkSession,
     sql: str,
     path: str,
-    schema: Schema,
+    schema: Schema | None = None,
     view: str = "s3object",
     **options,
 ) -> DataFrame:
     """Run SQL straight over a delimited file, which the statement calls ``s3object``.
 
-    Filters and the column list reach the file scan.
+    Filters and the column list reach the file scan. Without a schema all columns are strings.
     """
     read_delimited(spark, path, schema, **options).createOrReplaceTempView(view)
     return spark.sql(sql)
 
 
-def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: Schema | Sequence[str]):
+def inline_rows(
+    spark: SparkSession, rows: Sequence[tuple], schema: Schema | Sequence[str]
+) -> DataFrame:
     """A small table from literal rows, for fixtures."""
-    return spark.createDataFrame(list(rows), schema if isinstance(schema, str | T.StructType) else list(schema))
+    names = schema if isinstance(schema, str | T.StructType) else list(schema)
+    return spark.createDataFrame(list(rows), names)
 
 
 def read_dataset(
-    spark: SparkSession, fmt: str, path: str, schema: Schema, options: Mapping[str, str] | None = None
+    spark: SparkSession,
+    fmt: str,
+    path: str,
+    schema: Schema,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Scan any built-in file format by name."""
     return spark.read.format(fmt).schema(schema).options(**(options or {})).load(path)

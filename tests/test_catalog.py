@@ -4,7 +4,12 @@ from conftest import rows
 from lakeloom import catalog
 from lakeloom.sinks.files import write_delimited, write_json
 from lakeloom.sinks.tables import expire_versions, publish_table
-from lakeloom.sources.discovery import discover_table, discover_tables, infer_schema
+from lakeloom.sources.discovery import (
+    discover_table,
+    discover_tables,
+    folder_columns,
+    infer_schema,
+)
 from lakeloom.sources.files import delimited_options, read_table
 from lakeloom.sources.named import create_source_view, load
 
@@ -156,6 +161,17 @@ def test_schema_of_sample(spark, tmp_path):
     assert schema.simpleString() == "struct<id:bigint>"
 
 
+def test_discovery_from_some_files(spark, database, tmp_path):
+    path = str(tmp_path / "logs")
+    for day in ("1", "2", "last"):
+        write_json(spark.range(4, numPartitions=2), f"{path}/day={day}")
+    assert folder_columns(spark, path) == ("day",)
+    table = discover_table(spark, "shop.logs", path, "json", sample_files=1)
+    # The folder column's type comes from all folders, not from the one that was opened.
+    assert table.schema.simpleString() == "struct<id:bigint,day:string>"
+    assert table.filter("day = 'last'").count() == 4 and table.count() == 12
+
+
 def test_source_views_are_the_sources(spark, database, testdata):
     create_source_view(spark, testdata, "organizations", "shop.organizations")
     assert rows(spark.table("shop.organizations")) == rows(load(spark, testdata, "organizations"))

@@ -164,6 +164,15 @@ def test_select_over_file(products, tmp_path, spark):
     assert "GreaterThan(price,15.0)" in plan(result)
 
 
+def test_select_over_file_without_a_schema(products, tmp_path, spark):
+    write_delimited(products, str(tmp_path / "out"))
+    result = files.select_over_file(spark, "SELECT * FROM s3object", str(tmp_path / "out"), sep="|")
+    assert result.schema.simpleString() == (
+        "struct<id:string,name:string,price:string,in_stock:string>"
+    )
+    assert ("3", "rug", "30.0", "false") in rows(result)
+
+
 def test_record_separator(spark, tmp_path):
     file = tmp_path / "dos.csv"
     file.write_bytes(b"id,name\r\n1,a\r\n2,b\r\n")
