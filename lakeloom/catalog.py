@@ -87,7 +87,8 @@ def describe_table(
     if description is not None:
         spark.sql(f"COMMENT ON TABLE {name} IS {quote_text(description)}")
     for column, comment in (column_comments or {}).items():
-        spark.sql(f"ALTER TABLE {name} ALTER COLUMN {quote_part(column)} COMMENT {quote_text(comment)}")
+        change = f"ALTER COLUMN {quote_part(column)} COMMENT {quote_text(comment)}"
+        spark.sql(f"ALTER TABLE {name} {change}")
 
 
 def table_location(spark: SparkSession, table: str) -> str:

@@ -14,9 +14,13 @@ def map_total(parsed: Column, value_type: str = "double") -> Column:
     names = F.map_keys(parsed)
     zero = F.lit(0).cast(value_type)
     plain = F.aggregate(F.map_values(parsed), zero, lambda total, value: total + value)
-    positions = F.sequence(F.lit(1), F.size(names))
+    entries = F.arrays_zip(
+        names.alias("name"),
+        F.map_values(parsed).alias("value"),
+        F.sequence(F.lit(1), F.size(names)).alias("at"),
+    )
     last_values = F.filter(
-        F.arrays_zip(names.alias("name"), F.map_values(parsed).alias("value"), positions.alias("at")),
+        entries,
         lambda e: ~F.array_contains(F.slice(names, e["at"] + 1, F.size(names)), e["name"]),
     )
     repeated = F.aggregate(last_values, zero, lambda total, entry: total + entry["value"])
@@ -35,6 +39,7 @@ def json_map_totals(df: DataFrame, column: str, value_type: str = "double") -> D
     null documents are only left out.
     """
     parsed = F.from_json(F.col(column), f"map<string,{value_type}>")
+    invalid = F.col("given") & F.col("document_total").isNull()
     return (
         # Parsed in a step of its own: each document once, however often the total refers to it.
         df.select(F.col(column).isNotNull().alias("given"), parsed.alias("parsed"))
@@ -42,7 +47,7 @@ def json_map_totals(df: DataFrame, column: str, value_type: str = "double") -> D
         .agg(
             F.sum("document_total").alias("total_order_value"),
             F.count("document_total").alias("valid_documents"),
-            F.count_if(F.col("given") & F.col("document_total").isNull()).alias("invalid_documents"),
+            F.count_if(invalid).alias("invalid_documents"),
         )
         .withColumn("message", total_line(F.col("total_order_value")))
     )

@@ -44,7 +44,7 @@ def latest_states(df: DataFrame, keys: Sequence[str], updated_at: str) -> DataFr
         for f in df.schema
         if f.name not in (*keys, updated_at) and "map<" not in f.dataType.simpleString()
     ]
-    order = [F.col(updated_at).desc_nulls_last(), *[F.col(name).desc_nulls_last() for name in others]]
+    order = [F.col(name).desc_nulls_last() for name in (updated_at, *others)]
     return first_rows(df, keys, order)
 
 
@@ -96,7 +96,8 @@ def merge_history(
     rows = F.array(
         F.when(has_old, old_row), F.when(changed | (has_new & ~has_old), new_row)
     )
-    return joined.select(F.inline(F.filter(rows, lambda r: r.isNotNull()))).select(*fields, "is_open")
+    present = F.filter(rows, lambda r: r.isNotNull())
+    return joined.select(F.inline(present)).select(*fields, "is_open")
 
 
 class SnapshotTable:

@@ -16,7 +16,9 @@ HISTORY_TABLES = ("persons_json", "memberships_json", "organizations_json")
 TITLE, COMPANY, EXPORTED_ROWS = "Ms.", "spital", 5
 
 
-def entity_history(persons: DataFrame, memberships: DataFrame, organizations: DataFrame) -> DataFrame:
+def entity_history(
+    persons: DataFrame, memberships: DataFrame, organizations: DataFrame
+) -> DataFrame:
     """Persons with their memberships and the organizations these are in.
 
     The person keeps ``id`` and the membership ``organization_id``; the key copies are dropped.

@@ -294,7 +294,9 @@ def dq_relationships(spark, base):
         ),
         quality.relationships(m["lines"], "lineitem", "l_orderkey", m["orders"], "order_id"),
         # Orders that no payment refers to are orphans seen from the payments' side.
-        quality.relationships(m["orders"], "stg_orders", "order_id", _paid(spark, base), "order_id"),
+        quality.relationships(
+            m["orders"], "stg_orders", "order_id", _paid(spark, base), "order_id"
+        ),
     )
 
 

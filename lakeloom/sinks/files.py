@@ -22,7 +22,8 @@ def write_parquet(df: DataFrame, path: str, mode: str = "error") -> None:
 
 def write_json(df: DataFrame, path: str, mode: str = "error") -> None:
     """JSON lines; timestamps keep their microseconds."""
-    df.write.mode(mode).options(timestampFormat=LTZ_FORMAT, timestampNTZFormat=NTZ_FORMAT).json(path)
+    formats = {"timestampFormat": LTZ_FORMAT, "timestampNTZFormat": NTZ_FORMAT}
+    df.write.mode(mode).options(**formats).json(path)
 
 
 def write_delimited(

@@ -53,7 +53,9 @@ def publish_table(
 
 def _has_columns(spark: SparkSession, table: str, df: DataFrame) -> bool:
     """Is there such a table over given files, with the columns of ``df``?"""
-    if not spark.catalog.tableExists(table) or spark.catalog.getTable(table).tableType != "EXTERNAL":
+    if not spark.catalog.tableExists(table):
+        return False
+    if spark.catalog.getTable(table).tableType != "EXTERNAL":
         return False
     present = [(f.name, f.dataType) for f in spark.table(table).schema]
     return present == [(f.name, f.dataType) for f in df.schema]

@@ -124,6 +124,6 @@ def load(spark: SparkSession, base: str, name: str) -> DataFrame:
 def create_source_view(spark: SparkSession, base: str, name: str, view: str) -> None:
     """Register a named source as a catalog view over its files; no data is copied."""
     source = SOURCES[name]
-    columns = ", ".join(f"{sql} AS {quote_part(logical)}" for logical, sql in source.columns.items())
+    columns = ", ".join(f"{sql} AS {quote_part(name)}" for name, sql in source.columns.items())
     files = quote_part(f"{base}/{source.table}.parquet")
     spark.sql(f"CREATE OR REPLACE VIEW {quote_name(view)} AS SELECT {columns} FROM parquet.{files}")

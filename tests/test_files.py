@@ -183,7 +183,7 @@ def test_record_separator(spark, tmp_path):
 def test_parquet_round_trip(products, tmp_path, spark):
     write_parquet(products, str(tmp_path / "out"))
     assert rows(files.read_parquet(spark, str(tmp_path / "out"))) == rows(products)
-    assert files.read_dataset(spark, "parquet", str(tmp_path / "out"), PRODUCTS).count() == 3
+    assert files.read_parquet(spark, [str(tmp_path / "out")], PRODUCTS).count() == 3
 
 
 def test_explicit_schemas_fit_the_tables(spark, testdata):

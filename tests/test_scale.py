@@ -9,6 +9,7 @@ from lakeloom.operators.snapshots import latest_states
 from lakeloom.operators.translate import translate_column
 from lakeloom.plans import models
 from lakeloom.plans.jobs import entity_history
+from lakeloom.sources.named import load
 
 N = 120_000
 SETTINGS = {
@@ -135,3 +136,15 @@ def test_marts_split_a_hot_date(spark, small_partitions):
     assert counts.count() == 1001
     one_row = models.customer_orders_unique(customers, orders, paid)
     assert rows(one_row.filter("customer_id <> 7")) == rows(mart.filter("customer_id <> 7"))
+
+
+def test_mart_shuffles_orders_and_payments_once(spark, small_partitions, testdata):
+    paid = models.stg_payments(load(spark, testdata, "payments"), "F")
+    mart = models.customer_orders(
+        load(spark, testdata, "customers"), load(spark, testdata, "orders"), paid
+    )
+    text = final_plan(mart)
+    # Both date matches, and the customers without a date, read what is there already.
+    assert text.count("ReusedExchange") >= 2
+    assert text.count("parquet [l_orderkey") == 1
+    assert text.count("parquet [o_orderkey") == 2
