@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from lakeloom.catalog import quote_name, quote_part, quote_text, set_table_properties
-from lakeloom.storage import glob_paths
+from lakeloom.storage import first_folder, glob_paths
 
 # An inferred type says what the rows seen fit in. The wider type of the same family holds the
 # values that a later file may bring.
@@ -59,10 +59,9 @@ def infer_schema(
 
 def folder_columns(spark: SparkSession, path: str) -> tuple[str, ...]:
     """Names of the ``key=value`` folder levels below ``path``."""
-    names, level = [], path.rstrip("/")
-    while folders := glob_paths(spark, f"{level}/*=*"):
-        names.append(folders[0].rsplit("/", 1)[1].split("=", 1)[0])
-        level += f"/{names[-1]}=*"
+    names, folder = [], path.rstrip("/")
+    while folder := first_folder(spark, f"{folder}/[!_.]*=*"):
+        names.append(folder.rsplit("/", 1)[1].split("=", 1)[0])
     return tuple(names)
 
 

@@ -56,6 +56,13 @@ def glob_paths(spark: SparkSession, pattern: str, folders_only: bool = False) ->
     return sorted(s.getPath().toString() for s in found if s.isDirectory() or not folders_only)
 
 
+def first_folder(spark: SparkSession, pattern: str) -> str | None:
+    """One folder that matches a Hadoop glob, without fetching the names of the others."""
+    fs, path = _file_system(spark, pattern)
+    found = fs.globStatus(path) or []
+    return next((s.getPath().toString() for s in found if s.isDirectory()), None)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder and what is in it; one that is not there is no error."""
     fs, folder = _file_system(spark, path)

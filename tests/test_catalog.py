@@ -166,6 +166,10 @@ def test_discovery_from_some_files(spark, database, tmp_path):
     for day in ("1", "2", "last"):
         write_json(spark.range(4, numPartitions=2), f"{path}/day={day}")
     assert folder_columns(spark, path) == ("day",)
+    spark.range(4).selectExpr("id", "id % 2 AS a", "id AS b").write.partitionBy("a", "b").json(
+        str(tmp_path / "deep")
+    )
+    assert folder_columns(spark, str(tmp_path / "deep")) == ("a", "b")
     table = discover_table(spark, "shop.logs", path, "json", sample_files=1)
     # The folder column's type comes from all folders, not from the one that was opened.
     assert table.schema.simpleString() == "struct<id:bigint,day:string>"
