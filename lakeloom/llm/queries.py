@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, langid, mixing, simhash, toxicity
+from lakeloom.llm import decontaminate, langid, mixing, quality, simhash, toxicity
 from lakeloom.llm.common import remainder, table
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learned from the labels whose remainder by 3 is not 1."""
+    stats = quality.document_stats(table(spark, folder, "documents"))
+    model = quality.train(stats, table(spark, folder, "labels").where(remainder("doc_id", 3) != 1))
+    scored = quality.score(stats, model)
+    return scored.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of 4-word shingles and their groups at 4 bits."""
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=4, distance=4)
@@ -44,5 +52,5 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    function.__name__: function for function in (op3_simhash, op7_decontamination, op8_toxicity, op9_mixing, op10_language)
+    function.__name__: function for function in (op2_quality, op3_simhash, op7_decontamination, op8_toxicity, op9_mixing, op10_language)
 }
