@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, langid, mixing, quality, simhash, toxicity
+from lakeloom.llm import decontaminate, langid, lattice, mixing, quality, simhash, toxicity
 from lakeloom.llm.common import remainder, table
 
+#: Subword vocabulary of a public tokenizer; read, never copied or trained.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document, learned from the labels whose remainder by 3 is not 1."""
@@ -24,6 +28,13 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=4, distance=4)
 
 
+def op5_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    """Log10 probability of every document, learned from those whose remainder by 7 is not 2."""
+    learned = remainder("doc_id", 7) != 2
+    scored = lattice.score_documents(table(spark, folder, "documents"), learned, VOCABULARY)
+    return scored.withColumn("held_out", ~F.col("training")).drop("training")
+
+
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark windows of 13 words in every document."""
     found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), window=13, share=20)
@@ -52,5 +63,5 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    function.__name__: function for function in (op2_quality, op3_simhash, op7_decontamination, op8_toxicity, op9_mixing, op10_language)
+    function.__name__: function for function in (op2_quality, op3_simhash, op5_lattice, op7_decontamination, op8_toxicity, op9_mixing, op10_language)
 }
