@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, langid, lattice, mixing, quality, simhash, toxicity
+from lakeloom.llm import decontaminate, langid, lattice, mixing, neighbours, quality, simhash, toxicity
 from lakeloom.llm.common import remainder, table
 
 #: Subword vocabulary of a public tokenizer; read, never copied or trained.
@@ -35,6 +35,11 @@ def op5_lattice(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("held_out", ~F.col("training")).drop("training")
 
 
+def op6_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth vector, by Euclidean distance."""
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark windows of 13 words in every document."""
     found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), window=13, share=20)
@@ -63,5 +68,5 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    function.__name__: function for function in (op2_quality, op3_simhash, op5_lattice, op7_decontamination, op8_toxicity, op9_mixing, op10_language)
+    function.__name__: function for function in (op2_quality, op3_simhash, op5_lattice, op6_neighbours, op7_decontamination, op8_toxicity, op9_mixing, op10_language)
 }
