@@ -1,5 +1,109 @@
 """DuckDB SQL for the registered queries that SQL can express."""
 
+OP1 = r"""
+WITH urls AS (
+  SELECT page_id, url, 1704067200 + page_id * 7919 % 525600 * 60 AS fetched_at,
+    regexp_replace(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '\.+$', '')
+      AS host,
+    list_filter(string_split(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*([^?#]*)', 1), '/'),
+      lambda part: part <> '') AS folders
+  FROM pages
+),
+places AS (
+  SELECT DISTINCT host, string_split(host, '.')[-2] || '.' || string_split(host, '.')[-1] || '/' AS domain,
+    host || '/' || folders[1] || '/' AS folder
+  FROM urls WHERE contains(host, '.')
+),
+numbered AS (
+  SELECT *, CAST('0x' || substr(md5(host), 1, 7) AS BIGINT) AS h,
+    CAST('0x' || substr(md5(domain), 1, 7) AS BIGINT) AS d,
+    CASE WHEN folder IS NOT NULL THEN CAST('0x' || substr(md5(folder), 1, 7) AS BIGINT) END AS f
+  FROM places
+),
+entries AS (
+  SELECT 'hosts' AS list_name, host || '/' AS pattern, 'block' AS action, h % 250 AS day FROM numbered
+  UNION SELECT 'hosts', host || '/', 'remove', h % 250 + 20 + h // 7 % 60 FROM numbered
+  UNION SELECT 'hosts', host || '/', 'block', h % 250 + 90 + h // 11 % 40 FROM numbered
+  UNION SELECT 'domains', domain, 'allow', d % 60 FROM numbered
+  UNION SELECT 'domains', domain, 'block', d % 60 + 200 FROM numbered
+  UNION SELECT 'folders', folder, 'allow', f % 365 FROM numbered WHERE folder IS NOT NULL
+),
+single AS (
+  SELECT list_name, pattern, day, min(CASE action WHEN 'block' THEN 1 WHEN 'allow' THEN 2 ELSE 3 END) AS rank
+  FROM entries GROUP BY ALL
+),
+intervals AS (
+  SELECT list_name, pattern, CASE rank WHEN 1 THEN 'block' WHEN 2 THEN 'allow' ELSE 'remove' END AS action,
+    1704067200 + day * 86400 AS valid_from,
+    lead(1704067200 + day * 86400) OVER (PARTITION BY list_name, pattern ORDER BY day) AS valid_to,
+    len(string_split(pattern, '/')) - 2 AS n_folders, len(string_split(string_split(pattern, '/')[1], '.')) AS n_labels
+  FROM single
+),
+matched AS (
+  SELECT page_id, url, i.*, row_number() OVER (PARTITION BY page_id, url
+    ORDER BY n_folders DESC, n_labels DESC, action <> 'block', list_name, pattern, valid_from) AS place
+  FROM urls u JOIN intervals i ON i.action <> 'remove'
+    AND (CASE WHEN n_folders = 0 THEN ends_with('.' || host || '/', '.' || pattern)
+      ELSE starts_with(host || '/' || array_to_string(folders, '/') || '/', pattern) END)
+    AND fetched_at >= valid_from AND (valid_to IS NULL OR fetched_at < valid_to)
+)
+SELECT u.page_id, fetched_at, host, coalesce(action, 'unlisted') AS verdict, pattern, list_name, valid_from
+FROM urls u LEFT JOIN matched m ON m.place = 1 AND u.page_id = m.page_id AND u.url = m.url
+"""
+
+OP4 = r"""
+WITH last AS (
+  SELECT conv_id, max(turn) AS last_turn, arg_max(text, turn) AS reply
+  FROM conversations WHERE role = 'assistant' GROUP BY conv_id
+),
+sides AS (
+  SELECT c.conv_id, c.turn, c.role, c.text, false AS rejected FROM conversations c
+  UNION ALL
+  SELECT c.conv_id, c.turn, c.role, CASE WHEN o.conv_id IS NOT NULL THEN n.reply ELSE c.text END, true
+  FROM conversations c
+  LEFT JOIN last o ON c.conv_id = o.conv_id AND c.turn = o.last_turn AND c.role = 'assistant'
+  LEFT JOIN last n ON n.conv_id = xor(c.conv_id, 1)
+  WHERE o.conv_id IS NULL OR n.conv_id IS NOT NULL
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, rejected ORDER BY turn, role, text) AS p FROM sides
+),
+differing AS (
+  SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, min(coalesce(a.p, b.p)) AS first
+  FROM (SELECT * FROM placed WHERE NOT rejected) a
+  FULL JOIN (SELECT * FROM placed WHERE rejected) b ON a.conv_id = b.conv_id AND a.p = b.p
+  WHERE a.role IS DISTINCT FROM b.role OR a.text IS DISTINCT FROM b.text
+  GROUP BY 1
+),
+rendered AS (
+  SELECT p.conv_id, p.rejected, p.p, p.role, p.p < coalesce(first, 1000000) AS common,
+    '<|im_start|>' || replace(role, '<|', '< |') || chr(10) AS head,
+    replace(text, '<|', '< |') || '<|im_end|>' AS body
+  FROM placed p LEFT JOIN differing USING (conv_id)
+),
+located AS (
+  SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, rejected, common ORDER BY p
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM rendered
+),
+joined AS (
+  SELECT conv_id,
+    count(*) FILTER (common AND NOT rejected) AS n_prompt,
+    coalesce(string_agg(head || body || chr(10), '' ORDER BY p) FILTER (common AND NOT rejected), '') AS prompt,
+    coalesce(string_agg(head || body || chr(10), '' ORDER BY p) FILTER (NOT common AND NOT rejected), '') AS chosen,
+    coalesce(string_agg(head || body || chr(10), '' ORDER BY p) FILTER (NOT common AND rejected), '') AS rejected,
+    coalesce(string_agg(CAST(before + length(head) AS BIGINT) || '-' || CAST(before + length(head) + length(body) AS BIGINT), ','
+      ORDER BY p) FILTER (NOT common AND NOT rejected AND role = 'assistant'), '') AS chosen_learn,
+    coalesce(string_agg(CAST(before + length(head) AS BIGINT) || '-' || CAST(before + length(head) + length(body) AS BIGINT), ','
+      ORDER BY p) FILTER (NOT common AND rejected AND role = 'assistant'), '') AS rejected_learn
+  FROM located GROUP BY conv_id
+)
+SELECT conv_id AS pair_id, n_prompt, prompt, chosen, rejected, chosen_learn, rejected_learn,
+  CASE WHEN chosen = '' AND rejected = '' THEN 'identical'
+    WHEN chosen_learn = '' OR rejected_learn = '' THEN 'one_sided' ELSE 'pair' END AS status
+FROM joined
+"""
+
 OP7 = r"""
 WITH words AS (
   SELECT doc_id, row_number() OVER () AS doc,
@@ -83,4 +187,4 @@ SELECT doc_id, size, source_size, target,
 FROM placed JOIN targets USING (key)
 """
 
-ORACLE_SQL = {"op7_decontamination": OP7, "op9_mixing": OP9}
+ORACLE_SQL = {"op1_url_filter": OP1, "op4_chat": OP4, "op7_decontamination": OP7, "op9_mixing": OP9}

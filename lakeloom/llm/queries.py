@@ -4,17 +4,66 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, langid, lattice, mixing, neighbours, quality, simhash, toxicity
+from lakeloom.llm import chat, decontaminate, langid, lattice, mixing, neighbours, quality, simhash, toxicity, url_filter
 from lakeloom.llm.common import remainder, table
 
 #: Subword vocabulary of a public tokenizer; read, never copied or trained.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 
+DAY = 24 * 3600
+#: First second of the listed time, 2024-01-01 UTC.
+EPOCH = 1_704_067_200
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """Dated entries for the hosts, domains and first folders of the pages, spread by md5 over a year.
+
+    Hosts are blocked, delisted and blocked again; domains are allowed, then blocked; first folders are allowed.
+    """
+    url = F.col("url")
+    host = url_filter.host_of(url)
+    places = pages.select(
+        host.alias("host"), F.element_at(F.split(host, r"\."), -2).alias("name"), F.try_element_at(url_filter.folders_of(url), F.lit(1)).alias("folder")
+    ).where(F.col("host").contains("."))
+    places = places.distinct()
+
+    def number(text: Column) -> Column:
+        return F.conv(F.substring(F.md5(text.cast("binary")), 1, 7), 16, 10).cast("long")
+
+    def entry(name: str, pattern: Column, action: str, day: Column) -> Column:
+        return F.struct(
+            F.lit(name).alias("list_name"), pattern.alias("pattern"), F.lit(action).alias("action"), (F.lit(EPOCH) + day * DAY).alias("effective_at")
+        )
+
+    h = number(F.col("host"))
+    domain = F.concat("name", F.lit("."), F.element_at(F.split("host", r"\."), -1), F.lit("/"))
+    folder = F.concat("host", F.lit("/"), "folder", F.lit("/"))
+    found = F.array(
+        entry("hosts", F.concat("host", F.lit("/")), "block", h % 250),
+        entry("hosts", F.concat("host", F.lit("/")), "remove", h % 250 + 20 + F.floor(h / 7) % 60),
+        entry("hosts", F.concat("host", F.lit("/")), "block", h % 250 + 90 + F.floor(h / 11) % 40),
+        entry("domains", domain, "allow", number(domain) % 60),
+        entry("domains", domain, "block", number(domain) % 60 + 200),
+        entry("folders", folder, "allow", number(folder) % 365),
+    )
+    return places.select(F.explode(found).alias("entry")).select("entry.*").dropna().distinct()
+
+
+def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every page at its fetch time, by lists made of the pages' own hosts and folders.
+
+    The tables have no fetch times and lists, so both are derived: page ids are spread over the minutes of a year.
+    """
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched_at", F.lit(EPOCH) + F.col("page_id") * 7919 % 525_600 * 60)
+    return url_filter.filter_captures(captures, list_entries(pages))
+
+
 def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document, learned from the labels whose remainder by 3 is not 1."""
     stats = quality.document_stats(table(spark, folder, "documents"))
@@ -28,6 +77,21 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=4, distance=4)
 
 
+def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation against itself with its neighbour's last reply, as prompt and completions.
+
+    The stretches to learn are given as text, ``start-end`` joined by commas.
+    """
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    pairs = chat.format_preferences(turns, chat.swapped_replies(turns))
+
+    def spans(name: str) -> Column:
+        texts = F.transform(name, lambda span: F.concat(span["start"].cast("string"), F.lit("-"), span["end"].cast("string")))
+        return F.array_join(texts, ",").alias(name)
+
+    return pairs.select("pair_id", "n_prompt", "prompt", "chosen", "rejected", spans("chosen_learn"), spans("rejected_learn"), "status")
+
+
 def op5_lattice(spark: SparkSession, folder: str) -> DataFrame:
     """Log10 probability of every document, learned from those whose remainder by 7 is not 2."""
     learned = remainder("doc_id", 7) != 2
@@ -68,5 +132,17 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    function.__name__: function for function in (op2_quality, op3_simhash, op5_lattice, op6_neighbours, op7_decontamination, op8_toxicity, op9_mixing, op10_language)
+    function.__name__: function
+    for function in (
+        op1_url_filter,
+        op2_quality,
+        op3_simhash,
+        op4_chat,
+        op5_lattice,
+        op6_neighbours,
+        op7_decontamination,
+        op8_toxicity,
+        op9_mixing,
+        op10_language,
+    )
 }
