@@ -1,0 +1,74 @@
+import hashlib
+import re
+
+import pytest
+
+from lakeloom.llm import decontaminate
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+def plain(text, items, size=13, share=20):
+    words = WORD.findall(lowered(text))
+    hit, found = set(), set()
+    for item, passage in items:
+        own = WORD.findall(lowered(passage))
+        n = min(size, len(own))
+        windows = {tuple(own[i : i + n]) for i in range(len(own) - n + 1)} if own else set()
+        for i in range(len(words) - n + 1) if n else ():
+            if tuple(words[i : i + n]) in windows:
+                hit.update(range(i, i + n))
+                found.add(str(item) if item is not None else "")
+    names = ",".join(sorted(found))
+    bad = len(hit) > 0 and share * len(hit) >= len(words)
+    return len(words), len(hit), len(found), hashlib.sha256(names.encode()).hexdigest(), bad
+
+
+LONG = " ".join(f"w{i}" for i in range(30))
+ITEMS = [(1, LONG), (10, LONG.upper()), (2, "short item"), (3, ""), (4, None), (None, "été à la mer"), (1, "another text of one")]
+DOCS = [
+    (1, None, "a"),
+    (2, "", "a"),
+    (3, "before " + LONG + " after", "b"),
+    (4, "Before. " + " ".join(f"w{i}" for i in range(5, 18)) + "! after", "b"),
+    (5, " ".join(f"w{i}" for i in range(12)), "c"),
+    (6, "a SHORT, item; short item short", "c"),
+    (6, "a SHORT, item; short item short", "c"),
+    (None, "Nous allons: été à la mer.", "d"),
+    (7, "x " * 3000 + "short item", "e"),
+    (8, "shorter item shortitem", "e"),
+]
+
+
+def test_counts_follow_the_definition(spark):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string, n_words string")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    found = decontaminate.contamination(docs, items).drop("spans").collect()
+    expected = [(number, *plain(text, ITEMS)) for number, text, _ in DOCS]
+    assert sorted(map(tuple, found), key=str) == sorted(expected, key=str)
+
+
+def test_spans_point_into_the_original_text(spark):
+    text = "Éé — Nous ALLONS: Été, à la MER. fin"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "nous allons"), (2, "la mer")], "item_id long, text string")
+    spans = decontaminate.contamination(docs, items).first().spans
+    assert [text[span.start : span.end] for span in spans] == ["Nous ALLONS", "la MER"]
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string, other string")
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert all(row.n_hit == 0 and not row.contaminated for row in decontaminate.contamination(docs, none).collect())
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    assert decontaminate.contamination(docs.limit(0), items).collect() == []
+
+
+def test_a_benchmark_beyond_the_bound_is_an_error(spark):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    with pytest.raises(ValueError, match="max_bytes"):
+        decontaminate.contamination_udf(items, max_bytes=10)
