@@ -1,0 +1,60 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lakeloom.llm import neighbours
+
+SCHEMA = "vec_id long, embedding array<float>, score string"
+
+
+def exact(rows, queries, k):
+    """Brute force over (id, vector)."""
+    found = {}
+    for number, vector in queries:
+        far = sorted((float(np.sqrt(((np.array(v) - vector) ** 2).sum())), i) for i, v in rows if i != number)
+        found[number] = far[:k]
+    return found
+
+
+@pytest.fixture(scope="module")
+def cloud():
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(5, 12)) * 2
+    data = (centres[rng.integers(0, 5, 900)] + rng.normal(size=(900, 12))).astype(np.float32)
+    data[200:500] = data[200]
+    return [(i, data[i].astype(float)) for i in range(900)]
+
+
+def test_recall_against_brute_force_with_many_copies(spark, cloud):
+    frame = spark.createDataFrame([(i, v.tolist(), "x") for i, v in cloud], SCHEMA)
+    found = neighbours.nearest(frame, F.col("vec_id") % 50 == 0).collect()
+    expected = exact(cloud, [row for row in cloud if row[0] % 50 == 0], 10)
+    hits = 0
+    for number, best in expected.items():
+        mine = sorted((row.rank, row.vec_id, row.score) for row in found if row.query_id == number)
+        assert [rank for rank, _, _ in mine] == list(range(1, 11))
+        far = dict((i, distance) for distance, i in exact(cloud, [cloud[number]], 900)[number])
+        assert all(score == pytest.approx(far[i], abs=1e-12) for _, i, score in mine)
+        assert [(score, i) for _, i, score in mine] == sorted((score, i) for _, i, score in mine)
+        hits += len({i for _, i, _ in mine} & {i for _, i in best})
+    assert hits / (10 * len(expected)) >= 0.95
+    # All of a copy's nearest are the other copies of smallest id.
+    assert sorted(row.vec_id for row in found if row.query_id == 250) == list(range(200, 210))
+
+
+def test_rows_that_take_no_part(spark):
+    good = [(i, [float(i), 1.0]) for i in range(1, 8)]
+    bad = [(20, None), (21, []), (22, [0.0, 0.0]), (23, [None, 1.0]), (24, [float("nan"), 1.0]), (25, [float("inf"), 1.0])]
+    bad += [(26, [1.0, 2.0, 3.0]), (None, [1.5, 1.0]), (3, [3.0, 1.0])]
+    frame = spark.createDataFrame([(i, v, "x") for i, v in good + bad], SCHEMA)
+    found = neighbours.nearest(frame, F.lit(True), k=10).collect()
+    assert {row.query_id for row in found} == set(range(1, 8))
+    expected = exact(good, good, 10)
+    for number, best in expected.items():
+        mine = sorted((row.rank, row.vec_id, row.score) for row in found if row.query_id == number)
+        assert [(i, score) for _, i, score in mine] == [(i, distance) for distance, i in best]
+
+
+@pytest.mark.parametrize("rows", [[], [(1, [1.0, 2.0], "x")], [(1, None, "x")]])
+def test_too_few_rows(spark, rows):
+    assert neighbours.nearest(spark.createDataFrame(rows, SCHEMA), F.lit(True)).collect() == []

@@ -1,0 +1,79 @@
+import numpy as np
+import pytest
+
+from lakeloom.llm import quality
+
+SETTINGS = quality.QualitySettings(features=64, spread=2)
+
+
+def corpus(n=200):
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(n):
+        words = [f"{'abcdefg'[k % 7]}word{k}" for k in rng.integers(0, 500, rng.integers(10, 60))]
+        text = " ".join(f"{word.upper()}!!" for word in words) if i % 5 == 0 else " ".join(words) + "."
+        rows.append((i, text, int(i % 5 != 0)))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def learned(spark):
+    docs = spark.createDataFrame([(i, text) for i, text, _ in corpus()], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in corpus() if i % 3], "doc_id long, quality int")
+    stats = quality.document_stats(docs)
+    return stats, labels, quality.train(stats, labels, SETTINGS)
+
+
+def test_held_out_documents(learned):
+    stats, _, model = learned
+    found = quality.score(stats, model).where("doc_id % 3 = 0").collect()
+    assert np.mean([row.predicted == int(row.doc_id % 5 != 0) for row in found]) > 0.97
+    assert all(0 <= row.score <= 1 for row in found)
+
+
+def test_normal_equations_are_sums_over_all_rows(spark, learned):
+    stats, labels, model = learned
+    rows = stats.join(labels, "doc_id").selectExpr("cast(doc_id % 2 as int) AS fold", "stats", "quality AS label")
+    left, right = quality.normal_equations(rows.repartition(5), model, 2, 2)
+    for fold in range(2):
+        part = [row for row in rows.collect() if row.fold == fold]
+        z = model.features(np.array([row.stats for row in part]))
+        assert np.allclose(left[fold], z.T @ z) and np.allclose(right[fold], z.T @ np.array([row.label for row in part]))
+
+
+def test_cosines_approximate_the_kernel():
+    rng = np.random.default_rng(0)
+    d, width = len(quality.STATS), 3.0
+    spread = width * np.sqrt(d) / 2
+    model = quality.QualityModel(
+        np.zeros(d), np.ones(d), rng.normal(0, 1 / spread, (d, 20_000)), rng.uniform(0, 2 * np.pi, 20_000), *(np.zeros(1),) * 3
+    )
+    x = rng.normal(size=(6, d))
+    z = model.features(x)[:, :-1]
+    expected = np.exp(-((x[:, None] - x[None]) ** 2).sum(axis=2) / (2 * spread**2))
+    assert np.abs(z @ z.T - expected).max() < 0.05
+
+
+def test_isotonic_values_rise_and_keep_the_mean():
+    x = np.arange(8.0)
+    n, good = np.array([4, 4, 2, 2, 5, 1, 3, 3.0]), np.array([1, 0, 2, 1, 2, 1, 1, 3.0])
+    knots, values = quality.isotonic(x, n, good)
+    assert np.all(np.diff(values) > 0) and np.all(np.diff(knots) > 0)
+    assert values[0] == pytest.approx(1 / 8) and values[-1] == pytest.approx(1.0)
+
+
+def test_odd_rows(spark, learned):
+    rows = [(None, "x"), (1, None), (2, ""), (3, "word " * 60_000), (3, "word " * 60_000), (4, "\n\n \t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS stats", "2 AS score")
+    found = quality.score(quality.document_stats(docs), learned[2]).collect()
+    assert len(found) == 6 and all(0 <= row.score <= 1 for row in found)
+    assert len({row.score for row in found if row.doc_id in (1, 2, 4)}) == 1
+    assert quality.score(quality.document_stats(docs.limit(0)), learned[2]).collect() == []
+
+
+def test_no_labels_and_labels_of_one_kind(spark, learned):
+    stats = learned[0]
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert {row.score for row in quality.score(stats, quality.train(stats, none, SETTINGS)).collect()} == {0.5}
+    ones = spark.createDataFrame([(1, 1), (2, 1), (7, 1)], "doc_id long, quality int")
+    assert all(row.score == 1.0 for row in quality.score(stats, quality.train(stats, ones, SETTINGS)).collect())

@@ -1,0 +1,98 @@
+import pytest
+from conftest import plan
+
+from lakeloom.llm import url_filter
+
+ENTRIES = [
+    ("a", "bad.example.com/", "block", 100),
+    ("a", "bad.example.com/", "remove", 300),
+    ("a", "bad.example.com/", "block", 100_000_000),
+    ("a", "example.com/", "allow", 50),
+    ("b", "bad.example.com/", "allow", 100),
+    ("b", "bad.example.com/news/", "allow", 150),
+    ("b", "bad.example.com/news/x/", "block", 160),
+    ("c", "tie.org/", "allow", 10),
+    ("c", "tie.org/", "block", 10),
+    ("c", "tie.org/", "block", 10),
+    ("c", "tie.org/", "unknown", 20),
+    (None, "tie.org/", "remove", 20),
+    ("c", None, "remove", 20),
+    ("c", "tie.org/", None, 20),
+    ("c", "tie.org/", "remove", None),
+]
+CAPTURES = [
+    (1, "http://bad.example.com/", 99),
+    (2, "http://bad.example.com/", 100),
+    (3, "HTTPS://user@BAD.example.com.:8080/news/?q=/x/", 299),
+    (4, "http://bad.example.com//news//x/y.html#f", 299),
+    (5, "http://bad.example.com/newsx", 250),
+    (6, "http://bad.example.com", 300),
+    (7, "http://notbad.example.com/news/", 301),
+    (8, "http://sub.bad.example.com/news/", 200),
+    (9, "ftp://tie.org/a", 15),
+    (10, "http://tie.org", 9),
+    (11, None, 15),
+    (12, "no url", 15),
+    (13, "http://tie.org/", None),
+    (None, "http://tie.org/", 50),
+    (14, "http://bad.example.com/" + "d/" * 3000, 200_000_000),
+    (9, "ftp://tie.org/a", 15),
+    (15, "http:///path", 15),
+]
+
+
+def plain(captures, entries):
+    lists = {}
+    order = {"block": 0, "allow": 1, "remove": 2}
+    for name, pattern, action, at in entries:
+        if None not in (name, pattern, action, at) and action in order:
+            days = lists.setdefault((name, pattern), {})
+            days[at] = min(days.get(at, action), action, key=order.get)
+    out = []
+    for number, url, at in captures:
+        host, _, path = (url or "").partition("://")[2].partition("/") if "://" in (url or "") else ("", "", "")
+        host = host.split("@")[-1].split(":")[0].lower().rstrip(".")
+        parts = [part for part in path.split("?")[0].split("#")[0].split("/") if part]
+        best = None
+        for (name, pattern), days in lists.items():
+            past = [day for day in days if at is not None and day <= at]
+            if not past or not host or days[max(past)] == "remove":
+                continue
+            where, *folders = pattern.rstrip("/").split("/")
+            inside = host == where and parts[: len(folders)] == folders if folders else f".{host}".endswith(f".{where}")
+            if inside:
+                action = days[max(past)]
+                key = (-len(folders), -len(where.split(".")), action != "block", name, pattern)
+                best = min(filter(None, (best, (key, (action, pattern, name, max(past))))), key=lambda pair: pair[0])
+        verdict = best[1] if best else ("unlisted", None, None, None)
+        out.append((number, at, host, *verdict))
+    return out
+
+
+@pytest.mark.parametrize("period", [7, url_filter.PERIOD])
+def test_verdicts_follow_the_definition(spark, period):
+    captures = spark.createDataFrame([(*row, "x") for row in CAPTURES], "page_id long, url string, fetched_at long, verdict string")
+    entries = spark.createDataFrame([(*row, 1) for row in ENTRIES if (row[3] or 0) < 1000 or period > 7], "list_name string, pattern string, action string, effective_at long, page_id long")
+    wanted = [row for row in CAPTURES if (row[2] or 0) < 1000 or period > 7]
+    found = url_filter.filter_captures(captures.where(f"fetched_at IS NULL OR fetched_at < 1000 OR {period} > 7"), entries, period)
+    kept = [row for row in ENTRIES if (row[3] or 0) < 1000 or period > 7]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(plain(wanted, kept), key=str)
+
+
+def test_intervals_of_a_long_history(spark):
+    days = [(i * 13 % 997, "block" if i % 3 else "remove") for i in range(200)]
+    entries = spark.createDataFrame([("l", "h.org/", action, day) for day, action in days], "list_name string, pattern string, action string, effective_at long")
+    found = url_filter.validity_intervals(entries, 40).collect()
+    order = sorted({day for day, _ in days})
+    after = dict(zip(order, [*order[1:], None], strict=True))
+    assert {(row.valid_from, row.valid_to) for row in found} == {(day, after[day]) for day, action in days if action == "block"}
+
+
+def test_empty_tables_and_a_native_plan(spark):
+    captures = spark.createDataFrame(CAPTURES[:3], "page_id long, url string, fetched_at long")
+    entries = spark.createDataFrame(ENTRIES[:3], "list_name string, pattern string, action string, effective_at long")
+    assert url_filter.filter_captures(captures.limit(0), entries).collect() == []
+    found = url_filter.filter_captures(captures, entries.limit(0))
+    assert {row.verdict for row in found.collect()} == {"unlisted"}
+    text = plan(url_filter.filter_captures(captures, entries))
+    assert "Python" not in text and "NestedLoop" not in text and "Cartesian" not in text
