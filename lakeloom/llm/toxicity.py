@@ -7,6 +7,7 @@ most ``2**bits`` entries, small enough for every task.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -80,23 +81,40 @@ def one_pass(rows: Iterable[tuple[np.ndarray, float]], z: np.ndarray, n: np.ndar
         n[at] += square
 
 
-def _shard_pass(state, number: int, settings: FtrlSettings) -> Callable[[pa.Table], pa.Table]:
+def packed(owner: np.ndarray, feature: np.ndarray, n: int) -> list[bytes]:
+    """The sorted features of each of ``n`` texts as compressed differences."""
+    bounds = np.searchsorted(owner, np.arange(n + 1))
+    lists = (feature[a:b] for a, b in zip(bounds, bounds[1:], strict=False))
+    return [zlib.compress(np.diff(values, prepend=0).astype(np.uint32).tobytes(), 1) for values in lists]
+
+
+def unpacked(value: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(value), np.uint32), dtype=np.int64)
+
+
+def _shard_pass(state, number: int, settings: FtrlSettings) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """One round over shards: each starts from the common state and gives its own back, at single precision."""
     size = 1 << settings.bits
 
-    def fit(part: pa.Table) -> pa.Table:
-        z, n = (values.copy() for values in state.value)
-        part = part.sort_by("doc_id")
-        lists, given = part["features"].combine_chunks(), part["label"].to_numpy()
-        offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
-        order = np.random.default_rng(number).permutation(part.num_rows)
-        rows = ((np.append(values[offsets[i] : offsets[i + 1]], size), float(given[i])) for i in order)
-        one_pass(rows, z, n, settings)
-        touched = np.flatnonzero(n)
-        return pa.table({"at": touched, "z": z[touched], "n": n[touched]})
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for given, texts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                z, n = (values.astype(np.float64) for values in state.value)
+                order = np.random.default_rng(number).permutation(len(given))
+                one_pass(((np.append(unpacked(texts[i]), size), float(given[i])) for i in order), z, n, settings)
+                columns = [pa.array([values.astype(np.float32).tobytes()], pa.binary()) for values in (z, n)]
+                yield pa.RecordBatch.from_arrays(columns, ["z", "n"])
 
     return fit
 
 
+def _shard_row(part: pa.Table) -> pa.Table:
+    """The texts of a shard as one row, in an order that does not depend on how they arrived."""
+    part = part.sort_by([(name, "ascending") for name in ("doc_id", "label", "features")])
+    columns = {"labels": [part["label"].to_pylist()], "texts": [part["features"].to_pylist()]}
+    return pa.table(columns, pa.schema([("labels", pa.list_(pa.int32())), ("texts", pa.list_(pa.binary()))]))
+
+
 def training_sample(labels: DataFrame, max_rows: int) -> DataFrame:
     """(doc_id, label) of ``max_rows`` labelled documents at most, chosen by a hash of the id."""
     order = F.xxhash64("doc_id")
@@ -116,32 +134,34 @@ def train(
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     # At most max_rows pairs of an id and a label: a proven bound.
     rows = rows.join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text")
-    bits, shards = settings.bits, settings.shards
+    bits = settings.bits
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch in batches:
             texts = binary_values(batch.column(2))
             for start, end in slices(texts):
-                owner, feature = features(texts[start:end], bits, hasher)
-                offsets = np.searchsorted(owner, np.arange(end - start + 1)).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(feature.astype(np.int32)))
-                part = [batch.column(0)[start:end], batch.column(1)[start:end], lists]
+                values = packed(*features(texts[start:end], bits, hasher), end - start)
+                part = [batch.column(0)[start:end], batch.column(1)[start:end], pa.array(values, pa.binary())]
                 yield pa.RecordBatch.from_arrays(part, ["doc_id", "label", "features"])
 
-    extracted = rows.mapInArrow(extract, "doc_id long, label int, features array<int>")
-    sample = materialize(
-        extracted.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(shards))), "ftrl-rows"
-    )
-    z, n = np.zeros(size + 1), np.zeros(size + 1)
+    extracted = rows.mapInArrow(extract, "doc_id long, label int, features binary")
+    sharded = extracted.groupBy(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(settings.shards)).alias("shard"))
+    # A shard is a row, of max_rows / shards texts or so; a round then moves nothing but states.
+    sample = materialize(sharded.applyInArrow(_shard_row, "labels array<int>, texts array<binary>"), "ftrl-shards")
+    z, n = np.zeros(size + 1, np.float32), np.zeros(size + 1, np.float32)
     for number in range(settings.rounds):
         state = docs.sparkSession.sparkContext.broadcast((z, n))
-        fitted = sample.groupBy("shard").applyInArrow(_shard_pass(state, number, settings), "at long, z double, n double")
-        merged = fitted.groupBy("at").agg((F.sum("z") / shards).alias("z"), (F.sum("n") / shards).alias("n")).toArrow()
-        z, n = np.zeros(size + 1), np.zeros(size + 1)
-        at = merged["at"].to_numpy()
-        z[at], n[at] = merged["z"].to_numpy(), merged["n"].to_numpy()
+        # One state of 2**bits places per shard, however many the documents.
+        states = sample.mapInArrow(_shard_pass(state, number, settings), "z binary, n binary").toArrow()
         state.unpersist()
+        if not states.num_rows:
+            break
+        z, n = (
+            sum(np.frombuffer(value.as_buffer(), np.float32) for value in states[name]) / np.float32(states.num_rows)
+            for name in ("z", "n")
+        )
+    z, n = z.astype(np.float64), n.astype(np.float64)
     weights = weights_of(z, n, settings)
     weights[-1] = -z[-1] / ((settings.beta + np.sqrt(n[-1])) / settings.alpha + settings.l2)
     return weights
