@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.storage import first_folder
+from lakeloom.storage import folder_bytes
 
 # Called once per task; gives the function that translates a list of texts.
 TranslatorFactory = Callable[[], Callable[[list[str]], list[str]]]
@@ -82,7 +82,7 @@ def translate_column(
         [T.StructField("_digest", T.StringType()), T.StructField("_result", T.StringType())]
     )
     spark = df.sparkSession
-    if store is not None and first_folder(spark, store) is not None:
+    if store is not None and folder_bytes(spark, store) > 0:
         known = spark.read.schema(schema).parquet(store)
         texts = texts.join(known.select("_digest"), "_digest", "left_anti")
     if tasks is not None:

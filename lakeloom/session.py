@@ -15,8 +15,6 @@ DEFAULTS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
 }
 
-MAX_SHUFFLE_PARTITIONS = 100_000
-
 
 def shuffle_partitions(input_bytes: int, cores: int, target_bytes: int = 128 << 20) -> int:
     """Initial shuffle partition count for a job that reads ``input_bytes``.
@@ -25,7 +23,17 @@ def shuffle_partitions(input_bytes: int, cores: int, target_bytes: int = 128 <<
     starting number has to fit the data: about ``target_bytes`` each, and at least one per core.
     """
     by_size = -(-input_bytes // target_bytes)
-    return max(1, cores, min(by_size, MAX_SHUFFLE_PARTITIONS))
+    return max(1, cores, by_size)
+
+
+def fit_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Raise the session's shuffle partition count to what an input of this size needs.
+
+    A larger count that is set already stays, and small inputs change nothing.
+    """
+    needed = shuffle_partitions(input_bytes, 1)
+    if needed > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
 
 
 def get_session(

@@ -2,29 +2,27 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
-_local_root: tempfile.TemporaryDirectory | None = None
 _issued: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only a local session that leaves the setting unset gets a temporary folder of its own.
+    A local session that leaves the setting unset uses its warehouse folder; its executors are the
+    driver.
     """
-    global _local_root
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if _local_root is None:
-        _local_root = tempfile.TemporaryDirectory(prefix="lakeloom-")
-    return _local_root.name
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -56,11 +54,64 @@ def glob_paths(spark: SparkSession, pattern: str, folders_only: bool = False) ->
     return sorted(s.getPath().toString() for s in found if s.isDirectory() or not folders_only)
 
 
-def first_folder(spark: SparkSession, pattern: str) -> str | None:
-    """One folder that matches a Hadoop glob, without fetching the names of the others."""
-    fs, path = _file_system(spark, pattern)
-    found = fs.globStatus(path) or []
-    return next((s.getPath().toString() for s in found if s.isDirectory()), None)
+def first_folder(spark: SparkSession, path: str, named: str = "") -> str | None:
+    """One folder right below ``path`` whose name holds ``named``, hidden ones left out.
+
+    The listing is read entry by entry up to the first match, and ``path`` is taken as it is, not as
+    a pattern.
+    """
+    fs, folder = _file_system(spark, path)
+    if not fs.exists(folder):
+        return None
+    entries = fs.listStatusIterator(folder)
+    while entries.hasNext():
+        entry = entries.next()
+        name = entry.getPath().getName()
+        if entry.isDirectory() and named in name and name[0] not in "_.":
+            return entry.getPath().toString()
+    return None
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, place = _file_system(spark, path)
+    return bool(fs.exists(place))
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Folders right below ``path``, hidden ones left out; ``path`` is no pattern."""
+    fs, folder = _file_system(spark, path)
+    found = [status.getPath() for status in fs.listStatus(folder) if status.isDirectory()]
+    return sorted(p.toString() for p in found if p.getName()[0] not in "_.")
+
+
+def as_given(path: str) -> str:
+    """The path with pattern characters escaped, for readers that take patterns."""
+    return re.sub(r"([\\*?\[\]{},])", r"\\\1", path)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below a path; 0 where there is none."""
+    fs, folder = _file_system(spark, path)
+    return fs.getContentSummary(folder).getLength() if fs.exists(folder) else 0
+
+
+def create_mark(spark: SparkSession, path: str) -> bool:
+    """Create an empty file unless it is there; tells whether this call made it."""
+    fs, file = _file_system(spark, path)
+    try:
+        return bool(fs.createNewFile(file))
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in str(error.java_exception):
+            return False
+        raise
+
+
+def set_file_times(spark: SparkSession, path: str, millis: int) -> None:
+    """Set the modification time of the files right below a path."""
+    fs, folder = _file_system(spark, path)
+    for status in fs.listStatus(folder):
+        if status.isFile():
+            fs.setTimes(status.getPath(), millis, -1)
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:

@@ -6,7 +6,7 @@ from lakeloom import session, storage
 def test_shuffle_partitions_follow_the_input():
     assert session.shuffle_partitions(0, 8) == 8
     assert session.shuffle_partitions(1 << 40, 8) == 8192
-    assert session.shuffle_partitions(100 << 40, 4000) == session.MAX_SHUFFLE_PARTITIONS
+    assert session.shuffle_partitions(100 << 40, 4000) == 819_200
 
 
 def test_session_takes_the_input_size(spark):
@@ -18,6 +18,23 @@ def test_session_takes_the_input_size(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_shuffles_are_raised_to_fit(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        session.fit_shuffles(spark, 1)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        session.fit_shuffles(spark, 10 << 30)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "80"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_marks_are_made_once(spark, tmp_path):
+    assert storage.create_mark(spark, str(tmp_path / "deep" / "mark"))
+    assert not storage.create_mark(spark, str(tmp_path / "deep" / "mark"))
+    assert storage.folder_bytes(spark, str(tmp_path / "none")) == 0
+
+
 class FakeConf:
     def __init__(self, **values):
         self.values = values
@@ -42,7 +59,8 @@ def test_scratch_is_the_shared_folder(tmp_path):
 def test_a_cluster_needs_a_shared_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         storage.scratch_root(FakeSession(spark_master="spark://host"))
-    assert storage.scratch_root(FakeSession(spark_master="local[2]"))
+    local = FakeSession(spark_master="local[2]", spark_sql_warehouse_dir="/w/")
+    assert storage.scratch_root(local) == "/w/_scratch"
 
 
 def test_defaults(spark):
