@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.catalog import quote_part
+from lakeloom.sources.files import NO_ESCAPE, NO_QUOTE, NO_SEPARATOR, NULL_MARK
 
 # Microseconds are kept in text formats.
 NTZ_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -15,6 +19,9 @@ LTZ_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"
 # Characters the text form of numbers, booleans, dates and timestamps can be made of.
 _PLAIN_TEXT = frozenset("0123456789+-.: ")
 
+# What no value of an unquoted row may hold besides the separator.
+_BREAKS = ("\n", "\r", NULL_MARK, NO_SEPARATOR, NO_QUOTE, NO_ESCAPE)
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).parquet(path)
@@ -26,6 +33,11 @@ def write_json(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).options(**formats).json(path)
 
 
+def _loses_blank_lines(df: DataFrame, sep: str) -> bool:
+    """Can a row be a line of white space only? Readers of delimited text skip such lines."""
+    return len(df.columns) == 1 or sep.strip() == ""
+
+
 def write_delimited(
     df: DataFrame,
     path: str,
@@ -36,10 +48,25 @@ def write_delimited(
 ) -> None:
     """Delimited text that quotes a value where it must, doubling quotes inside.
 
+    Where a row could be a blank line (one column, or a separator of white space), all values are
+    quoted and a null is written as :data:`~lakeloom.sources.files.NULL_MARK`, so that every row comes
+    back. A text value equal to the mark is an error.
+
     ``max_records_per_file`` bounds the files for readers that cannot split them (values with
     record breaks inside).
     """
-    df.write.mode(mode).options(
+    options = {}
+    if _loses_blank_lines(df, sep):
+        options = {"quoteAll": True, "nullValue": NULL_MARK}
+    checked = [
+        F.when(F.col(quote_part(f.name)) == NULL_MARK, F.raise_error(f"column {f.name} holds the null mark").cast("string"))
+        .otherwise(F.col(quote_part(f.name)))
+        .alias(f.name)
+        if isinstance(f.dataType, T.StringType)
+        else F.col(quote_part(f.name))
+        for f in df.schema
+    ]
+    df.select(*checked).write.mode(mode).options(
         sep=sep,
         header=header,
         escape='"',
@@ -48,6 +75,7 @@ def write_delimited(
         timestampFormat=LTZ_FORMAT,
         timestampNTZFormat=NTZ_FORMAT,
         maxRecordsPerFile=max_records_per_file,
+        **options,
     ).csv(path)
 
 
@@ -58,14 +86,15 @@ def _may_hold(data_type: T.DataType, sep: str) -> bool:
 
 
 def _breaks_row(df: DataFrame, sep: str) -> list[tuple[str, Column]]:
-    """Per column that could hold it: does the value contain a separator or a record break?"""
+    """Per column that could hold it: does the value contain a separator, a break or a mark?"""
     checks = []
     for field in df.schema:
         if _may_hold(field.dataType, sep):
             value = F.col(quote_part(field.name)).cast("string")
-            checks.append(
-                (field.name, value.contains(sep) | value.contains("\n") | value.contains("\r"))
-            )
+            broken = value.contains(sep)
+            for other in _BREAKS:
+                broken = broken | value.contains(other)
+            checks.append((field.name, broken))
     return checks
 
 
@@ -93,7 +122,8 @@ def write_unquoted(
 
     A separator or record break inside a value would shift or split its row. The writing pass
     itself checks for that and fails before anything is committed. ``on_ambiguous="keep"`` lets
-    separators through; record breaks stay an error.
+    separators through; record breaks stay an error. A row of empty fields that would be a blank line
+    begins with :data:`~lakeloom.sources.files.NULL_MARK`; one of other white space is an error.
     """
     if len(sep) != 1:
         raise ValueError("the separator is one character")
@@ -108,16 +138,21 @@ def write_unquoted(
         if name in guards:
             bad = guards[name]
             if on_ambiguous == "keep":
-                bad = text.contains("\n") | text.contains("\r")
+                bad = reduce(or_, [text.contains(other) for other in _BREAKS])
             problem = F.raise_error(f"column {name}: a value would break its unquoted row")
             text = F.when(bad, problem.cast("string")).otherwise(text)
         fields.append(text)
-    # One text column named like the header line. Separator and quote of the CSV writer are
-    # control characters here, so it never quotes and each line is the row as built.
-    line = F.concat_ws(sep, *fields).alias(sep.join(df.columns))
-    df.select(line).write.mode(mode).options(
-        sep="\u0001",
-        quote="\u0002",
+    # One text column named like the header line. Separator and quote of the CSV writer are no text
+    # here, so it never quotes and each line is the row as built.
+    line = F.concat_ws(sep, *fields)
+    if _loses_blank_lines(df, sep):
+        empty = reduce(and_, [field == "" for field in fields])
+        marked = F.concat_ws(sep, F.lit(NULL_MARK), *fields[1:])
+        blank = F.raise_error("a row of white space only would be lost in unquoted text").cast("string")
+        line = F.when(empty, marked).when(line.rlike(r"^[\x00-\x20]*$"), blank).otherwise(line)
+    df.select(line.alias(sep.join(df.columns))).write.mode(mode).options(
+        sep=NO_SEPARATOR,
+        quote=NO_QUOTE,
         escapeQuotes=False,
         emptyValue="",
         header=header,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +11,11 @@ from lakeloom.catalog import (
     describe_table,
     drop_table,
     quote_name,
+    quote_part,
     quote_text,
     set_table_properties,
     table_location,
+    table_properties,
 )
 from lakeloom.storage import delete_folder, glob_paths
 
@@ -25,32 +27,67 @@ def publish_table(
     description: str | None = None,
     properties: Mapping[str, str] | None = None,
     column_comments: Mapping[str, str] | None = None,
+    partition_by: Sequence[str] = (),
 ) -> DataFrame:
     """Write ``df`` as Parquet and make it the contents of ``table``, replacing what was there.
 
-    Each call writes a new version folder below ``path`` and points the table at it once the write
-    is complete. So a frame that reads the table's present contents can replace them, a failed
-    write leaves the table as it was, and a reader sees the one version or the other. Only a change
-    of the columns registers the table anew.
+    Each call writes a new version folder below ``path`` and registers it once the write is complete.
+    So a frame that reads the table's present contents can replace them, and a failed write leaves the
+    table as it was. An unpartitioned table with the same columns, description and properties is
+    pointed at the new folder, and a reader sees the one version or the other; any other change drops
+    the registration and creates it anew, which leaves a moment without the table, and nothing of the old
+    description or properties. A table that owns its files is never replaced.
+
+    ``partition_by`` writes ``key=value`` folders, which filters on those columns prune.
     """
     spark = df.sparkSession
     unknown = set(column_comments or {}) - set(df.columns)
     if unknown:
         raise ValueError(f"comments on columns that do not exist: {sorted(unknown)}")
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "MANAGED":
+        raise ValueError(f"{table} owns its files; drop it before publishing by its name")
     version = f"{path.rstrip('/')}/version-{uuid4().hex}"
-    df.write.parquet(version)
+    df.write.partitionBy(*partition_by).parquet(version)
 
-    if _has_columns(spark, table, df):
+    if not partition_by and _is_same(spark, table, df, description, properties or {}, column_comments or {}):
         spark.sql(f"ALTER TABLE {quote_name(table)} SET LOCATION {quote_text(version)}")
         spark.catalog.refreshTable(table)
-    else:
-        drop_table(spark, table)
-        spark.catalog.createTable(table, path=version, source="parquet", schema=df.schema)
+        return spark.table(table)
+    drop_table(spark, table)
+    columns = ", ".join(f"{quote_part(f.name)} {f.dataType.simpleString()}" for f in df.schema)
+    by = f" PARTITIONED BY ({', '.join(map(quote_part, partition_by))})" if partition_by else ""
+    spark.sql(f"CREATE TABLE {quote_name(table)} ({columns}) USING parquet{by} LOCATION {quote_text(version)}")
+    if partition_by:
+        spark.sql(f"ALTER TABLE {quote_name(table)} RECOVER PARTITIONS")
     describe_table(spark, table, description, column_comments)
-    set_table_properties(spark, table, properties or {})
+    set_table_properties(spark, table, dict(properties or {}))
     return spark.table(table)
 
 
+def _is_same(
+    spark: SparkSession,
+    table: str,
+    df: DataFrame,
+    description: str | None,
+    properties: Mapping[str, str],
+    column_comments: Mapping[str, str],
+) -> bool:
+    """Is there such an unpartitioned table, with these columns, texts and properties?"""
+    if not _has_columns(spark, table, df):
+        return False
+    columns = spark.catalog.listColumns(table)
+    if any(column.isPartition for column in columns):
+        return False
+    comments = {column.name: column.description for column in columns if column.description}
+    held = table_properties(spark, table)
+    own = {name: value for name, value in held.items() if name not in ("comment",) and not name.startswith(("spark.", "transient_"))}
+    return (
+        (spark.catalog.getTable(table).description or None) == (description or None)
+        and comments == dict(column_comments)
+        and own == dict(properties)
+    )
+
+
 def _has_columns(spark: SparkSession, table: str, df: DataFrame) -> bool:
     """Is there such a table over given files, with the columns of ``df``?"""
     if not spark.catalog.tableExists(table):

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from lakeloom.catalog import quote_name, quote_part, quote_text, set_table_properties
-from lakeloom.storage import first_folder, glob_paths
+from lakeloom.storage import as_given, first_folder, subfolders
 
 # An inferred type says what the rows seen fit in. The wider type of the same family holds the
 # values that a later file may bring.
@@ -30,37 +31,30 @@ def infer_schema(
     path: str,
     fmt: str = "csv",
     options: Mapping[str, str] | None = None,
-    sample_ratio: float = 1.0,
-    sample_files: int | None = None,
 ) -> T.StructType:
     """Infer the columns of a folder, ``key=value`` folder columns included.
 
-    By default text formats are read in full. ``sample_ratio`` below 1 parses only that share of
-    the rows, and ``sample_files`` opens only so many files, spread over the folder. Folder columns
-    always come from all folder names. Parquet and ORC carry their schema.
+    Text formats are read in full, so that no column and no wider type of any file is missed;
+    Parquet and ORC carry their schema.
     """
     reader = spark.read.format(fmt).options(**(options or {}))
+    place = as_given(path)
     if fmt not in ("csv", "json"):
-        return reader.load(path).schema
-    paths = [path]
-    if sample_files is not None:
-        files = sorted(spark.read.format("text").load(path).inputFiles())
-        paths = files[:: max(1, -(-len(files) // sample_files))]
-    sampled = reader.option("samplingRatio", str(sample_ratio))
+        return reader.load(place).schema
     if fmt == "csv":
-        sampled = sampled.option("inferSchema", "true")
-    data = _widen(sampled.load(paths).schema)
+        reader = reader.option("inferSchema", "true")
+    data = _widen(reader.load(place).schema)
     folders = folder_columns(spark, path)
     if not folders:
         return data
     data = T.StructType([field for field in data if field.name not in folders])
-    return spark.read.format(fmt).options(**(options or {})).schema(data).load(path).schema
+    return spark.read.format(fmt).options(**(options or {})).schema(data).load(place).schema
 
 
 def folder_columns(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Names of the ``key=value`` folder levels below ``path``."""
+    """Names of the ``key=value`` folder levels below ``path``, by one descent."""
     names, folder = [], path.rstrip("/")
-    while folder := first_folder(spark, f"{folder}/[!_.]*=*"):
+    while folder := first_folder(spark, folder, "="):
         names.append(folder.rsplit("/", 1)[1].split("=", 1)[0])
     return tuple(names)
 
@@ -71,20 +65,26 @@ def discover_table(
     path: str,
     fmt: str = "csv",
     options: Mapping[str, str] | None = None,
-    sample_ratio: float = 1.0,
-    sample_files: int | None = None,
     description: str | None = None,
 ) -> DataFrame:
     """Infer the schema of ``path`` and register the files, where they lie, as ``table``.
 
-    ``key=value`` folders become partition columns. An earlier registration of the name is
-    replaced; files are never touched. Text formats read in FAILFAST mode: a value outside a
-    sampled type stops the query instead of becoming a null.
+    ``key=value`` folders become partition columns. An earlier registration of the name is replaced,
+    but a table that owns its files is not: that is an error, and so is a path with pattern
+    characters. Files are never touched. Text formats read in FAILFAST mode, and a file whose header
+    differs from the table's columns in name or order stops the query; :func:`read_mixed_headers`
+    reads such folders by name.
     """
     options = dict(options or {})
     if fmt in ("csv", "json"):
         options.setdefault("mode", "FAILFAST")
-    schema = infer_schema(spark, path, fmt, options, sample_ratio, sample_files)
+    if fmt == "csv" and str(options.get("header", "false")).lower() == "true":
+        options.setdefault("enforceSchema", "false")
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "MANAGED":
+        raise ValueError(f"{table} owns its files; drop it before registering others by its name")
+    if as_given(path) != path:
+        raise ValueError(f"Spark registers no table over {path}: it would read it as a pattern")
+    schema = infer_schema(spark, path, fmt, options)
     partitions = folder_columns(spark, path)
     names = quote_name(table)
     columns = ", ".join(f"{quote_part(f.name)} {f.dataType.simpleString()}" for f in schema)
@@ -104,23 +104,40 @@ def discover_table(
     return spark.table(table)
 
 
+def read_mixed_headers(
+    spark: SparkSession, folders: Sequence[str], options: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Headed text of several folders, each with a header of its own, as one frame by column name.
+
+    Columns that a folder lacks are null there; types are the wider of the folders'.
+    """
+    settings = {"mode": "FAILFAST", "enforceSchema": "false", **(options or {}), "header": "true"}
+    frames = []
+    for folder in folders:
+        schema = infer_schema(spark, folder, "csv", settings)
+        frames.append(spark.read.options(**settings).schema(schema).csv(as_given(folder)))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def discover_tables(
     spark: SparkSession,
     database: str,
     prefix: str,
     fmt: str = "csv",
     options: Mapping[str, str] | None = None,
-    sample_ratio: float = 1.0,
-    sample_files: int | None = None,
 ) -> list[str]:
     """Register each folder right below ``prefix`` as a table named after it; gives the names.
 
-    Folders whose name starts with ``_`` or ``.`` are passed over, as Spark does.
+    Folders whose name starts with ``_`` or ``.`` are passed over, as Spark does. Two folders that
+    come to the same table name are an error, before anything is registered.
     """
-    tables = []
-    for path in glob_paths(spark, f"{prefix.rstrip('/')}/[!_.]*", folders_only=True):
+    names: dict[str, str] = {}
+    for path in subfolders(spark, prefix.rstrip("/")):
         folder = path.rsplit("/", 1)[1]
         name = f"{database}.{re.sub('[^a-z0-9_]+', '_', folder.lower())}"
-        discover_table(spark, name, path, fmt, options, sample_ratio, sample_files)
-        tables.append(name)
-    return tables
+        if name in names:
+            raise ValueError(f"{names[name]} and {path} would both be {name}")
+        names[name] = path
+    for name, path in names.items():
+        discover_table(spark, name, path, fmt, options)
+    return list(names)

@@ -9,15 +9,33 @@ from pyspark.sql import types as T
 
 Schema = str | T.StructType
 
+# Fixed values that stand outside text: Unicode noncharacters. The first is a null, the others are
+# the separator, quote and escape of text that has none; the writers refuse values that hold them.
+NULL_MARK, NO_SEPARATOR, NO_QUOTE, NO_ESCAPE = "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3"
+
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
     """Scan a table of the session catalog, ``database.table``."""
     return spark.table(table)
 
 
-def read_json(spark: SparkSession, paths: str | Sequence[str], schema: Schema) -> DataFrame:
-    """Scan JSON-lines files from one path or a list of paths."""
-    return spark.read.schema(schema).json(paths if isinstance(paths, str) else list(paths))
+def read_json(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: Schema,
+    bad_lines: str | None = None,
+) -> DataFrame:
+    """Scan JSON-lines files from one path or a list of paths.
+
+    A line that is no JSON, or a value that does not fit its type, is an error. ``bad_lines`` names a
+    string column that keeps the raw line instead, with nulls for what could not be read.
+    """
+    reader = spark.read.option("mode", "FAILFAST")
+    if bad_lines is not None:
+        given = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+        schema = T.StructType([*given.fields, T.StructField(bad_lines, T.StringType())])
+        reader = spark.read.options(mode="PERMISSIVE", columnNameOfCorruptRecord=bad_lines)
+    return reader.schema(schema).json(paths if isinstance(paths, str) else list(paths))
 
 
 def read_parquet(
@@ -49,15 +67,15 @@ def delimited_options(
         "multiLine": str(multiline).lower(),
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
-        # What an empty field is read as internally before it becomes null. Being no text a file
-        # holds, it keeps a quoted empty string apart from null.
-        "nullValue": "\u0001",
+        # An empty field is null, and so is the mark that stands for null where an empty line would
+        # be lost. Being no text, it keeps a quoted empty string apart from null.
+        "nullValue": NULL_MARK,
         "enforceSchema": "false" if header else "true",
         "mode": "FAILFAST",
     }
     if not quoted:
         # A lone backslash is data too: the escape character is one no text file holds.
-        options["escape"] = "\u0000"
+        options["escape"] = NO_ESCAPE
     if record_sep is not None:
         options["lineSep"] = record_sep
     return options

@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import rows
+from conftest import plan, rows
 from lakeloom import catalog
 from lakeloom.sinks.files import write_delimited, write_json
 from lakeloom.sinks.tables import expire_versions, publish_table
@@ -8,7 +8,7 @@ from lakeloom.sources.discovery import (
     discover_table,
     discover_tables,
     folder_columns,
-    infer_schema,
+    read_mixed_headers,
 )
 from lakeloom.sources.files import delimited_options, read_table
 from lakeloom.sources.named import create_source_view, load
@@ -85,8 +85,8 @@ def test_a_table_can_be_replaced_from_itself(spark, database, products, tmp_path
 def test_versions(spark, database, products, tmp_path):
     path = str(tmp_path / "products")
     publish_table(products, "shop.products", path, "Kept", {"source": "x"}, {"id": "Number"})
-    # The same columns: the table moves on, with what is said about it.
-    publish_table(products.filter("id = 1"), "shop.products", path)
+    # The same columns and texts: the table moves on.
+    publish_table(products.filter("id = 1"), "shop.products", path, "Kept", {"source": "x"}, {"id": "Number"})
     assert catalog.table_description(spark, "shop.products") == "Kept"
     assert catalog.column_descriptions(spark, "shop.products")["id"] == "Number"
     assert spark.table("shop.products").count() == 1
@@ -94,9 +94,30 @@ def test_versions(spark, database, products, tmp_path):
     expire_versions(spark, "shop.products", path)
     assert len(list((tmp_path / "products").glob("version-*"))) == 1
     assert spark.table("shop.products").count() == 1
-    # Other columns.
+    # Other columns, and nothing left of the old texts.
     publish_table(products.drop("name"), "shop.products", path)
     assert spark.table("shop.products").columns == ["id", "price", "in_stock"]
+    assert not catalog.table_description(spark, "shop.products")
+    assert "source" not in catalog.table_properties(spark, "shop.products")
+
+
+def test_partitioned_tables_are_pruned(spark, database, products, tmp_path):
+    path = str(tmp_path / "parts")
+    for rounds in (products, products.filter("id > 1")):
+        table = publish_table(rounds, "shop.parts", path, partition_by=["in_stock"])
+        assert rows(table.select(*products.columns)) == rows(rounds)
+    assert "PartitionFilters: [isnotnull(in_stock" in plan(table.filter("in_stock"))
+
+
+def test_a_table_that_owns_its_files_is_kept(spark, database, products, tmp_path):
+    products.write.saveAsTable("shop.owned")
+    write_delimited(products, str(tmp_path / "files"))
+    with pytest.raises(ValueError, match="owns its files"):
+        discover_table(spark, "shop.owned", str(tmp_path / "files"), "csv", delimited_options(sep="|"))
+    with pytest.raises(ValueError, match="owns its files"):
+        publish_table(products, "shop.owned", str(tmp_path / "other"))
+    assert spark.table("shop.owned").count() == 3
+    catalog.drop_table(spark, "shop.owned")
 
 
 def test_comments_need_their_column(products, tmp_path):
@@ -155,25 +176,46 @@ def test_sampled_types_do_not_lose_values(spark, database, tmp_path):
         spark.table("shop.numbers").collect()
 
 
-def test_schema_of_sample(spark, tmp_path):
-    write_json(spark.range(100), str(tmp_path / "n"))
-    schema = infer_schema(spark, str(tmp_path / "n"), "json", sample_ratio=0.5)
-    assert schema.simpleString() == "struct<id:bigint>"
-
-
-def test_discovery_from_some_files(spark, database, tmp_path):
+def test_discovery_reads_all_files_and_folders(spark, database, tmp_path):
     path = str(tmp_path / "logs")
     for day in ("1", "2", "last"):
         write_json(spark.range(4, numPartitions=2), f"{path}/day={day}")
+    (tmp_path / "logs" / "day=2" / "odd.json").write_text('{"id": 9, "seldom": 1.5}\n')
     assert folder_columns(spark, path) == ("day",)
     spark.range(4).selectExpr("id", "id % 2 AS a", "id AS b").write.partitionBy("a", "b").json(
         str(tmp_path / "deep")
     )
     assert folder_columns(spark, str(tmp_path / "deep")) == ("a", "b")
-    table = discover_table(spark, "shop.logs", path, "json", sample_files=1)
-    # The folder column's type comes from all folders, not from the one that was opened.
-    assert table.schema.simpleString() == "struct<id:bigint,day:string>"
-    assert table.filter("day = 'last'").count() == 4 and table.count() == 12
+    table = discover_table(spark, "shop.logs", path, "json")
+    assert table.schema.simpleString() == "struct<id:bigint,seldom:double,day:string>"
+    assert table.filter("day = 'last'").count() == 4 and table.count() == 13
+
+
+def test_headers_in_another_order_are_an_error_or_read_by_name(spark, database, tmp_path):
+    for name, text in (("x", "a,b\n1,2\n"), ("y", "b,a\n1,2\n")):
+        (tmp_path / "both" / name).mkdir(parents=True)
+        (tmp_path / "both" / name / "f.csv").write_text(text)
+    both = tmp_path / "mixed"
+    both.mkdir()
+    (both / "x.csv").write_text("a,b\n1,2\n")
+    (both / "y.csv").write_text("b,a\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        discover_table(spark, "shop.mixed_up", str(both), "csv", {"header": "true"}).collect()
+    found = read_mixed_headers(spark, [str(tmp_path / "both" / "x"), str(tmp_path / "both" / "y")])
+    assert found.columns == ["a", "b"] and rows(found) == [(1, 2), (2, 1)]
+
+
+def test_names_that_collide_and_paths_like_patterns(spark, database, products, tmp_path):
+    write_delimited(products, str(tmp_path / "lake" / "g[1]"))
+    with pytest.raises(ValueError, match="as a pattern"):
+        discover_tables(spark, "shop", str(tmp_path / "lake"), "csv", delimited_options(sep="|"))
+    found = read_mixed_headers(spark, [str(tmp_path / "lake" / "g[1]")], delimited_options(sep="|"))
+    assert rows(found) == rows(products)
+    for name in ("a-b", "a_b"):
+        write_delimited(products, str(tmp_path / "twice" / name))
+    with pytest.raises(ValueError, match="would both be"):
+        discover_tables(spark, "shop", str(tmp_path / "twice"), "csv", delimited_options(sep="|"))
+    assert not spark.catalog.tableExists("shop.a_b")
 
 
 def test_source_views_are_the_sources(spark, database, testdata):

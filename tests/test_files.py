@@ -191,3 +191,48 @@ def test_explicit_schemas_fit_the_tables(spark, testdata):
         stored = spark.read.parquet(f"{testdata}/{table}.parquet").schema
         ours = load_table(spark, testdata, table).schema
         assert [(f.name, f.dataType) for f in ours] == [(f.name, f.dataType) for f in stored]
+
+
+ODD = ["a", None, "", "  ", "b", "\u0001", "x\u0001y\u0002|\u0003", '"quoted"', "back\\slash"]
+
+
+@pytest.mark.parametrize("sep", ["|", "\t"])
+def test_single_text_columns_keep_every_row(spark, tmp_path, sep):
+    df = spark.createDataFrame([(x,) for x in ODD], "v string")
+    write_delimited(df, str(tmp_path / "out"), sep=sep)
+    found = files.read_delimited(spark, str(tmp_path / "out"), "v string", sep=sep)
+    assert rows(found) == rows(df)
+
+
+def test_rows_of_nulls_with_a_tab(spark, tmp_path):
+    df = spark.createDataFrame([(None, None), (None, 1), ("", None), (" ", None)], "v string, n int")
+    write_delimited(df, str(tmp_path / "quoted"), sep="\t")
+    assert rows(files.read_delimited(spark, str(tmp_path / "quoted"), df.schema, sep="\t")) == rows(df)
+    plain = df.filter("v is null or v = ''")
+    write_unquoted(plain, str(tmp_path / "plain"), sep="\t")
+    found = files.read_delimited(spark, str(tmp_path / "plain"), df.schema, sep="\t", quoted=False)
+    assert rows(found) == [(None, 1), (None, None), (None, None)]
+
+
+def test_unquoted_text_keeps_control_characters_and_refuses_blank_rows(spark, tmp_path):
+    df = spark.createDataFrame([("a\u0001b", "c\u0002"), ("\u0001", '"q')], "v string, w string")
+    write_unquoted(df, str(tmp_path / "two"))
+    assert rows(files.read_delimited(spark, str(tmp_path / "two"), df.schema, sep="|", quoted=False)) == rows(df)
+    one = spark.createDataFrame([("a",), (None,), ("",)], "v string")
+    write_unquoted(one, str(tmp_path / "one"))
+    found = files.read_delimited(spark, str(tmp_path / "one"), "v string", sep="|", quoted=False)
+    assert rows(found) == [("a",), (None,), (None,)]
+    with pytest.raises(Exception, match="white space"):
+        write_unquoted(spark.createDataFrame([("  ",)], "v string"), str(tmp_path / "blank"))
+    with pytest.raises(Exception, match="would break"):
+        write_unquoted(spark.createDataFrame([("\ufdd1", "")], "v string, w string"), str(tmp_path / "mark"))
+    with pytest.raises(Exception, match="null mark"):
+        write_delimited(spark.createDataFrame([("\ufdd0", "")], "v string, w string"), str(tmp_path / "null"))
+
+
+def test_json_that_does_not_fit_is_an_error_or_kept(spark, tmp_path):
+    (tmp_path / "j.json").write_text('{"a": 1}\n{"a": "zz"}\nnot json\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_json(spark, str(tmp_path / "j.json"), "a int").collect()
+    found = files.read_json(spark, str(tmp_path / "j.json"), "a int", bad_lines="raw")
+    assert rows(found) == [(1, None), (None, "not json"), (None, '{"a": "zz"}')]
