@@ -16,14 +16,20 @@ def map_total(parsed: Column, value_type: str = "double") -> Column:
     plain = F.aggregate(F.map_values(parsed), zero, lambda total, value: total + value)
     entries = F.arrays_zip(
         names.alias("name"),
-        F.map_values(parsed).alias("value"),
         F.sequence(F.lit(1), F.size(names)).alias("at"),
+        F.map_values(parsed).alias("value"),
+    )
+    # Sorted by name and place, the last entry of a name is the one before another name.
+    ordered = F.array_sort(entries)
+    following = F.slice(ordered, 2, F.size(ordered))
+    last_values = F.zip_with(
+        ordered,
+        following,
+        lambda e, after: F.when(after.isNull() | (after["name"] != e["name"]), F.struct(e["value"].alias("value"))),
     )
-    last_values = F.filter(
-        entries,
-        lambda e: ~F.array_contains(F.slice(names, e["at"] + 1, F.size(names)), e["name"]),
+    repeated = F.aggregate(
+        F.filter(last_values, lambda e: e.isNotNull()), zero, lambda total, entry: total + entry["value"]
     )
-    repeated = F.aggregate(last_values, zero, lambda total, entry: total + entry["value"])
     return F.when(F.size(F.array_distinct(names)) < F.size(names), repeated).otherwise(plain)
 
 

@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.operators.aggregates import first_rows
-from lakeloom.storage import delete_folder, glob_paths
+from lakeloom.storage import (
+    as_given,
+    create_mark,
+    delete_folder,
+    glob_paths,
+    path_exists,
+    subfolders,
+)
 
 HISTORY_COLUMNS = ("scd_id", "scd_updated_at", "valid_from", "valid_to")
 
@@ -30,8 +37,11 @@ def version_id(df: DataFrame, keys: Sequence[str], updated_at: str) -> Column:
         text = F.unix_micros(moment).cast("string")
     else:
         text = moment.cast("string")
-    parts = [F.coalesce(F.col(key).cast("string"), F.lit("")) for key in keys]
-    return F.md5(F.concat_ws("|", *parts, F.coalesce(text, F.lit(""))))
+    parts = [F.col(key).cast("string") for key in keys]
+    if len(parts) > 1:
+        # Lengths keep parts apart that hold the separator, and a null apart from an empty text.
+        parts = [F.concat(F.length(part).cast("string"), F.lit(":"), part) for part in parts]
+    return F.md5(F.concat_ws("|", *[F.coalesce(part, F.lit("")) for part in (*parts, text)]))
 
 
 def latest_states(df: DataFrame, keys: Sequence[str], updated_at: str) -> DataFrame:
@@ -104,8 +114,12 @@ class SnapshotTable:
     """Type-2 history kept as Parquet below a folder, one folder per run.
 
     A run writes ``run=<n>/is_open=true`` with the state of every key and ``run=<n>/is_open=false``
-    with the rows it closed. Earlier closed rows are never read or rewritten by a run. A run counts
-    once Spark has marked its folder complete; what a failed run left is overwritten by the next.
+    with the rows it closed. Earlier closed rows are never read or rewritten by a run.
+
+    A run first takes its number by creating a mark that must not be there, and counts once a second
+    mark follows the data. So of two runs at a time one fails, whatever Spark's own marks are set to,
+    and no folder is written over. A run that fails gives its number back; one that is cut off
+    keeps it until :meth:`discard_unfinished`.
     """
 
     def __init__(
@@ -134,8 +148,20 @@ class SnapshotTable:
 
     def runs(self) -> list[int]:
         """Numbers of the completed runs."""
-        marks = glob_paths(self.spark, f"{self.root}/run=*/_SUCCESS")
-        return sorted(int(re.search(r"/run=(\d+)/_SUCCESS$", mark).group(1)) for mark in marks)
+        marks = glob_paths(self.spark, f"{as_given(self.root)}/_marks/complete-*")
+        return sorted(int(mark.rsplit("-", 1)[1]) for mark in marks)
+
+    def _mark(self, kind: str, run: int) -> str:
+        return f"{self.root}/_marks/{kind}-{run}"
+
+    def discard_unfinished(self) -> None:
+        """Delete what runs that were cut off have left. No run may be under way."""
+        complete = set(self.runs())
+        folders = [path for path in subfolders(self.spark, self.root) if "/run=" in path]
+        marks = glob_paths(self.spark, f"{as_given(self.root)}/_marks/taken-*")
+        for place in (*folders, *marks):
+            if int(re.search(r"(\d+)$", place).group(1)) not in complete:
+                delete_folder(self.spark, place)
 
     def _read(self, runs: Sequence[int]) -> DataFrame:
         schema = T.StructType(
@@ -163,7 +189,19 @@ class SnapshotTable:
         merged = merge_history(
             self._open_rows(runs), source.select(*names), self.keys, self.updated_at
         )
-        merged.write.mode("overwrite").partitionBy("is_open").parquet(f"{self.root}/run={run}")
+        if not create_mark(self.spark, self._mark("taken", run)):
+            raise RuntimeError(f"run {run} is taken: another is under way or was cut off")
+        folder = f"{self.root}/run={run}"
+        if path_exists(self.spark, folder):
+            delete_folder(self.spark, self._mark("taken", run))
+            raise RuntimeError(f"{folder} holds data no run has marked; see discard_unfinished")
+        try:
+            merged.write.partitionBy("is_open").parquet(folder)
+        except Exception:
+            delete_folder(self.spark, folder)
+            delete_folder(self.spark, self._mark("taken", run))
+            raise
+        create_mark(self.spark, self._mark("complete", run))
         return run
 
     def history(self) -> DataFrame:
@@ -181,8 +219,11 @@ class SnapshotTable:
     def changed(self) -> DataFrame:
         """The history of those keys only that have changed since they were first seen."""
         history = self.history()
-        changed = history.filter("valid_to is not null").select(*self.keys).distinct()
-        return history.join(changed, self.keys, "left_semi")
+        closed = history.filter("valid_to is not null")
+        # Closed rows qualify by themselves; open rows are one per key, so the join has no hot key.
+        open_rows = history.filter("valid_to is null")
+        keys = closed.select(*self.keys).distinct()
+        return closed.unionByName(open_rows.join(keys, self.keys, "left_semi"))
 
     def expire(self, keep: int = 2) -> None:
         """Delete the open rows of all but the last ``keep`` runs; later runs hold them anew.

@@ -5,7 +5,7 @@ from random import Random
 import pytest
 
 from conftest import rows
-from lakeloom.operators.snapshots import SnapshotTable, latest_states
+from lakeloom.operators.snapshots import SnapshotTable, latest_states, version_id
 
 T1, T2, T3 = datetime(2024, 1, 1), datetime(2024, 1, 2, 3, 4, 5, 678901), datetime(2024, 1, 3)
 SCHEMA = "id int, status string, updated_at timestamp_ntz"
@@ -67,7 +67,7 @@ def test_only_the_latest_state_of_a_batch_counts(spark, table):
     assert rows(latest) == [(1, "c", T3), (2, "y", T1)]
 
 
-def test_a_run_that_failed_is_not_seen_and_overwritten(spark, table):
+def test_what_a_cut_off_run_left_is_not_seen(spark, table):
     apply(table, (1, "a", T1))
     debris = spark.createDataFrame([(9, "lost", T1)], SCHEMA)
     debris.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
@@ -75,6 +75,10 @@ def test_a_run_that_failed_is_not_seen_and_overwritten(spark, table):
     )
     assert table.runs() == [1]
     assert states(table.history()) == [(1, "a", T1, None)]
+    # Whose it is, is not known, so it is neither overwritten nor deleted unasked.
+    with pytest.raises(RuntimeError, match="discard_unfinished"):
+        apply(table, (1, "b", T2))
+    table.discard_unfinished()
     assert apply(table, (1, "b", T2)) == 2
     assert states(table.history()) == [(1, "a", T1, T2), (1, "b", T2, None)]
 
@@ -144,3 +148,42 @@ def test_random_runs_match_a_simulation(spark, table):
     assert states(table.history()) == sorted(map(tuple, history), key=lambda r: tuple(map(repr, r)))
     changed = {row[0] for row in history if row[3] is not None}
     assert {r[0] for r in states(table.changed())} == changed
+
+
+def test_history_is_kept_where_spark_leaves_no_marks(spark, table):
+    name = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set(name, "false")
+    try:
+        apply(table, (1, "a", T1))
+        apply(table, (1, "b", T2))
+    finally:
+        conf.unset(name)
+    assert table.runs() == [1, 2]
+    assert states(table.history()) == [(1, "a", T1, T2), (1, "b", T2, None)]
+
+
+def test_a_taken_number_is_not_written_over(spark, table):
+    apply(table, (1, "a", T1))
+    other = Path(table.root) / "_marks" / "taken-2"
+    other.touch()
+    with pytest.raises(RuntimeError, match="taken"):
+        apply(table, (1, "b", T2))
+    table.discard_unfinished()
+    apply(table, (1, "b", T2))
+    assert len(states(table.history())) == 2
+
+
+def test_a_failed_run_gives_its_number_back(spark, table):
+    apply(table, (1, "a", T1))
+    with pytest.raises(Exception, match="no good"):
+        source = spark.createDataFrame([(1, "b", T2)], table.source_schema)
+        table.apply(source.selectExpr("id", "if(id = 1, raise_error('no good'), status) AS status", "updated_at"))
+    apply(table, (1, "b", T2))
+    assert table.runs() == [1, 2] and len(states(table.history())) == 2
+
+
+def test_parts_of_composite_keys_stay_apart(spark):
+    given = [("a|b", "c", T1), ("a", "b|c", T1), (None, "b", T1), ("", "b", T1)]
+    df = spark.createDataFrame(given, "a string, b string, at timestamp_ntz")
+    assert df.select(version_id(df, ["a", "b"], "at").alias("id")).distinct().count() == 4
