@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -80,6 +80,53 @@ def accepted_values(df: DataFrame, model: str, column: str, values: Sequence) ->
     return _report(outside, model, column, "accepted_values", F.count(F.lit(1)))
 
 
+def model_tests(
+    df: DataFrame,
+    model: str,
+    unique: Sequence[str | Sequence[str]] = (),
+    not_null: Sequence[str] = (),
+    accepted: Mapping[str, Sequence] | None = None,
+) -> DataFrame:
+    """The row, key and value tests of a model from one pass over it.
+
+    ``unique`` names columns or combinations of columns, ``accepted`` the values a column may have. All are
+    grouping sets of one aggregation, so the model is computed once and shuffled once, whatever the
+    number of its tests; results are those of the functions for single tests.
+    """
+    keys = [[names] if isinstance(names, str) else list(names) for names in unique]
+    accepted = dict(accepted or {})
+    columns = list(dict.fromkeys([*(name for names in keys for name in names), *accepted]))
+    sets = [list(names) for names in dict.fromkeys(map(tuple, [*keys, *([name] for name in accepted), []]))]
+    place = {name: f"_key{i}" for i, name in enumerate(columns)}
+    missing = {name: f"_null{i}" for i, name in enumerate(not_null)}
+    flat = df.select(
+        *[F.col(name).alias(place[name]) for name in columns],
+        *[F.col(name).isNull().alias(missing[name]) for name in not_null],
+    )
+    counted = [F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(m)).alias(m) for m in missing.values()]]
+    if columns:
+        grouped = flat.groupingSets([[F.col(place[name]) for name in names] for names in sets], *[F.col(p) for p in place.values()])
+        groups = grouped.agg(F.grouping_id().alias("_set"), *counted)
+    else:
+        groups = flat.agg(*counted).withColumn("_set", F.lit(0))
+
+    def in_set(names: Sequence[str]) -> Column:
+        mask = sum(1 << (len(columns) - 1 - i) for i, name in enumerate(columns) if name not in names)
+        return F.col("_set") == mask
+
+    tests = []
+    for names in keys:
+        present = reduce(lambda a, b: a & b, [F.col(place[name]).isNotNull() for name in names])
+        tests.append((", ".join(names), "unique", F.count_if(in_set(names) & present & (F.col("n_rows") > 1))))
+    for name in not_null:
+        tests.append((name, "not_null", F.coalesce(F.sum(F.when(in_set([]), F.col(missing[name]))), F.lit(0))))
+    for name, values in accepted.items():
+        outside = ~F.col(place[name]).isin(*values)
+        tests.append((name, "accepted_values", F.count_if(in_set([name]) & outside)))
+    counts = groups.agg(*[failures.alias(f"_test{i}") for i, (_, _, failures) in enumerate(tests)])
+    return _rows(counts, model, [(column, test, F.col(f"_test{i}")) for i, (column, test, _) in enumerate(tests)])
+
+
 def relationships(
     child: DataFrame, model: str, column: str, parent: DataFrame, parent_column: str
 ) -> DataFrame:

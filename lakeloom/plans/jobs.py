@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeloom.operators.columns import constant_column, drop_fields, rename_fields
-from lakeloom.operators.filters import filter_equals, top_rows
+from lakeloom.operators.filters import filter_equals
 from lakeloom.operators.joins import join_on
-from lakeloom.operators.translate import TranslatorFactory, translate_in_batches
+from lakeloom.operators.translate import TranslatorFactory, translate_column
+from lakeloom.session import fit_shuffles
 from lakeloom.sinks.files import write_parquet, write_unquoted
 from lakeloom.sources.files import read_table
 
-# The tables of the history job, and title, company and row count of the export.
+# The tables of the history job, title and company of the export, and the number of
+# rows of a report of the first contacts.
 HISTORY_TABLES = ("persons_json", "memberships_json", "organizations_json")
-TITLE, COMPANY, EXPORTED_ROWS = "Ms.", "spital", 5
+TITLE, COMPANY, REPORTED_ROWS = "Ms.", "spital", 5
 
 
 def entity_history(
@@ -32,8 +34,15 @@ def entity_history(
     return drop_fields(history, ["person_id", "org_id"])
 
 
-def history_job(spark: SparkSession, database: str, output: str) -> None:
-    """Join the catalog's person, membership and organization tables and store the history."""
+def history_job(
+    spark: SparkSession, database: str, output: str, input_bytes: int | None = None
+) -> None:
+    """Join the catalog's person, membership and organization tables and store the history.
+
+    ``input_bytes``, the size of the tables, raises the number of shuffle partitions to fit.
+    """
+    if input_bytes is not None:
+        fit_shuffles(spark, input_bytes)
     tables = [read_table(spark, f"{database}.{name}") for name in HISTORY_TABLES]
     write_parquet(entity_history(*tables), output)
 
@@ -41,15 +50,16 @@ def history_job(spark: SparkSession, database: str, output: str) -> None:
 def translated_contacts(
     contacts: DataFrame,
     factory: TranslatorFactory,
+    store: str | None = None,
     title: str = TITLE,
     company: str = COMPANY,
-    n: int = EXPORTED_ROWS,
-    order_by: str = "customer_id",
 ) -> DataFrame:
-    """The first contacts with a title, with a company name and its translation."""
-    chosen = top_rows(filter_equals(contacts, "title", title), [order_by], n)
-    named = constant_column(chosen, "companyname", company)
-    return translate_in_batches(named, "companyname", "companyname_en", factory)
+    """All contacts with a title, with a company name and its translation.
+
+    ``store`` as in :func:`~lakeloom.operators.translate.translate_column`.
+    """
+    named = constant_column(filter_equals(contacts, "title", title), "companyname", company)
+    return translate_column(named, "companyname", "companyname_en", factory, store=store)
 
 
 def contact_export_job(

@@ -66,65 +66,29 @@ def customer_order_bounds(orders: DataFrame) -> DataFrame:
 
 
 def customer_orders(customers: DataFrame, orders: DataFrame, paid: DataFrame) -> DataFrame:
-    """Customers with their first and last order, by matching orders on customer and date.
+    """One row per customer with the first and last order's date and amount.
 
-    A customer with several orders on the first or the last date gets a row for each combination of
-    these. That is what matching on (customer, date) means; :func:`customer_orders_unique` keeps to
-    one row per customer.
-
-    A customer who has a first date has an order on it, so the matches are inner joins and only
-    customers without any date are set aside. AQE can split a hot key on either side of an inner
-    join, but not on the right of a left join, which is where the orders would be. Joining on
-    customer and date, not on the customer alone, gives both joins a shuffle of their own, which
-    that split needs, and both read the same shuffle of the orders.
-    """
-    staged = stg_orders(orders, paid)
-    first = staged.select(
-        "customer_id",
-        F.col("order_date").alias("first_order_date"),
-        F.col("payment_amount").alias("first_order_amt"),
-    )
-    most_recent = staged.select(
-        "customer_id",
-        F.col("order_date").alias("most_recent_order_date"),
-        F.col("payment_amount").alias("most_recent_order_amt"),
-    )
-    known = stg_customers(customers).join(customer_order_bounds(orders), "customer_id", "left")
-    dated = (
-        known.filter(F.col("first_order_date").isNotNull())
-        .join(first, ["customer_id", "first_order_date"])
-        .join(most_recent, ["customer_id", "most_recent_order_date"])
-    )
-    undated = known.filter(F.col("first_order_date").isNull())
-    return dated.unionByName(undated, allowMissingColumns=True).select(
-        "customer_id",
-        "first_name",
-        "last_name",
-        "first_order_date",
-        "most_recent_order_date",
-        "first_order_amt",
-        "most_recent_order_amt",
-        F.coalesce("number_of_orders", F.lit(0)).alias("number_of_orders"),
-    )
-
-
-def customer_orders_unique(customers: DataFrame, orders: DataFrame, paid: DataFrame) -> DataFrame:
-    """One row per customer; of several orders on a date, the lowest id is first, the highest last.
-
-    One aggregation gives dates, amounts and the count; the orders are not joined back.
+    Of several orders on a date, the lowest id is first, the highest last. Orders are summed up by
+    customer and date and then by customer: every buffer is a number or a time, so both steps stay in
+    hash aggregation, a customer with very many orders is combined in many tasks, and the orders are
+    not joined back.
     """
-    dated = F.when(F.col("order_date").isNotNull(), F.struct("order_date", "order_id"))
-    summary = (
+    days = (
         stg_orders(orders, paid)
-        .groupBy("customer_id")
+        .groupBy("customer_id", "order_date")
         .agg(
-            F.min("order_date").alias("first_order_date"),
-            F.max("order_date").alias("most_recent_order_date"),
-            F.min_by("payment_amount", dated).alias("first_order_amt"),
-            F.max_by("payment_amount", dated).alias("most_recent_order_amt"),
-            F.count("order_id").alias("number_of_orders"),
+            F.min_by("payment_amount", "order_id").alias("first_amount"),
+            F.max_by("payment_amount", "order_id").alias("last_amount"),
+            F.count("order_id").alias("n_orders"),
         )
     )
+    summary = days.groupBy("customer_id").agg(
+        F.min("order_date").alias("first_order_date"),
+        F.max("order_date").alias("most_recent_order_date"),
+        F.min_by("first_amount", "order_date").alias("first_order_amt"),
+        F.max_by("last_amount", "order_date").alias("most_recent_order_amt"),
+        F.sum("n_orders").alias("number_of_orders"),
+    )
     return (
         stg_customers(customers)
         .join(summary, "customer_id", "left")
@@ -148,5 +112,4 @@ def build_models(
         "stg_orders": stg_orders(orders, paid),
         "order_payment_method_amounts": order_payment_method_amounts(payments),
         "customer_orders": customer_orders(customers, orders, paid),
-        "customer_orders_unique": customer_orders_unique(customers, orders, paid),
     }

@@ -28,18 +28,6 @@ _BOUNDS = """
 """
 
 _MART = f"""
-    SELECT c.customer_id, c.first_name, c.last_name, b.first_order_date, b.most_recent_order_date,
-           f.payment_amount AS first_order_amt, r.payment_amount AS most_recent_order_amt,
-           coalesce(b.number_of_orders, 0) AS number_of_orders
-    FROM ({_STG_CUSTOMERS}) c
-    LEFT JOIN ({_BOUNDS}) b ON c.customer_id = b.customer_id
-    LEFT JOIN ({_STG_ORDERS}) f
-      ON f.customer_id = c.customer_id AND f.order_date = b.first_order_date
-    LEFT JOIN ({_STG_ORDERS}) r
-      ON r.customer_id = c.customer_id AND r.order_date = b.most_recent_order_date
-"""
-
-_MART_UNIQUE = f"""
     WITH ranked AS (
       SELECT *,
         row_number() OVER (PARTITION BY customer_id ORDER BY order_date, order_id) AS up,
@@ -83,10 +71,10 @@ _ENTITY_HISTORY = """
     FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
 """
 
-_TOP_CONTACTS = """
+_CONTACTS = """
     SELECT c_custkey AS customer_id, c_name AS name, c_mktsegment AS title,
            'spital' AS companyname
-    FROM customer WHERE c_mktsegment = 'HOUSEHOLD' ORDER BY c_custkey LIMIT 5
+    FROM customer WHERE c_mktsegment = 'HOUSEHOLD'
 """
 
 
@@ -165,7 +153,7 @@ ORACLE_SQL: dict[str, str] = {
     "stg_orders": _STG_ORDERS,
     "customer_order_bounds": _BOUNDS,
     "model_customer_orders": _MART,
-    "model_customer_orders_unique": _MART_UNIQUE,
+    "model_customer_orders_unique": _MART,
     "payment_method_pivot": _PIVOT,
     "payment_method_pivot_success": _PIVOT_SUCCESS,
     "views_sql": f"""
@@ -187,7 +175,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT p_partkey, p_name, p_type FROM part
         WHERE p_type = 'ECONOMY' AND p_name LIKE '%ring'
     """,
-    "filter_topk_constant": _TOP_CONTACTS,
+    "filter_topk_constant": f"{_CONTACTS} ORDER BY c_custkey LIMIT 5",
     "json_map_total": """
         SELECT CAST(sum(total) AS BIGINT) AS total_order_value,
                count(total) AS valid_documents,
@@ -199,7 +187,19 @@ ORACLE_SQL: dict[str, str] = {
           FROM events
         )
     """,
+    "json_map_total_double": """
+        SELECT round(sum(value), 2) AS total_order_value, count(value) AS valid_documents,
+               count(*) - count(value) AS invalid_documents
+        FROM events
+    """,
     "entity_history": _ENTITY_HISTORY,
+    "nested_json_history": _ENTITY_HISTORY,
+    "list_catalog": """
+        SELECT 'customer' AS table_name, count(*) AS n_rows FROM customer
+        UNION ALL SELECT 'orders', count(*) FROM orders
+        UNION ALL SELECT 'part', count(*) FROM part
+        UNION ALL SELECT 'supplier', count(*) FROM supplier
+    """,
     "scan_json": "SELECT * FROM events",
     "scan_catalog_table": "SELECT * FROM orders",
     "load_seed": """
@@ -209,16 +209,28 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "roundtrip_csv_pipe": "SELECT * FROM orders",
     "roundtrip_csv_quoted": "SELECT * FROM documents",
+    "roundtrip_one_text_column": """
+        SELECT CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  ' ELSE text END AS text
+        FROM documents
+    """,
     "roundtrip_parquet": "SELECT * FROM lineitem",
     "select_over_file": "SELECT * FROM orders",
+    "select_columns_over_file": """
+        SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'
+    """,
+    "discover_mixed_headers": """
+        SELECT p_partkey, p_name, CAST(p_size AS BIGINT) AS p_size FROM part
+    """,
     "discover_table": "SELECT * REPLACE (CAST(p_size AS BIGINT) AS p_size) FROM part",
     "publish_table": "SELECT * FROM orders",
+    "publish_partitioned": """
+        SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'
+    """,
     "materialize_model": _PIVOT,
     "dq_unique": _all(
         _unique("stg_customers", _STG_CUSTOMERS, "customer_id"),
         _unique("stg_orders", _STG_ORDERS, "order_id"),
         _unique("customer_orders", _MART, "customer_id"),
-        _unique("customer_orders_unique", _MART_UNIQUE, "customer_id"),
         _unique("lineitem", _LINES, "l_orderkey"),
         _unique("lineitem", _LINES, "l_orderkey, l_linenumber"),
     ),
@@ -258,8 +270,9 @@ ORACLE_SQL: dict[str, str] = {
         FROM lineitem
     """,
     "translate_distinct": """
-        SELECT doc_id, lang, '[en] ' || replace(text, 'e', 'E') AS text_en
-        FROM documents WHERE lang <> 'en'
+        SELECT doc_id, lang, CASE WHEN lang = 'en' THEN text
+          ELSE '[en] ' || replace(text, 'e', 'E') END AS text_en
+        FROM documents
     """,
     "translate_roles": """
         SELECT l_partkey AS person_id, l_suppkey AS organization_id, l_returnflag AS role,
@@ -276,6 +289,6 @@ ORACLE_SQL: dict[str, str] = {
     "job_entity_history": _ENTITY_HISTORY,
     "job_contact_export": f"""
         SELECT *, '[en] ' || replace(companyname, 'e', 'E') AS companyname_en
-        FROM ({_TOP_CONTACTS})
+        FROM ({_CONTACTS})
     """,
 }

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.catalog import create_database, drop_table
+from lakeloom.catalog import create_database, database_exists, drop_table, list_tables
 from lakeloom.functions.json_maps import json_map_totals
 from lakeloom.functions.money import cents_to_dollars as dollars
 from lakeloom.functions.udfs import string_udf
@@ -22,12 +23,14 @@ from lakeloom.operators.filters import (
 from lakeloom.operators.snapshots import SnapshotTable
 from lakeloom.operators.translate import translate_column
 from lakeloom.plans import jobs, models
+from lakeloom.session import fit_shuffles
 from lakeloom.sinks.files import write_delimited, write_json, write_parquet, write_unquoted
 from lakeloom.sinks.tables import materialize_table, materialize_view, publish_table
 from lakeloom.sources import files
 from lakeloom.sources.discovery import discover_table as discover
+from lakeloom.sources.discovery import read_mixed_headers
 from lakeloom.sources.named import TABLES, create_source_view, load, load_table
-from lakeloom.storage import scratch_path
+from lakeloom.storage import folder_bytes, scratch_path, set_file_times
 from lakeloom.streaming.ingest import ingest_new_files, ingested
 
 # How the given tables play the models' roles: the status of a successful payment, the listed
@@ -55,10 +58,23 @@ def _stub_translator() -> Callable:
 
 
 def _scratch_database(spark: SparkSession) -> str:
-    create_database(spark, DATABASE, "Tables of query runs", scratch_path(spark, "database"))
+    """A database for tables over given files; its own folder stays empty."""
+    if not database_exists(spark, DATABASE):
+        create_database(spark, DATABASE, "Tables of query runs", scratch_path(spark, "database"))
     return DATABASE
 
 
+def _sized(query: Query) -> Query:
+    """The query with shuffles that fit the size of the given tables."""
+
+    @wraps(query)
+    def run(spark: SparkSession, base: str) -> DataFrame:
+        fit_shuffles(spark, folder_bytes(spark, base))
+        return query(spark, base)
+
+    return run
+
+
 # Staging and marts
 
 
@@ -85,9 +101,8 @@ def model_customer_orders(spark, base):
 
 
 def model_customer_orders_unique(spark, base):
-    return models.customer_orders_unique(
-        load(spark, base, "customers"), load(spark, base, "orders"), _paid(spark, base)
-    )
+    """The same mart: it has one row per customer."""
+    return model_customer_orders(spark, base)
 
 
 def payment_method_pivot(spark, base):
@@ -138,7 +153,7 @@ def filter_suffix(spark, base):
 
 def filter_topk_constant(spark, base):
     contacts = filter_equals(load(spark, base, "contacts"), "title", "HOUSEHOLD")
-    chosen = top_rows(contacts, ["customer_id"], jobs.EXPORTED_ROWS)
+    chosen = top_rows(contacts, ["customer_id"], jobs.REPORTED_ROWS)
     return constant_column(chosen, "companyname", jobs.COMPANY)
 
 
@@ -146,6 +161,16 @@ def json_map_total(spark, base):
     return json_map_totals(load_table(spark, base, "events"), "props", "bigint")
 
 
+def json_map_total_double(spark, base):
+    """Values of events as JSON maps of doubles, rounded to what sums of doubles agree on."""
+    events = load_table(spark, base, "events")
+    document = F.to_json(F.create_map(F.col("event_type"), F.col("value")))
+    totals = json_map_totals(events.select(document.alias("document")), "document")
+    return totals.select(
+        F.round("total_order_value", 2).alias("total_order_value"), "valid_documents", "invalid_documents"
+    )
+
+
 # Joins
 
 
@@ -166,6 +191,41 @@ def scan_json(spark, base):
     return files.read_json(spark, [path], TABLES["events"])
 
 
+def nested_json_history(spark, base):
+    """The history with organizations from JSON whose nested arrays the job drops."""
+    path = scratch_path(spark, "organizations-json")
+    write_json(load(spark, base, "organizations"), path)
+    organizations = files.read_json(
+        spark,
+        path,
+        "id bigint, name string, other_names array<struct<lang:string,name:string>>,"
+        " identifiers array<struct<scheme:string,identifier:string>>",
+    )
+    return jobs.entity_history(
+        load(spark, base, "persons"), load(spark, base, "memberships"), organizations
+    )
+
+
+def list_catalog(spark, base):
+    """Register given tables in a database of their own, list it, and count each listed table."""
+    database = "lakeloom_listed"
+    create_database(spark, database, location=scratch_path(spark, "listed"))
+    for name in ("customer", "orders", "part", "supplier"):
+        table = f"{database}.{name}"
+        drop_table(spark, table)
+        schema = load_table(spark, base, name).schema
+        spark.catalog.createTable(
+            table, path=f"{base}/{name}.parquet", source="parquet", schema=schema
+        )
+    counts = [
+        spark.table(f"{database}.{name}").agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows")
+        )
+        for name in list_tables(spark, database)
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def scan_catalog_table(spark, base):
     table = f"{_scratch_database(spark)}.orders_files"
     drop_table(spark, table)
@@ -215,6 +275,45 @@ def select_over_file(spark, base):
     )
 
 
+def roundtrip_one_text_column(spark, base):
+    """Texts alone, some of them null, empty or blank: every row comes back."""
+    documents = load_table(spark, base, "documents")
+    odd = F.when(F.col("doc_id") % 5 == 1, F.lit("")).when(F.col("doc_id") % 5 == 2, F.lit("  "))
+    text = F.when(F.col("doc_id") % 5 != 0, F.coalesce(odd, F.col("text")))
+    path = scratch_path(spark, "texts")
+    write_delimited(documents.select(text.alias("text")), path, max_records_per_file=20_000)
+    return files.read_delimited(spark, path, "text string", sep="|", multiline=True)
+
+
+def select_columns_over_file(spark, base):
+    """A filter and a column list, which reach the scan of the text."""
+    path = scratch_path(spark, "orders-csv")
+    write_delimited(load_table(spark, base, "orders"), path)
+    return files.select_over_file(
+        spark,
+        "SELECT o_orderkey, o_totalprice FROM s3object WHERE o_orderstatus = 'F'",
+        path,
+        TABLES["orders"],
+        sep="|",
+        record_sep="\n",
+    )
+
+
+def discover_mixed_headers(spark, base):
+    """Two folders of text with the same columns in different orders."""
+    parts = load_table(spark, base, "part")
+    columns = ["p_partkey", "p_name", "p_size"]
+    halves = [
+        (parts.filter("p_partkey % 2 = 0"), columns),
+        (parts.filter("p_partkey % 2 = 1"), columns[::-1]),
+    ]
+    paths = []
+    for rows, names in halves:
+        paths.append(scratch_path(spark, "part-csv"))
+        write_delimited(rows.select(*names), paths[-1])
+    return read_mixed_headers(spark, paths, files.delimited_options(sep="|"))
+
+
 def discover_table(spark, base):
     path = scratch_path(spark, "part-csv")
     write_delimited(load_table(spark, base, "part"), path)
@@ -233,6 +332,17 @@ def publish_orders(spark, base):
     )
 
 
+def publish_partitioned(spark, base):
+    """Orders in folders by status, of which a filter reads one."""
+    table = publish_table(
+        load_table(spark, base, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"),
+        f"{_scratch_database(spark)}.orders_by_status",
+        scratch_path(spark, "orders-by-status"),
+        partition_by=["o_orderstatus"],
+    )
+    return table.filter("o_orderstatus = 'F'")
+
+
 def materialize_model(spark, base):
     return materialize_table(
         payment_method_pivot(spark, base),
@@ -256,32 +366,32 @@ def _models(spark, base):
 def dq_unique(spark, base):
     m = _models(spark, base)
     return quality.report(
-        quality.unique(m["customers"], "stg_customers", "customer_id"),
-        quality.unique(m["orders"], "stg_orders", "order_id"),
-        quality.unique(m["mart"], "customer_orders", "customer_id"),
-        quality.unique(
-            model_customer_orders_unique(spark, base), "customer_orders_unique", "customer_id"
+        quality.model_tests(m["customers"], "stg_customers", unique=["customer_id"]),
+        quality.model_tests(m["orders"], "stg_orders", unique=["order_id"]),
+        quality.model_tests(m["mart"], "customer_orders", unique=["customer_id"]),
+        quality.model_tests(
+            m["lines"], "lineitem", unique=["l_orderkey", ["l_orderkey", "l_linenumber"]]
         ),
-        quality.unique(m["lines"], "lineitem", "l_orderkey"),
-        quality.unique(m["lines"], "lineitem", ["l_orderkey", "l_linenumber"]),
     )
 
 
 def dq_not_null(spark, base):
     m = _models(spark, base)
     return quality.report(
-        quality.not_null(m["customers"], "stg_customers", "customer_id"),
-        quality.not_null(
-            m["orders"], "stg_orders", ["order_id", "customer_id", "payment_amount"]
+        quality.model_tests(m["customers"], "stg_customers", not_null=["customer_id"]),
+        quality.model_tests(
+            m["orders"], "stg_orders", not_null=["order_id", "customer_id", "payment_amount"]
+        ),
+        quality.model_tests(
+            m["mart"], "customer_orders", not_null=["customer_id", "first_order_amt"]
         ),
-        quality.not_null(m["mart"], "customer_orders", ["customer_id", "first_order_amt"]),
     )
 
 
 def dq_accepted_values(spark, base):
     m = _models(spark, base)
     return quality.report(
-        quality.accepted_values(m["orders"], "stg_orders", "status", STATUSES),
+        quality.model_tests(m["orders"], "stg_orders", accepted={"status": STATUSES}),
         quality.accepted_values(m["lines"], "lineitem", "l_returnflag", (*METHODS, "R")),
     )
 
@@ -307,9 +417,13 @@ def dq_report(spark, base):
     return quality.report(
         quality.primary_key(m["mart"], "customer_orders", "customer_id"),
         quality.primary_key(m["customers"], "stg_customers", "customer_id"),
-        quality.primary_key(m["orders"], "stg_orders", "order_id"),
-        quality.not_null(m["orders"], "stg_orders", "customer_id"),
-        quality.accepted_values(m["orders"], "stg_orders", "status", STATUSES),
+        quality.model_tests(
+            m["orders"],
+            "stg_orders",
+            unique=["order_id"],
+            not_null=["order_id", "customer_id"],
+            accepted={"status": STATUSES},
+        ),
         quality.relationships(
             m["orders"], "stg_orders", "customer_id", m["customers"], "customer_id"
         ),
@@ -328,10 +442,16 @@ def udf_string_column(spark, base):
 
 
 def translate_distinct(spark, base):
-    documents = load_table(spark, base, "documents").filter("lang <> 'en'")
+    """All documents; English text passes through, which a translation of null texts leaves null."""
+    documents = load_table(spark, base, "documents")
+    foreign = F.when(~F.col("lang").eqNullSafe("en"), F.col("text"))
     store = scratch_path(spark, "text-translations")
-    translated = translate_column(documents, "text", "text_en", _stub_translator(), store=store)
-    return translated.select("doc_id", "lang", "text_en")
+    translated = translate_column(
+        documents.withColumn("foreign", foreign), "foreign", "translated", _stub_translator(), store=store
+    )
+    return translated.select(
+        "doc_id", "lang", F.coalesce("translated", "text").alias("text_en")
+    )
 
 
 def translate_roles(spark, base):
@@ -367,14 +487,16 @@ def snapshot_changed(spark, base):
 
 
 def incremental_ingest(spark, base):
-    """Two arrivals of files and three runs; the last run finds nothing new."""
+    """Two arrivals of files and three runs; the second files are older, the last run finds none new."""
     root = scratch_path(spark, "ingest")
     landing, target, checkpoint = (f"{root}/{part}" for part in ("landing", "target", "checkpoint"))
     events = load_table(spark, base, "events")
     cut = F.expr("ts < timestamp_ntz '2024-01-16 00:00:00'")
+    times = iter((1_700_000_000_000, 1_000_000_000_000))
     for arrival in (events.filter(cut), events.filter(~cut), None):
         if arrival is not None:
             write_json(arrival, landing, mode="append")
+            set_file_times(spark, landing, next(times))
         ingest_new_files(spark, landing, target, checkpoint, TABLES["events"])
     return ingested(spark, target, TABLES["events"])
 
@@ -387,7 +509,7 @@ def job_entity_history(spark, base):
     for name in ("persons", "memberships", "organizations"):
         create_source_view(spark, base, name, f"{database}.{name}_json")
     output = scratch_path(spark, "entity-history")
-    jobs.history_job(spark, database, output)
+    jobs.history_job(spark, database, output, input_bytes=folder_bytes(spark, base))
     return files.read_parquet(spark, output)
 
 
@@ -395,7 +517,10 @@ def job_contact_export(spark, base):
     table = f"{_scratch_database(spark)}.contacts_csv"
     create_source_view(spark, base, "contacts", table)
     output = scratch_path(spark, "contacts-export")
-    jobs.contact_export_job(spark, table, output, _stub_translator(), title="HOUSEHOLD")
+    store = scratch_path(spark, "contact-translations")
+    jobs.contact_export_job(
+        spark, table, output, _stub_translator(), store=store, title="HOUSEHOLD"
+    )
     schema = (
         "customer_id bigint, name string, title string, companyname string, companyname_en string"
     )
@@ -417,16 +542,23 @@ QUERIES: dict[str, Query] = {
     "filter_suffix": filter_suffix,
     "filter_topk_constant": filter_topk_constant,
     "json_map_total": json_map_total,
+    "json_map_total_double": json_map_total_double,
     "entity_history": entity_history,
     "scan_json": scan_json,
+    "nested_json_history": nested_json_history,
+    "list_catalog": list_catalog,
     "scan_catalog_table": scan_catalog_table,
     "load_seed": load_seed,
     "roundtrip_csv_pipe": roundtrip_csv_pipe,
     "roundtrip_csv_quoted": roundtrip_csv_quoted,
     "roundtrip_parquet": roundtrip_parquet,
+    "roundtrip_one_text_column": roundtrip_one_text_column,
     "select_over_file": select_over_file,
+    "select_columns_over_file": select_columns_over_file,
+    "discover_mixed_headers": discover_mixed_headers,
     "discover_table": discover_table,
     "publish_table": publish_orders,
+    "publish_partitioned": publish_partitioned,
     "materialize_model": materialize_model,
     "dq_unique": dq_unique,
     "dq_not_null": dq_not_null,
@@ -442,3 +574,4 @@ QUERIES: dict[str, Query] = {
     "job_entity_history": job_entity_history,
     "job_contact_export": job_contact_export,
 }
+QUERIES = {name: _sized(query) for name, query in QUERIES.items()}

@@ -1,4 +1,4 @@
-from conftest import plan, rows
+from conftest import rows
 from lakeloom import catalog
 from lakeloom.plans.jobs import contact_export_job, history_job, translated_contacts
 from lakeloom.sinks.tables import publish_table
@@ -22,19 +22,22 @@ def contacts(spark):
 def test_contacts_export(spark, tmp_path):
     catalog.create_database(spark, "people", location=str(tmp_path / "db"))
     publish_table(contacts(spark), "people.customers_csv", str(tmp_path / "customers"))
-    contact_export_job(spark, "people.customers_csv", str(tmp_path / "out"), shouting(), n=3)
+    contact_export_job(spark, "people.customers_csv", str(tmp_path / "out"), shouting())
     schema = "customer_id int, title string, companyname string, companyname_en string"
     result = read_delimited(spark, str(tmp_path / "out"), schema, sep="|", quoted=False)
     assert rows(result) == [
         (1, "Ms.", "spital", "SPITAL"),
         (3, "Ms.", "spital", "SPITAL"),
         (5, "Ms.", "spital", "SPITAL"),
+        (7, "Ms.", "spital", "SPITAL"),
     ]
 
 
-def test_the_limit_stays_below_the_function(spark):
-    text = plan(translated_contacts(contacts(spark), shouting()))
-    assert text.index("MapInArrow") < text.index("TakeOrderedAndProject")
+def test_every_matching_contact_is_translated_once(spark, tmp_path):
+    many = spark.range(500).selectExpr("id AS customer_id", "'Ms.' AS title")
+    found = translated_contacts(many, shouting(), store=str(tmp_path / "store"))
+    assert found.count() == 500 and found.select("companyname_en").distinct().count() == 1
+    assert spark.read.parquet(str(tmp_path / "store")).count() == 1
 
 
 def test_history_from_the_catalog(spark, tmp_path):

@@ -3,9 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan, rows
+from lakeloom.operators import quality
 from lakeloom.operators.joins import orphans
-from lakeloom.operators.snapshots import latest_states
+from lakeloom.operators.snapshots import SnapshotTable, latest_states
 from lakeloom.operators.translate import translate_column
 from lakeloom.plans import models
 from lakeloom.plans.jobs import entity_history
@@ -115,36 +116,63 @@ def test_orphan_check_moves_keys_only(spark, small_partitions, lines):
     assert max(shuffled_rows(missing)) <= 1000 * 8
 
 
-def test_marts_split_a_hot_date(spark, small_partitions):
-    """A customer with a third of all orders, and all but the last of them on one date."""
+def test_mart_combines_a_hot_customer_in_many_tasks(spark, small_partitions):
+    """A customer with a third of all orders."""
     orders = spark.range(0, N, 1, 8).selectExpr(
         "id",
         f"{hot('id % 1000', 7)} AS user_id",
-        f"timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, if(id % 3 = 0 and id < {N - 3}, 0, id))"
-        " AS order_date",
+        "timestamp_ntz '2024-01-01' + make_dt_interval(id % 500) AS order_date",
         "'placed' AS status",
     )
     customers = spark.range(1001).selectExpr("id", "'a' AS first_name", "'b' AS last_name")
     payments = orders.selectExpr(
         "id AS order_id", "'card' AS payment_method", "'success' AS status", "id AS amount"
     )
-    paid = models.stg_payments(payments)
-    mart = models.customer_orders(customers, orders, paid)
-    assert "skew=true" in final_plan(mart)
-    counts = mart.groupBy("customer_id").agg(F.count("*").alias("n"))
-    assert counts.filter("n > 1").collect() == [(7, N // 3 - 1)]
-    assert counts.count() == 1001
-    one_row = models.customer_orders_unique(customers, orders, paid)
-    assert rows(one_row.filter("customer_id <> 7")) == rows(mart.filter("customer_id <> 7"))
-
-
-def test_mart_shuffles_orders_and_payments_once(spark, small_partitions, testdata):
-    paid = models.stg_payments(load(spark, testdata, "payments"), "F")
-    mart = models.customer_orders(
-        load(spark, testdata, "customers"), load(spark, testdata, "orders"), paid
+    mart = models.customer_orders(customers, orders, models.stg_payments(payments))
+    assert mart.count() == 1001
+    staged = models.stg_orders(orders, models.stg_payments(payments))
+    expected = staged.groupBy("customer_id").agg(
+        F.min_by("payment_amount", F.struct("order_date", "order_id")).alias("low"),
+        F.max_by("payment_amount", F.struct("order_date", "order_id")).alias("high"),
+        F.count("*").alias("n"),
     )
-    text = final_plan(mart)
-    # Both date matches, and the customers without a date, read what is there already.
-    assert text.count("ReusedExchange") >= 2
-    assert text.count("parquet [l_orderkey") == 1
-    assert text.count("parquet [o_orderkey") == 2
+    found = mart.filter("number_of_orders > 0").selectExpr(
+        "customer_id", "first_order_amt", "most_recent_order_amt", "number_of_orders"
+    )
+    assert rows(found) == rows(expected)
+
+
+def test_changed_history_joins_open_rows_only(spark, small_partitions, tmp_path):
+    """A key with a third of the history: its closed rows take part in no join."""
+    schema = "id bigint, v bigint, at timestamp_ntz"
+    table = SnapshotTable(spark, str(tmp_path / "h"), ["id"], "at", spark.createDataFrame([], schema).schema)
+    for day in range(1, 5):
+        state = spark.range(200).selectExpr(
+            "id", f"{day} AS v", f"timestamp_ntz '2024-01-0{day}' AS at"
+        )
+        table.apply(state.filter(f"id = 7 or {day} < 3"))
+    changed = table.changed()
+    assert changed.count() == 199 * 2 + 4
+    text = plan(changed)
+    assert text.count("Join") == 1 and text.count("isnull(valid_to") >= 1
+
+
+def test_model_tests_read_the_model_once(spark, small_partitions, testdata):
+    orders = models.stg_orders(
+        load(spark, testdata, "orders"), models.stg_payments(load(spark, testdata, "payments"), "F")
+    )
+    tests = quality.model_tests(
+        orders,
+        "stg_orders",
+        unique=["order_id", ["customer_id", "order_date"]],
+        not_null=["customer_id"],
+        accepted={"status": ["F"]},
+    )
+    assert final_plan(tests).count("parquet [o_orderkey") == 1
+    single = quality.report(
+        quality.unique(orders, "stg_orders", "order_id"),
+        quality.unique(orders, "stg_orders", ["customer_id", "order_date"]),
+        quality.not_null(orders, "stg_orders", "customer_id"),
+        quality.accepted_values(orders, "stg_orders", "status", ["F"]),
+    )
+    assert rows(tests) == rows(single)
