@@ -1,6 +1,6 @@
 """Approximate nearest neighbours: a neighbour graph by NN-descent, searched greedily.
 
-The graph starts from pairs that lie close along random directions. Each round joins every node with the
+The graph starts from the nearest within cells around pivots. Each round joins every node with the
 neighbours of its neighbours, in both directions, and keeps the nearest; only pairs with a neighbour that is new
 since the last round are compared. A search starts at a few entry nodes and at the query's own node where it
 has one, and opens the nearest nodes found until none is left to open among the best.
@@ -25,22 +25,23 @@ from lakeloom.llm.common import materialize
 @dataclass(frozen=True)
 class GraphSettings:
     """``links``: neighbours of a node; ``reverse``: nodes that name it and take part in a round, chosen by
-    hash. ``directions`` and ``beside``: random orders of the start and how far along each a pair may lie.
-    ``rounds`` at most, fewer once under ``settled`` of the links change. ``pool``: best nodes a query
-    keeps in its search, ``opened`` of them at most per step, ``steps`` at most; ``entries``: nodes every query starts
-    from."""
-
-    links: int = 20
-    reverse: int = 20
-    directions: int = 6
-    beside: int = 8
-    rounds: int = 5
-    settled: float = 0.02
-    pool: int = 64
-    opened: int = 16
-    steps: int = 8
+    hash. The start deals every node to its ``cells`` nearest of ``pivots`` pivots at most, one per ``per_pivot`` nodes,
+    and compares it within parts of about ``part`` nodes of a cell. ``rounds`` at most, fewer once under ``settled``
+    of the links change. ``pool``: best nodes a query keeps in its search, ``opened`` of them at most per
+    step, ``steps`` at most; ``entries``: nodes every query starts from."""
+
+    links: int = 32
+    reverse: int = 24
+    pivots: int = 256
+    cells: int = 4
+    per_pivot: int = 200
+    part: int = 1024
+    rounds: int = 4
+    settled: float = 0.05
+    pool: int = 256
+    opened: int = 48
+    steps: int = 12
     entries: int = 16
-    seed: int = 5
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -89,47 +90,45 @@ def _packed(nodes: DataFrame) -> DataFrame:
 
 
 def _start(nodes: DataFrame, settings: GraphSettings) -> DataFrame:
-    """(node, other, distance, fresh) of pairs beside each other in a random direction."""
+    """(node, other, distance, fresh): the nearest of each node within its cells."""
+    count = nodes.count()
+    if not count:
+        return nodes.selectExpr("node", "node AS other", "float(0) AS distance", "true AS fresh")
+    wanted = max(1, min(settings.pivots, count // settings.per_pivot))
+    # At most ``pivots`` vectors.
+    chosen = nodes.select("packed").orderBy(F.xxhash64("node"), "node").limit(wanted).toArrow()["packed"].combine_chunks()
+    centres = _stack(chosen).reshape(wanted, -1)
+    near = min(settings.cells, wanted)
+
+    def nearest_cells(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in parts:
+            data = _stack(part).reshape(len(part), -1)
+            far = (centres * centres).sum(axis=1) - 2 * (data @ centres.T)
+            yield pa.array(np.argpartition(far, near - 1, axis=1)[:, :near].tolist(), pa.list_(pa.int32()))
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        node, data = np.zeros(0, np.int64), None
-        for batch in batches:
-            table = _stack(batch.column(1)).reshape(batch.num_rows, -1)
-            # The last rows of the batch before stand before this one.
-            node = np.concatenate([node[-settings.beside :], batch.column(0).to_numpy()])
-            data = table if data is None else np.concatenate([data[-settings.beside :], table])
-            for step in range(1, min(settings.beside, len(node) - 1) + 1):
-                far = np.sqrt(((data[step:] - data[:-step]) ** 2).sum(axis=1))
-                columns = [pa.array(x) for x in (node[step:], node[:-step], far)]
-                yield pa.RecordBatch.from_arrays(columns, ["node", "other", "distance"])
-
-    parts = []
-    for number in range(settings.directions):
-
-        def along(values: Iterator[pa.Array], number=number) -> Iterator[pa.Array]:
-            for part in values:
-                table = _stack(part).reshape(len(part), -1)
-                direction = np.random.default_rng(settings.seed + number).normal(size=table.shape[1])
-                yield pa.array((table @ direction).astype(np.float64))
-
-        place = _column(along, "double")(F.col("packed"))
-        ordered = nodes.select("node", "packed", place.alias("place"))
-        ordered = ordered.repartitionByRange("place", "node").sortWithinPartitions("place", "node")
-        parts.append(ordered.select("node", "packed").mapInArrow(pairs, "node long, other long, distance float"))
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    both = found.union(found.select("other", "node", "distance"))
-    return _nearest(both.withColumn("fresh", F.lit(True)), settings.links)
-
-
-def _column(function, kind: str):
-    """An Arrow column function of a function with preset arguments."""
+    dealt = nodes.select("node", "packed", F.explode(F.arrow_udf(nearest_cells, "array<int>")(F.col("packed"))).alias("cell"))
+    dealt = materialize(dealt, "pivot-cells")
+    # One row per pivot.
+    sizes = {row["cell"]: row["count"] for row in dealt.groupBy("cell").count().collect()}
+    parts = F.create_map(*(F.lit(x) for cell, n in sizes.items() for x in (cell, -(-n // settings.part))))
+    share = F.pmod(F.xxhash64("node"), parts[F.col("cell")])
 
-    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        yield from function(parts)
+    def compare(group: pa.Table) -> pa.Table:
+        node, data = group["node"].to_numpy(), _stack(group["packed"].combine_chunks()).reshape(group.num_rows, -1)
+        far = _distances(data)
+        np.fill_diagonal(far, np.inf)
+        keep = min(settings.links, len(node) - 1)
+        best = np.argpartition(far, keep - 1, axis=1)[:, :keep] if keep else np.zeros((len(node), 0), np.int64)
+        columns = [np.repeat(node, keep), node[best].ravel(), np.take_along_axis(far, best, axis=1).ravel()]
+        return pa.table(dict(zip(("node", "other", "distance"), columns, strict=True)))
+
+    pairs = dealt.groupBy("cell", share.alias("share")).applyInArrow(compare, "node long, other long, distance float")
+    return _nearest(pairs.withColumn("fresh", F.lit(True)), settings.links)
 
-    return F.arrow_udf(run, kind)
+
+def _distances(data: np.ndarray) -> np.ndarray:
+    norm = (data * data).sum(axis=1)
+    return np.sqrt(np.maximum(norm[:, None] + norm - 2 * (data @ data.T), 0))
 
 
 def _nearest(pairs: DataFrame, links: int) -> DataFrame:
@@ -165,8 +164,7 @@ def _round(graph: DataFrame, nodes: DataFrame, settings: GraphSettings) -> DataF
             out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             for a, b in zip(offsets, offsets[1:], strict=False):
                 x, ids, limit, new = data[a:b], other[a:b], reach[a:b], fresh[a:b]
-                norm = (x * x).sum(axis=1)
-                far = np.sqrt(np.maximum(norm[:, None] + norm - 2 * (x @ x.T), 0))
+                far = _distances(x)
                 better = (far < limit[:, None]) & (new[:, None] | new)
                 np.fill_diagonal(better, False)
                 i, j = np.nonzero(better)
@@ -199,17 +197,25 @@ def euclidean(a: Column, b: Column) -> Column:
     return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, x: total + x))
 
 
+def _apart(targets: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for one, two in targets:
+        x, y = (_stack(part).reshape(len(part), -1) for part in (one, two))
+        yield pa.array(np.sqrt(((x - y) ** 2).sum(axis=1)))
+
+
 def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, settings: GraphSettings = GraphSettings()) -> DataFrame:
-    """(query, node, distance): up to ``pool`` nearest nodes found for each row of (query, target, home).
+    """(query, node, distance): up to ``pool`` nearest nodes found for each row of (query, target, packed, home).
 
     ``home`` is the node of the query's own vector, null if it is not in the graph. Each step opens the nearest
-    unopened nodes of all queries at once: their neighbours in both directions are joined, measured and merged.
+    unopened nodes of all queries at once: their neighbours in both directions are joined, measured and merged. The
+    way goes by the packed vectors, the distances returned are those of the given ones.
     """
     ahead = graph.select("node", "other")
     behind = _few(graph.select(F.col("other").alias("node"), F.col("node").alias("other")), "node", "other", settings.reverse)
     around = materialize(ahead.union(behind).distinct(), "search-graph")
-    vectors = nodes.select("node", "vector")
-    targets = queries.select("query", "target")
+    vectors = nodes.select("node", "packed")
+    targets = queries.select("query", F.col("packed").alias("target"))
+    apart = F.arrow_udf(_apart, "float")
 
     # As many as ``entries`` rows, whatever the number of nodes.
     entries = nodes.select("node").orderBy(F.xxhash64("node"), "node").limit(settings.entries).collect()
@@ -218,17 +224,13 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, settings: Gra
     begun = begun.where("node is not null")
 
     def measured(pairs: DataFrame) -> DataFrame:
-        return (
-            pairs.join(vectors, "node")
-            .join(targets, "query")
-            .select("query", "node", euclidean(F.col("target"), F.col("vector")).alias("distance"), F.lit(False).alias("done"))
-        )
+        joined = pairs.join(vectors, "node").join(targets, "query")
+        return joined.select("query", "node", apart("target", "packed").alias("distance"), F.lit(False).alias("done"))
 
     order = Window.partitionBy("query").orderBy("distance", "node")
     pool = materialize(measured(begun), "search-pool")
     for _ in range(settings.steps):
-        turn = Window.partitionBy("query").orderBy("distance", "node")
-        opened = pool.where("not done").withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= settings.opened)
+        opened = pool.where("not done").withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= settings.opened)
         opened = materialize(opened.select("query", "node"), "search-opened")
         if opened.isEmpty():
             break
@@ -239,7 +241,8 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, settings: Gra
         )
         merged = marked.unionByName(measured(fresh)).withColumn("place", F.row_number().over(order))
         pool = materialize(merged.where(F.col("place") <= settings.pool).drop("place"), "search-pool")
-    return pool.select("query", "node", "distance")
+    exact = pool.select("query", "node").join(nodes.select("node", "vector"), "node").join(queries.select("query", "target"), "query")
+    return exact.select("query", "node", euclidean(F.col("target"), F.col("vector")).alias("distance"))
 
 
 def nearest(
@@ -264,8 +267,8 @@ def nearest(
     nodes = materialize(_packed(nodes), "graph-nodes")
     graph = neighbour_graph(nodes, settings)
     asked = rows.join(wanted, "vec_id", "left_semi")
-    homes = nodes.select(F.col("node").alias("home"), "vector")
-    queries = asked.join(homes, "vector").select(F.col("vec_id").alias("query"), F.col("vector").alias("target"), "home")
+    homes = nodes.select(F.col("node").alias("home"), "vector", "packed")
+    queries = asked.join(homes, "vector").select(F.col("vec_id").alias("query"), F.col("vector").alias("target"), "packed", "home")
     queries = materialize(queries, "search-queries")
     found = search(queries, nodes, graph, settings)
     others = found.join(copies, "node").where(F.col("vec_id") != F.col("query"))
