@@ -25,7 +25,9 @@ def map_total(parsed: Column, value_type: str = "double") -> Column:
     last_values = F.zip_with(
         ordered,
         following,
-        lambda e, after: F.when(after.isNull() | (after["name"] != e["name"]), F.struct(e["value"].alias("value"))),
+        lambda e, after: F.when(
+            after.isNull() | (after["name"] != e["name"]), F.struct(e["value"].alias("value"))
+        ),
     )
     repeated = F.aggregate(
         F.filter(last_values, lambda e: e.isNotNull()), zero, lambda total, entry: total + entry["value"]

@@ -103,9 +103,11 @@ def model_tests(
         *[F.col(name).alias(place[name]) for name in columns],
         *[F.col(name).isNull().alias(missing[name]) for name in not_null],
     )
-    counted = [F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(m)).alias(m) for m in missing.values()]]
+    counted = [F.count(F.lit(1)).alias("n_rows")]
+    counted += [F.count_if(F.col(m)).alias(m) for m in missing.values()]
     if columns:
-        grouped = flat.groupingSets([[F.col(place[name]) for name in names] for names in sets], *[F.col(p) for p in place.values()])
+        chosen = [[F.col(place[name]) for name in names] for names in sets]
+        grouped = flat.groupingSets(chosen, *[F.col(key) for key in place.values()])
         groups = grouped.agg(F.grouping_id().alias("_set"), *counted)
     else:
         groups = flat.agg(*counted).withColumn("_set", F.lit(0))
@@ -117,14 +119,17 @@ def model_tests(
     tests = []
     for names in keys:
         present = reduce(lambda a, b: a & b, [F.col(place[name]).isNotNull() for name in names])
-        tests.append((", ".join(names), "unique", F.count_if(in_set(names) & present & (F.col("n_rows") > 1))))
+        repeated = in_set(names) & present & (F.col("n_rows") > 1)
+        tests.append((", ".join(names), "unique", F.count_if(repeated)))
     for name in not_null:
-        tests.append((name, "not_null", F.coalesce(F.sum(F.when(in_set([]), F.col(missing[name]))), F.lit(0))))
+        nulls = F.sum(F.when(in_set([]), F.col(missing[name])))
+        tests.append((name, "not_null", F.coalesce(nulls, F.lit(0))))
     for name, values in accepted.items():
         outside = ~F.col(place[name]).isin(*values)
         tests.append((name, "accepted_values", F.count_if(in_set([name]) & outside)))
     counts = groups.agg(*[failures.alias(f"_test{i}") for i, (_, _, failures) in enumerate(tests)])
-    return _rows(counts, model, [(column, test, F.col(f"_test{i}")) for i, (column, test, _) in enumerate(tests)])
+    results = [(column, test, F.col(f"_test{i}")) for i, (column, test, _) in enumerate(tests)]
+    return _rows(counts, model, results)
 
 
 def relationships(

@@ -58,14 +58,13 @@ def write_delimited(
     options = {}
     if _loses_blank_lines(df, sep):
         options = {"quoteAll": True, "nullValue": NULL_MARK}
-    checked = [
-        F.when(F.col(quote_part(f.name)) == NULL_MARK, F.raise_error(f"column {f.name} holds the null mark").cast("string"))
-        .otherwise(F.col(quote_part(f.name)))
-        .alias(f.name)
-        if isinstance(f.dataType, T.StringType)
-        else F.col(quote_part(f.name))
-        for f in df.schema
-    ]
+    checked = []
+    for field in df.schema:
+        value = F.col(quote_part(field.name))
+        if isinstance(field.dataType, T.StringType):
+            problem = F.raise_error(f"column {field.name} holds the null mark").cast("string")
+            value = F.when(value == NULL_MARK, problem).otherwise(value).alias(field.name)
+        checked.append(value)
     df.select(*checked).write.mode(mode).options(
         sep=sep,
         header=header,

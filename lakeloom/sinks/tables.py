@@ -49,14 +49,16 @@ def publish_table(
     version = f"{path.rstrip('/')}/version-{uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(version)
 
-    if not partition_by and _is_same(spark, table, df, description, properties or {}, column_comments or {}):
+    texts = (description, properties or {}, column_comments or {})
+    if not partition_by and _is_same(spark, table, df, *texts):
         spark.sql(f"ALTER TABLE {quote_name(table)} SET LOCATION {quote_text(version)}")
         spark.catalog.refreshTable(table)
         return spark.table(table)
     drop_table(spark, table)
     columns = ", ".join(f"{quote_part(f.name)} {f.dataType.simpleString()}" for f in df.schema)
     by = f" PARTITIONED BY ({', '.join(map(quote_part, partition_by))})" if partition_by else ""
-    spark.sql(f"CREATE TABLE {quote_name(table)} ({columns}) USING parquet{by} LOCATION {quote_text(version)}")
+    place = f"LOCATION {quote_text(version)}"
+    spark.sql(f"CREATE TABLE {quote_name(table)} ({columns}) USING parquet{by} {place}")
     if partition_by:
         spark.sql(f"ALTER TABLE {quote_name(table)} RECOVER PARTITIONS")
     describe_table(spark, table, description, column_comments)
@@ -80,7 +82,8 @@ def _is_same(
         return False
     comments = {column.name: column.description for column in columns if column.description}
     held = table_properties(spark, table)
-    own = {name: value for name, value in held.items() if name not in ("comment",) and not name.startswith(("spark.", "transient_"))}
+    internal = ("comment", "spark.", "transient_")
+    own = {name: value for name, value in held.items() if not name.startswith(internal)}
     return (
         (spark.catalog.getTable(table).description or None) == (description or None)
         and comments == dict(column_comments)
