@@ -6,12 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.storage import scratch_path
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
+ROWS_AT_ONCE = 256
 
 
 def remainder(doc_id: Column | str, n: int) -> Column:
@@ -34,21 +36,25 @@ def materialize(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def binary_values(column: pa.Array) -> list[bytes]:
-    """UTF-8 bytes of a string column; a null is the empty text."""
-    return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
-
-
-def slices(texts: list[bytes] | list[str], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about ``limit`` bytes or characters together; a longer text is a run of its own."""
-    start, size = 0, 0
-    for i, text in enumerate(texts):
-        if i > start and size + len(text) > limit:
-            yield start, i
-            start, size = i, 0
-        size += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+def binary_values(column: pa.Array) -> Iterator[bytes]:
+    """UTF-8 bytes of a string column, a few rows at a time; a null is the empty text."""
+    for at in range(0, len(column), ROWS_AT_ONCE):
+        for value in column.slice(at, ROWS_AT_ONCE).cast(pa.binary()).to_pylist():
+            yield value or b""
+
+
+def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, pa.Array]]:
+    """(start, end, part) of runs of a string column of about ``limit`` bytes together; a longer text is a
+    run of its own. Only the run at hand is turned into Python objects."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    start, held = 0, 0
+    for i, size in enumerate(sizes):
+        if i > start and held + size > limit:
+            yield start, i, column.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes), column.slice(start)
 
 
 def unambiguous_labels(labels: DataFrame, label: str) -> DataFrame:

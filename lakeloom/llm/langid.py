@@ -18,14 +18,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import slices
+from lakeloom.llm.common import text_slices
 
 UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
 EDGE = "\n"
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 GRAMS_AT_ONCE = 400_000
-WORDS_KEPT = 300_000
+WORDS_KEPT = 150_000
 #: Characters beyond which a longer text does not narrow the spread of its cross-entropy.
 SETTLED = 400
 
@@ -298,10 +298,9 @@ def identify_udf(spark: SparkSession, model: LanguageModel) -> Callable[[Column]
         model = shared.value
         scorer = Scorer(model)
         for part in parts:
-            texts = part.to_pylist()
             names, scores, rejected = [], [], []
-            for start, end in slices([text or "" for text in texts]):
-                for column, values in zip((names, scores, rejected), _decide(model, scorer, texts[start:end]), strict=True):
+            for _, _, texts in text_slices(part):
+                for column, values in zip((names, scores, rejected), _decide(model, scorer, texts.to_pylist()), strict=True):
                     column.extend(values)
             columns = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
             yield pa.StructArray.from_arrays(columns, ["lang_pred", "score", "rejected"])

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import binary_values, materialize, sigmoid, slices, unambiguous_labels
+from lakeloom.llm.common import binary_values, materialize, sigmoid, text_slices, unambiguous_labels
 from lakeloom.llm.wordhash import WordHasher, mixed
 
 
@@ -30,7 +30,7 @@ class FtrlSettings:
     l1: float = 3.0
     l2: float = 0.02
     rounds: int = 8
-    shards: int = 8
+    shards: int = 4
     max_rows: int = 40_000
 
 
@@ -139,11 +139,10 @@ def train(
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch in batches:
-            texts = binary_values(batch.column(2))
-            for start, end in slices(texts):
-                values = packed(*features(texts[start:end], bits, hasher), end - start)
-                part = [batch.column(0)[start:end], batch.column(1)[start:end], pa.array(values, pa.binary())]
-                yield pa.RecordBatch.from_arrays(part, ["doc_id", "label", "features"])
+            for start, end, part in text_slices(batch.column(2)):
+                values = packed(*features(list(binary_values(part)), bits, hasher), end - start)
+                columns = [batch.column(0)[start:end], batch.column(1)[start:end], pa.array(values, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "features"])
 
     extracted = rows.mapInArrow(extract, "doc_id long, label int, features binary")
     sharded = extracted.groupBy(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(settings.shards)).alias("shard"))
@@ -184,10 +183,9 @@ def score_udf(spark: SparkSession, weights: np.ndarray) -> Callable[[Column], Co
         weighty = dense != 0
         hasher = WordHasher()
         for part in parts:
-            texts = binary_values(part)
-            sums = np.zeros(len(texts))
-            for start, end in slices(texts):
-                owner, feature = features(texts[start:end], bits, hasher, weighty)
+            sums = np.zeros(len(part))
+            for start, end, texts in text_slices(part):
+                owner, feature = features(list(binary_values(texts)), bits, hasher, weighty)
                 sums[start:end] = np.bincount(owner, dense[feature], end - start)
             yield pa.array(sigmoid(sums + bias))
 

@@ -1,9 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.llm import toxicity
-from lakeloom.llm.common import slices, unambiguous_labels
+from lakeloom.llm.common import binary_values, text_slices, unambiguous_labels
 from lakeloom.llm.wordhash import WordHasher
 
 SETTINGS = toxicity.FtrlSettings(bits=14, shards=2, l1=0.5, rounds=6)
@@ -30,8 +31,9 @@ def test_words_are_hashed_by_content_alone():
 def test_features_do_not_depend_on_slices():
     texts = [f"word{i} next{i % 3} one two".encode() for i in range(50)]
     whole = toxicity.features(texts, 20, WordHasher())
-    parts = [toxicity.features(texts[a:b], 20, WordHasher()) for a, b in slices(texts, 100)]
-    shift = [a for a, _ in slices(texts, 100)]
+    runs = list(text_slices(pa.array([text.decode() for text in texts]), 100))
+    parts = [toxicity.features(list(binary_values(part)), 20, WordHasher()) for _, _, part in runs]
+    shift = [a for a, _, _ in runs]
     assert np.array_equal(whole[0], np.concatenate([own + at for (own, _), at in zip(parts, shift, strict=True)]))
     assert np.array_equal(whole[1], np.concatenate([feature for _, feature in parts]))
 
