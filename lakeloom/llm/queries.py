@@ -6,9 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import functions as F
 
-from lakeloom.llm import chat, decontaminate, langid, lattice, mixing, neighbours, quality, simhash, toxicity, url_filter
+from lakeloom.llm import (
+    chat,
+    decontaminate,
+    langid,
+    lattice,
+    mixing,
+    neighbours,
+    periodic,
+    pii,
+    quality,
+    simhash,
+    toxicity,
+    url_filter,
+    whitening,
+)
 from lakeloom.llm.common import remainder, table
 
 #: Subword vocabulary of a public tokenizer; read, never copied or trained.
@@ -131,6 +144,74 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth document by crc32 of its id repeats its words from some place on, with some period.
+
+    Other texts, and those of null ids, stay as they are.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    chosen = docs.select("doc_id", "text", g.alias("g"), (F.coalesce(h % 10 == 0, F.lit(False))).alias("chosen"))
+    words = F.when(F.col("chosen"), F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda word: word != ""))
+    split = chosen.withColumn("words", F.coalesce(words, F.array().cast("array<string>"))).withColumn("n", F.size("words"))
+    n = F.col("n")
+    a = F.col("g") % n
+    p = 1 + F.floor((n - a) / (3 + F.col("g") % 8))
+    placed = split.withColumn("a", F.when(n > 0, a).cast("int")).withColumn("p", F.when(n > 0, p).cast("int"))
+    n, a, p = F.col("n"), F.col("a"), F.col("p")
+    copies = F.flatten(F.array_repeat(F.slice("words", a + 1, p), F.ceil((n - a) / p).cast("int")))
+    planted = F.concat(F.slice("words", F.lit(1), a), F.slice(copies, F.lit(1), n - a))
+    return placed.select("doc_id", F.when(n > 0, F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words in every document, some with planted ones: the longest, and digests of all."""
+    found = periodic.find_runs(planted_runs(table(spark, folder, "documents")))
+    # The longest run; the first of equal ones, which come by start, then period.
+    longest = F.aggregate(
+        "runs",
+        F.lit(None).cast("struct<start:long,length:long,period:long>"),
+        lambda best, run: F.when(best.isNull() | (run["length"] > best["length"]), run).otherwise(best),
+    )
+    lines = F.transform(
+        "runs", lambda run: F.concat_ws(",", *(run[name].cast("string") for name in ("start", "length", "period")))
+    )
+    listed = F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "")
+    top = found.withColumn("top", longest)
+    return top.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("top.start").alias("start"),
+        F.col("top.length").alias("length"),
+        F.col("top.period").alias("period"),
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector on the first sixteen whitened components."""
+    return whitening.whiten(table(spark, folder, "embeddings"), components=16)
+
+
+def op13_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of personal data in every document; the counts and the digest are of the base spans."""
+    found = pii.find_personal_data(table(spark, folder, "documents"), threshold=0.9)
+
+    def listed(spans: Column) -> Column:
+        texts = F.transform(
+            spans, lambda s: F.concat(s["kind"], F.lit(":"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))
+        )
+        return F.array_join(texts, ",")
+
+    base = F.filter("spans", lambda s: s["base"])
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
     for function in (
@@ -144,5 +225,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_mixing,
         op10_language,
+        op11_periodic_runs,
+        op12_whitening,
+        op13_personal_data,
     )
 }

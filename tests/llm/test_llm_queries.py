@@ -20,7 +20,7 @@ def engine(testdata):
 
 def test_all_are_registered():
     assert set(QUERIES) < set(driver.queries()) and "pipeline" in driver.queries()
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(ORACLE_SQL) < set(driver.oracle_sql())
 
 

@@ -1,0 +1,139 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lakeloom.llm import periodic
+from lakeloom.llm.queries import op11_periodic_runs
+
+
+def plain_runs(words, min_words=6, min_periods=4):
+    """All runs by trying every period, smallest first."""
+    found, seen = [], set()
+    for q in range(1, len(words) // min_periods + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j > i and j - i + q >= max(min_words, min_periods * q) and (i, j + q) not in seen:
+                seen.add((i, j + q))
+                found.append((i, j + q - i, q))
+            i = max(j, i + 1)
+    return sorted(found, key=lambda run: (run[0], run[2]))
+
+
+def plain_row(doc_id, text):
+    words = (text or "").encode().split()
+    n = len(words)
+    if doc_id is not None and n:
+        h = zlib.crc32(str(doc_id).encode())
+        g = h // 10
+        if h % 10 == 0:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = plain_runs(words)
+    dropped = {i for start, length, q in runs for i in range(start + q, start + length)}
+    top = min(runs, key=lambda run: (-run[1], run[0], run[2]), default=None)
+    listed = "".join(f"{start},{length},{q}\n" for start, length, q in runs)
+    kept = b" ".join(word for i, word in enumerate(words) if i not in dropped)
+    return {
+        "doc_id": doc_id,
+        "n_runs": len(runs),
+        **dict(zip(("start", "length", "period"), top or (None, None, None), strict=True)),
+        "exponent_milli": 1000 * top[1] // top[2] if top else None,
+        "runs_sha256": hashlib.sha256(listed.encode()).hexdigest(),
+        "collapsed_sha256": hashlib.sha256(kept).hexdigest(),
+    }
+
+
+def repetitive(rnd):
+    words, kinds = [], rnd.choice([1, 2, 3, 5])
+    for _ in range(rnd.randint(0, 6)):
+        unit = [rnd.randrange(kinds) for _ in range(rnd.randint(1, 9))]
+        words += unit * rnd.randint(1, 7) + unit[: rnd.choice([0, len(unit) // 2])]
+    return words
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_runs_of_repetitive_sequences(seed):
+    rnd = random.Random(seed)
+    for _ in range(250):
+        words = repetitive(rnd)
+        found = periodic.periodic_runs(np.array(words, np.int64), len(words)).tolist()
+        assert [tuple(run) for run in found] == plain_runs(words), words
+
+
+def test_texts_side_by_side_do_not_mix():
+    rnd = random.Random(9)
+    texts = [" ".join(f"w{k}" for k in repetitive(rnd)).encode() for _ in range(60)]
+    for text, (words, runs) in zip(texts, periodic.runs_of_texts(texts, 6, 4), strict=True):
+        assert words == text.split() and [tuple(run) for run in runs.tolist()] == plain_runs(words)
+
+
+def test_sums_of_squared_differences_are_exact_modulo_each_prime():
+    ids = np.random.default_rng(2).integers(0, 1 << 20, 400)
+    starts = np.array([0, 16, 64, 300])
+    for prime in periodic.PRIMES:
+        sums = periodic.squared_differences(ids, starts, 16, prime)
+        for row, start in zip(sums, starts, strict=True):
+            for shift in range(16):
+                far = start + 16 + shift
+                plain = sum((int(a) - int(b)) ** 2 for a, b in zip(ids[start : start + 16], ids[far : far + 16], strict=True))
+                assert row[shift] == plain % prime
+
+
+@pytest.mark.parametrize("n", [4, 5, 6, 1000, 30_000])
+def test_one_word_over_and_over_is_one_run(n):
+    found = periodic.periodic_runs(np.zeros(n, np.int64), n).tolist()
+    assert found == ([[0, n, 1]] if n >= 6 else [])
+
+
+def test_long_periods_and_runs_within_runs():
+    unit = np.concatenate([np.zeros(8, np.int64), np.arange(1, 4001)])
+    words = np.concatenate([np.tile(unit, 4), unit[:17]])
+    found = [tuple(run) for run in periodic.periodic_runs(words, len(words)).tolist()]
+    assert (0, len(words), len(unit)) in found
+    assert [run for run in found if run[2] == 1] == [(k * len(unit), 8, 1) for k in range(5)]
+    assert len(found) == 6
+
+
+def test_too_few_periods_are_refused():
+    with pytest.raises(ValueError, match="four periods"):
+        periodic.periodic_runs(np.zeros(9, np.int64), 9, 6, 3)
+
+
+def test_odd_rows(spark):
+    long_text = "x y " * 40_000
+    rows = [(1, None), (2, ""), (3, " \t\n"), (4, "a a a a a a"), (None, "b b b b b b b"), (4, "a a a a a a"), (5, long_text), (6, "é é é é é é à")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("runs", F.lit("x")).withColumn("start", F.lit(1))
+    found = periodic.find_runs(docs)
+    assert found.columns == ["doc_id", "n_words", "runs", "collapsed"]
+    got = sorted(((row.doc_id or 0, row.n_words, [tuple(run) for run in row.runs], row.collapsed) for row in found.collect()), key=str)
+    assert got == sorted(
+        [(1, 0, [], ""), (2, 0, [], ""), (3, 0, [], ""), (4, 6, [(0, 6, 1)], "a"), (4, 6, [(0, 6, 1)], "a"), (0, 7, [(0, 7, 1)], "b")]
+        + [(5, 80_000, [(0, 80_000, 2)], "x y"), (6, 7, [(0, 6, 1)], "é à")],
+        key=str,
+    )
+    assert periodic.find_runs(docs.limit(0)).collect() == []
+
+
+def test_query_against_plain_code(spark, testdata):
+    docs = spark.read.parquet(f"{testdata}/documents.parquet").collect()
+    # Trying every period takes the square of the length, so long texts are left to the tests above.
+    plain = {row.doc_id: plain_row(row.doc_id, row.text) for row in docs if len(row.text or "") < 8000}
+    found = {row.doc_id: row.asDict() for row in op11_periodic_runs(spark, testdata).collect()}
+    assert len(found) == len(docs) and len(plain) > 100
+    assert {key: found[key] for key in plain} == plain
+    assert sum(row["n_runs"] > 0 for row in plain.values()) > 5
+
+
+def test_query_of_odd_rows(spark, tmp_path):
+    rows = [(None, "a a a a a a"), (7, None), (8, ""), (8, "")] + [(i, "one two  three\tfour five six seven") for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = sorted((row.asDict() for row in op11_periodic_runs(spark, str(tmp_path)).collect()), key=str)
+    assert found == sorted((plain_row(*row) for row in rows), key=str)
