@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,9 @@ from lakeloom.storage import (
     delete_folder,
     glob_paths,
     path_exists,
+    read_text_file,
     subfolders,
+    write_text_file,
 )
 
 HISTORY_COLUMNS = ("scd_id", "scd_updated_at", "valid_from", "valid_to")
@@ -111,13 +113,17 @@ def merge_history(
 
 
 class SnapshotTable:
-    """Type-2 history kept as Parquet below a folder, one folder per run.
+    """Type-2 history kept as Parquet below a folder, one folder per run, open rows in buckets by hash of the key.
 
-    A run writes ``run=<n>/is_open=true`` with the state of every key and ``run=<n>/is_open=false``
-    with the rows it closed. Earlier closed rows are never read or rewritten by a run.
+    A run finds the buckets in which a key is new or has changed, from keys and times alone. It writes the state of every
+    key of those buckets to ``run=<n>/is_open=true/bucket=<b>`` and the rows it closed to
+    ``run=<n>/is_open=false/bucket=<b>``. A manifest says which run's folder holds each bucket, so all other
+    buckets are carried over without being read in full or written. Earlier closed rows are never read or rewritten by a run.
+
+    ``buckets`` is fixed when the first run is made; about one for each gigabyte of open rows keeps a rewrite small.
 
     A run first takes its number by creating a mark that must not be there, and counts once a second
-    mark follows the data. So of two runs at a time one fails, whatever Spark's own marks are set to,
+    mark follows the data and the manifest. So of two runs at a time one fails, whatever Spark's own marks are set to,
     and no folder is written over. A run that fails gives its number back; one that is cut off
     keeps it until :meth:`discard_unfinished`.
     """
@@ -129,12 +135,14 @@ class SnapshotTable:
         keys: Sequence[str],
         updated_at: str,
         schema: T.StructType,
+        buckets: int = 1,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.keys = list(keys)
         self.updated_at = updated_at
         self.source_schema = schema
+        self.buckets = buckets
         moment = schema[updated_at].dataType
         self.history_schema = T.StructType(
             [
@@ -154,30 +162,64 @@ class SnapshotTable:
     def _mark(self, kind: str, run: int) -> str:
         return f"{self.root}/_marks/{kind}-{run}"
 
+    def _manifest_file(self, run: int) -> str:
+        return f"{self.root}/_marks/manifest-{run}"
+
+    def manifest(self, run: int) -> dict[int, int]:
+        """The run whose folder holds the open rows of each bucket that has any, after ``run``."""
+        lines = read_text_file(self.spark, self._manifest_file(run)).splitlines()
+        if lines[:1] != [f"buckets {self.buckets}"]:
+            raise ValueError(f"the history has {lines[0] if lines else 'no manifest'}, not buckets {self.buckets}")
+        return {int(bucket): int(held) for bucket, held in (line.split() for line in lines[1:])}
+
+    def _write_manifest(self, run: int, held: Mapping[int, int]) -> None:
+        lines = [f"buckets {self.buckets}", *(f"{bucket} {at}" for bucket, at in sorted(held.items()))]
+        write_text_file(self.spark, self._manifest_file(run), "\n".join(lines))
+
+    def bucket(self) -> Column:
+        """The bucket of a row by its key."""
+        keys = [F.col(key).cast(self.source_schema[key].dataType) for key in self.keys]
+        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
+
     def discard_unfinished(self) -> None:
         """Delete what runs that were cut off have left. No run may be under way."""
         complete = set(self.runs())
         folders = [path for path in subfolders(self.spark, self.root) if "/run=" in path]
-        marks = glob_paths(self.spark, f"{as_given(self.root)}/_marks/taken-*")
+        marks = [mark for kind in ("taken", "manifest") for mark in glob_paths(self.spark, f"{as_given(self.root)}/_marks/{kind}-*")]
         for place in (*folders, *marks):
             if int(re.search(r"(\d+)$", place).group(1)) not in complete:
                 delete_folder(self.spark, place)
 
-    def _read(self, runs: Sequence[int]) -> DataFrame:
+    def _read(self, paths: Sequence[str]) -> DataFrame:
         schema = T.StructType(
             [
                 *self.history_schema.fields,
                 T.StructField("run", T.IntegerType()),
                 T.StructField("is_open", T.BooleanType()),
+                T.StructField("bucket", T.IntegerType()),
             ]
         )
-        reader = self.spark.read.schema(schema).option("basePath", self.root)
-        return reader.parquet(*[f"{self.root}/run={run}" for run in runs])
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", self.root).parquet(*paths)
+
+    def _open_rows(self, held: Mapping[int, int], buckets: Iterable[int] | None = None) -> DataFrame:
+        """The open rows of the given buckets, all of them unless told."""
+        wanted = sorted(held) if buckets is None else sorted(set(buckets) & set(held))
+        paths = [f"{self.root}/run={held[bucket]}/is_open=true/bucket={bucket}" for bucket in wanted]
+        return self._read(paths).drop("run", "is_open", "bucket")
+
+    def _touched(self, source: DataFrame, held: Mapping[int, int]) -> list[int]:
+        """The buckets in which the source has a key that is new or later than its open row.
 
-    def _open_rows(self, runs: Sequence[int]) -> DataFrame:
-        if not runs:
-            return self.spark.createDataFrame([], self.history_schema)
-        return self._read(runs[-1:]).filter("is_open").drop("run", "is_open")
+        Reads the keys and times of both sides; one number per bucket comes to the driver.
+        """
+        latest = source.groupBy(*self.keys).agg(F.max(self.updated_at).alias("_latest")).withColumn("_bucket", self.bucket())
+        known = self._open_rows(held).select(*self.keys, F.col("valid_from").alias("_known"), F.lit(True).alias("_old"))
+        joined = latest.join(known, self.keys, "left")
+        # Open rows without a time stay as they are, as in the merge.
+        fresh = F.col("_old").isNull() | (F.col("_latest") > F.col("_known"))
+        return sorted(row["_bucket"] for row in joined.where(fresh).select("_bucket").distinct().collect())
 
     def apply(self, source: DataFrame) -> int:
         """Merge the source's present state into the history; gives the run's number."""
@@ -186,9 +228,8 @@ class SnapshotTable:
             raise ValueError(f"the source has columns {source.columns}, the history {names}")
         runs = self.runs()
         run = runs[-1] + 1 if runs else 1
-        merged = merge_history(
-            self._open_rows(runs), source.select(*names), self.keys, self.updated_at
-        )
+        held = self.manifest(runs[-1]) if runs else {}
+        source = source.select(*names)
         if not create_mark(self.spark, self._mark("taken", run)):
             raise RuntimeError(f"run {run} is taken: another is under way or was cut off")
         folder = f"{self.root}/run={run}"
@@ -196,41 +237,62 @@ class SnapshotTable:
             delete_folder(self.spark, self._mark("taken", run))
             raise RuntimeError(f"{folder} holds data no run has marked; see discard_unfinished")
         try:
-            merged.write.partitionBy("is_open").parquet(folder)
+            touched = self._touched(source, held) if self.buckets > 1 else [0]
+            if touched:
+                incoming = source.where(self.bucket().isin(touched)) if len(touched) < self.buckets else source
+                merged = merge_history(self._open_rows(held, touched), incoming, self.keys, self.updated_at)
+                merged = merged.withColumn("bucket", self.bucket())
+                # Each bucket is written by one task, so a run leaves one file per bucket and kind.
+                dealt = merged.repartition("bucket") if self.buckets > 1 else merged
+                dealt.write.partitionBy("is_open", "bucket").parquet(folder)
+            written = subfolders(self.spark, f"{folder}/is_open=true") if path_exists(self.spark, f"{folder}/is_open=true") else []
+            fresh = {int(path.rsplit("=", 1)[1]): run for path in written}
+            self._write_manifest(run, {**held, **fresh})
         except Exception:
             delete_folder(self.spark, folder)
+            delete_folder(self.spark, self._manifest_file(run))
             delete_folder(self.spark, self._mark("taken", run))
             raise
         create_mark(self.spark, self._mark("complete", run))
         return run
 
+    def _closed_rows(self) -> DataFrame:
+        """The rows that completed runs have closed."""
+        complete = set(self.runs())
+        folders = glob_paths(self.spark, f"{as_given(self.root)}/run=*/is_open=false", folders_only=True)
+        closed = [path for path in folders if int(re.search(r"run=(\d+)/is_open=false$", path).group(1)) in complete]
+        return self._read(closed).drop("run", "is_open", "bucket")
+
     def history(self) -> DataFrame:
-        """All states of all keys: the last run's open rows and every run's closed rows."""
-        runs = self.runs()
-        if not runs:
-            return self._open_rows(runs)
-        wanted = ~F.col("is_open") | (F.col("run") == runs[-1])
-        return self._read(runs).filter(wanted).drop("run", "is_open")
+        """All states of all keys: the open rows the last manifest names and every run's closed rows."""
+        return self._closed_rows().unionByName(self.current())
 
     def current(self) -> DataFrame:
         """The open row of every key."""
-        return self._open_rows(self.runs())
+        runs = self.runs()
+        return self._open_rows(self.manifest(runs[-1]) if runs else {})
 
     def changed(self) -> DataFrame:
         """The history of those keys only that have changed since they were first seen."""
-        history = self.history()
-        closed = history.filter("valid_to is not null")
+        closed = self._closed_rows().filter("valid_to is not null")
         # Closed rows qualify by themselves; open rows are one per key, so the join has no hot key.
-        open_rows = history.filter("valid_to is null")
+        open_rows = self.current().filter("valid_to is null")
         keys = closed.select(*self.keys).distinct()
         return closed.unionByName(open_rows.join(keys, self.keys, "left_semi"))
 
     def expire(self, keep: int = 2) -> None:
-        """Delete the open rows of all but the last ``keep`` runs; later runs hold them anew.
+        """Delete the open rows that none of the last ``keep`` runs' manifests names.
 
         Closed rows are kept, so the history stays whole. Readers of an older run must be done.
         """
         if keep < 1:
             raise ValueError("the last run's open rows are part of the history")
-        for run in self.runs()[:-keep]:
-            delete_folder(self.spark, f"{self.root}/run={run}/is_open=true")
+        runs = self.runs()
+        named = {pair for run in runs[-keep:] for pair in self.manifest(run).items()}
+        for run in runs[:-keep]:
+            folder = f"{self.root}/run={run}/is_open=true"
+            buckets = subfolders(self.spark, folder) if path_exists(self.spark, folder) else []
+            left = [path for path in buckets if (int(path.rsplit("=", 1)[1]), run) in named]
+            for path in buckets if left else [folder]:
+                if path not in left:
+                    delete_folder(self.spark, path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
@@ -32,13 +33,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def release_scratch(spark: SparkSession) -> None:
-    """Delete what was written below the scratch paths of this process.
+def scratch_mark() -> int:
+    """Where the list of scratch paths stands, for :func:`release_scratch`."""
+    return len(_issued)
 
-    Frames are lazy, so this is for the end of a job, when all that read from there are done.
+
+def release_scratch(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> None:
+    """Delete what was written below the scratch paths of this process, those given out after ``since`` only.
+
+    Frames are lazy, so this is for the end of a job or of a step of it whose result is written, when all that read from
+    there are done. Paths that start with one of ``keep`` stay.
     """
-    while _issued:
-        delete_folder(spark, _issued.pop())
+    kept = [path for path in _issued[since:] if path.startswith(tuple(keep))]
+    for path in _issued[since:]:
+        if path not in kept:
+            delete_folder(spark, path)
+    _issued[since:] = kept
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -84,6 +94,16 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(p.toString() for p in found if p.getName()[0] not in "_.")
 
 
+def direct_files(spark: SparkSession, path: str) -> Iterator[str]:
+    """Files right below ``path``, hidden ones left out, read entry by entry."""
+    fs, folder = _file_system(spark, path)
+    entries = fs.listStatusIterator(folder)
+    while entries.hasNext():
+        entry = entries.next()
+        if entry.isFile() and entry.getPath().getName()[0] not in "_.":
+            yield entry.getPath().toString()
+
+
 def as_given(path: str) -> str:
     """The path with pattern characters escaped, for readers that take patterns."""
     return re.sub(r"([\\*?\[\]{},])", r"\\\1", path)
@@ -106,6 +126,28 @@ def create_mark(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def write_text_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a short file as a whole, over what was there."""
+    fs, file = _file_system(spark, path)
+    stream = fs.create(file, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text_file(spark: SparkSession, path: str) -> str:
+    """The text of a short file; empty where there is none."""
+    fs, file = _file_system(spark, path)
+    if not fs.exists(file):
+        return ""
+    stream = fs.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def set_file_times(spark: SparkSession, path: str, millis: int) -> None:
     """Set the modification time of the files right below a path."""
     fs, folder = _file_system(spark, path)
