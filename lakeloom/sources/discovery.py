@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.catalog import quote_name, quote_part, quote_text, set_table_properties
@@ -104,18 +108,91 @@ def discover_table(
     return spark.table(table)
 
 
+def merge_types(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type of delimited text that holds the values of both: a step of a fold in any order.
+
+    Whole numbers widen to ``bigint`` and further to ``double``, dates to times; any other pair is text. A column
+    without values is as the other.
+    """
+    if a == b:
+        return a
+    for one, other in ((a, b), (b, a)):
+        if isinstance(one, T.NullType):
+            return other
+    pair = {_ladder(a), _ladder(b)}
+    if pair <= {"whole"}:
+        return T.LongType()
+    if pair <= {"whole", "real"}:
+        return T.DoubleType()
+    if pair <= {"date", "time"}:
+        return T.TimestampType() if T.TimestampType() in (a, b) else T.TimestampNTZType()
+    return T.StringType()
+
+
+def _ladder(kind: T.DataType) -> str:
+    if isinstance(kind, T.DecimalType):
+        # Spark infers a decimal for whole numbers beyond a long.
+        return "real"
+    names = {"whole": "tinyint smallint int bigint", "real": "float double", "date": "date", "time": "timestamp timestamp_ntz"}
+    return next((name for name, kinds in names.items() if kind.simpleString() in kinds.split()), "other")
+
+
+def header_groups(spark: SparkSession, folders: Sequence[str], options: Mapping[str, str] | None = None) -> dict[str, list[str]]:
+    """The files of some folders of headed text by their first line; files without any line are left out.
+
+    One distributed pass finds the first line that is not blank in each file: files are read in parallel, and a
+    task sends one line per file it starts. The driver receives a path and a line per file.
+    Paths come as URIs and are given back as Spark takes them.
+    """
+    reader = spark.read
+    for name, value in (options or {}).items():
+        if name.lower() in ("linesep", "pathglobfilter", "recursivefilelookup"):
+            reader = reader.option(name, value)
+
+    def first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[str] = set()
+        for batch in batches:
+            paths, lines = batch.column(0), batch.column(1)
+            for path in pc.unique(paths).to_pylist():
+                if path not in seen:
+                    seen.add(path)
+                    # Splits are read in order, and the first row that is left of a file is its header.
+                    at = pc.index(paths, path).as_py()
+                    yield pa.RecordBatch.from_arrays([paths.slice(at, 1), lines.slice(at, 1)], ["path", "line"])
+
+    # A file's header stands in its first block.
+    lines = reader.text([as_given(folder) for folder in folders]).where("_metadata.file_block_start = 0 AND trim(value) <> ''")
+    found = lines.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
+    groups: dict[str, list[str]] = {}
+    for row in found.mapInArrow(first_lines, "path string, line string").collect():
+        groups.setdefault(row["line"].removeprefix("\ufeff"), []).append(unquote(row["path"]))
+    return {line: sorted(paths) for line, paths in sorted(groups.items())}
+
+
 def read_mixed_headers(
     spark: SparkSession, folders: Sequence[str], options: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Headed text of several folders, each with a header of its own, as one frame by column name.
+    """Headed text as one frame by column name, whatever the columns and order of each file's header.
 
-    Columns that a folder lacks are null there; types are the wider of the folders'.
+    Files are grouped by header, each group's types are inferred, and types are merged by name with
+    :func:`merge_types`; every group is then read with the merged types. So a folder may hold files of several headers, and
+    columns that a file lacks are null for its rows. Files are read twice before the result is: for headers, for types.
     """
     settings = {"mode": "FAILFAST", "enforceSchema": "false", **(options or {}), "header": "true"}
+    groups = header_groups(spark, folders, options)
+    if not groups:
+        return spark.createDataFrame([], T.StructType([]))
+    schemas = {}
+    for line, paths in groups.items():
+        reader = spark.read.options(**settings).option("inferSchema", "true")
+        schemas[line] = _widen(reader.csv([as_given(path) for path in paths]).schema)
+    merged: dict[str, T.DataType] = {}
+    for field in (field for schema in schemas.values() for field in schema):
+        merged[field.name] = merge_types(merged.get(field.name, T.NullType()), field.dataType)
     frames = []
-    for folder in folders:
-        schema = infer_schema(spark, folder, "csv", settings)
-        frames.append(spark.read.options(**settings).schema(schema).csv(as_given(folder)))
+    for line, paths in groups.items():
+        schema = T.StructType([T.StructField(f.name, merged[f.name]) for f in schemas[line]])
+        frames.append(spark.read.options(**settings).schema(schema).csv([as_given(path) for path in paths]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

@@ -1,0 +1,73 @@
+from itertools import permutations, product
+
+import pytest
+from pyspark.sql import types as T
+
+from conftest import rows
+from lakeloom.sources.discovery import header_groups, merge_types, read_mixed_headers
+
+
+def put(folder, **files):
+    folder.mkdir(exist_ok=True)
+    for name, text in files.items():
+        (folder / f"{name}.csv").write_text(text)
+    return str(folder)
+
+
+def test_one_folder_with_two_orders_of_columns(spark, tmp_path):
+    path = put(tmp_path / "in", a="a,b\n1,x\n2,y\n", b="b,a\nz,3\n", c="a,b\n4,w\n")
+    assert rows(read_mixed_headers(spark, [path]).select("a", "b")) == [(1, "x"), (2, "y"), (3, "z"), (4, "w")]
+    groups = header_groups(spark, [path])
+    assert {line: len(paths) for line, paths in groups.items()} == {"a,b": 2, "b,a": 1}
+
+
+def test_types_are_merged_by_name_and_text_is_kept(spark, tmp_path):
+    one = put(tmp_path / "one", a="id,v,d\n1,007,2024-01-01\n", b="v,id\nx7,2\n")
+    two = put(tmp_path / "two", a="id,w\n2.5,true\n")
+    found = read_mixed_headers(spark, [one, two])
+    assert {f.name: f.dataType.simpleString() for f in found.schema} == {"id": "double", "v": "string", "d": "date", "w": "boolean"}
+    # Read as text from the start, so nothing of a number's spelling is lost.
+    assert sorted((row.id, row.v) for row in found.collect() if row.v) == [(1.0, "007"), (2.0, "x7")]
+
+
+def test_blank_lines_marks_and_files_without_rows(spark, tmp_path):
+    path = put(tmp_path / "in", a="\n\na,b\n1,x\n", b="a,b\n", c="", d="﻿b,a\ny,2\n")
+    groups = header_groups(spark, [path])
+    assert {line: len(paths) for line, paths in groups.items()} == {"a,b": 2, "b,a": 1}
+    assert rows(read_mixed_headers(spark, [path]).select("a", "b")) == [(1, "x"), (2, "y")]
+    empty = put(tmp_path / "none", a="")
+    assert read_mixed_headers(spark, [empty]).columns == []
+
+
+def test_files_that_are_split_have_one_header(spark, tmp_path):
+    put(tmp_path / "in", **{f"f{i}": ("a,b\n" if i % 2 else "b,a\n") + "".join(f"{k},{k}\n" for k in range(3000)) for i in range(4)})
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        found = read_mixed_headers(spark, [str(tmp_path / "in")])
+        assert found.count() == 12_000 and found.where("a <> b").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+KINDS = [
+    T.NullType(), T.BooleanType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.DecimalType(38, 0), T.DateType(),
+    T.TimestampType(), T.TimestampNTZType(), T.StringType(),
+]
+
+
+def test_merging_types_is_a_fold_in_any_order():
+    for a, b in product(KINDS, KINDS):
+        assert merge_types(a, b) == merge_types(b, a)
+    for triple in product(KINDS, repeat=3):
+        results = {merge_types(merge_types(a, b), c).simpleString() for a, b, c in permutations(triple)}
+        if not any(kind.simpleString() in ("int", "decimal(38,0)") for kind in triple):
+            assert len(results) == 1, triple
+        wide = {merge_types(merge_types(merge_types(a, a), merge_types(b, b)), merge_types(c, c)).simpleString() for a, b, c in permutations(triple)}
+        assert len(wide) == 1, triple
+
+
+@pytest.mark.parametrize(("a", "b", "wider"), [("1", "2.5", "double"), ("1", "x", "string"), ("2024-01-01", "2024-01-01 10:00:00", "timestamp"), ("true", "1", "string")])
+def test_wider_types(spark, tmp_path, a, b, wider):
+    path = put(tmp_path / "in", a=f"v,w\n{a},1\n", b=f"w,v\n1,{b}\n")
+    assert read_mixed_headers(spark, [path]).schema["v"].dataType.simpleString() == wider
