@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.operators.joins import orphans
+from lakeloom.operators.uniqueness import repeated_values
 
 
 def _report(df: DataFrame, model: str, column: str, test: str, failures: Column) -> DataFrame:
@@ -49,6 +50,13 @@ def unique(df: DataFrame, model: str, columns: str | Sequence[str]) -> DataFrame
     return _report(repeated, model, ", ".join(columns), "unique", F.count(F.lit(1)))
 
 
+def unique_by_hashes(df: DataFrame, model: str, columns: str | Sequence[str]) -> DataFrame:
+    """:func:`unique` for a large table whose keys are mostly unique: packed hashes are shuffled, and only rows whose
+    hash repeats. The first pass runs when this is called."""
+    columns = [columns] if isinstance(columns, str) else list(columns)
+    return _report(repeated_values(df, columns), model, ", ".join(columns), "unique", F.count(F.lit(1)))
+
+
 def not_null(df: DataFrame, model: str, columns: str | Sequence[str]) -> DataFrame:
     """How many rows are null, for each of the columns, in one pass."""
     columns = [columns] if isinstance(columns, str) else list(columns)
