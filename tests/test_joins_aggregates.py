@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from lakeloom.operators.aggregates import conditional_sums, first_rows, group_by_first
-from lakeloom.operators.joins import join_on, orphans
+from lakeloom.operators.joins import join_on, join_using, orphans
 from lakeloom.plans.jobs import entity_history
 
 
@@ -82,3 +82,39 @@ def test_first_rows(spark):
     one = first_rows(df, ["k"], [F.col("t").asc(), F.col("v").desc()])
     assert rows(one) == [(1, 2, "z"), (2, 9, "w")]
     assert plan(one).count("WindowGroupLimit") == 2
+
+
+def orders_of(spark):
+    days = [(1, "d1", 10), (1, "d2", 20), (2, "d1", 30), (None, "d1", 40), (3, None, 50)]
+    return spark.createDataFrame(days, "customer int, day string, amount int")
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "full"])
+def test_join_using_two_columns(spark, how):
+    left = spark.createDataFrame([(1, "a", "d1"), (1, "b", "d9"), (2, "c", "d1"), (3, "e", None), (None, "f", "d1")], "customer int, name string, day string")
+    right = orders_of(spark)
+    found = join_using(left, right, ["customer", "day"], how)
+    assert found.columns == ["customer", "day", "name", "amount"]
+    assert rows(found) == rows(left.join(right, ["customer", "day"], how).select(*found.columns))
+
+
+def test_join_using_refuses_to_multiply_rows(spark):
+    left = spark.createDataFrame([(1, "d1"), (2, "d1")], "customer int, day string")
+    right = orders_of(spark).unionByName(orders_of(spark).where("customer = 1 AND day = 'd1'"))
+    with pytest.raises(Exception, match="customer=1, day=d1"):
+        join_using(left, right, ["customer", "day"]).collect()
+    # A key that no left row meets does no harm.
+    assert rows(join_using(left.where("customer = 2"), right, ["customer", "day"])) == [(2, "d1", 30)]
+    with pytest.raises(ValueError, match="both sides"):
+        join_using(left, right, ["customer"])
+    with pytest.raises(ValueError, match="cross"):
+        join_using(left, right, ["customer", "day"], "cross")
+
+
+def test_join_using_takes_the_named_row_of_many(spark):
+    """2,000 orders on a day: one row, whichever end of the order is asked for."""
+    left = spark.createDataFrame([(1, "d1"), (2, "d1")], "customer int, day string")
+    right = spark.range(2000).selectExpr("1 AS customer", "'d1' AS day", "id AS order_id")
+    for order, wanted in ((F.col("order_id").asc(), 0), (F.col("order_id").desc(), 1999)):
+        found = join_using(left, right, ["customer", "day"], order=[order])
+        assert rows(found) == [(1, "d1", wanted), (2, "d1", None)]
