@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.catalog import quote_part
-from lakeloom.sources.files import NO_ESCAPE, NO_QUOTE, NO_SEPARATOR, NULL_MARK
+from lakeloom.sources.files import ESCAPED_BREAKS, NO_ESCAPE, NO_QUOTE, NO_SEPARATOR, NULL_MARK
 
 # Microseconds are kept in text formats.
 NTZ_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -45,6 +45,7 @@ def write_delimited(
     header: bool = True,
     mode: str = "error",
     max_records_per_file: int = 0,
+    breaks: str = "quoted",
 ) -> None:
     """Delimited text that quotes a value where it must, doubling quotes inside.
 
@@ -52,9 +53,15 @@ def write_delimited(
     quoted and a null is written as :data:`~lakeloom.sources.files.NULL_MARK`, so that every row comes
     back. A text value equal to the mark is an error.
 
-    ``max_records_per_file`` bounds the files for readers that cannot split them (values with
-    record breaks inside).
+    ``breaks="escaped"`` writes line feeds and carriage returns inside values as marks
+    (:data:`~lakeloom.sources.files.ESCAPED_BREAKS`), which the reader turns back. So a line is a record, and files of any
+    size are read by many tasks. Text with such a mark is an error. With ``"quoted"`` breaks stand as they are, and only
+    ``max_records_per_file`` bounds the files of readers that then cannot split them.
     """
+    if breaks not in ("quoted", "escaped"):
+        raise ValueError(f"breaks are 'quoted' or 'escaped', not {breaks!r}")
+    if breaks == "escaped" and header and any(set(name) & {"\n", "\r"} for name in df.columns):
+        raise ValueError(f"a column name would break the header: {df.columns}")
     options = {}
     if _loses_blank_lines(df, sep):
         options = {"quoteAll": True, "nullValue": NULL_MARK}
@@ -63,7 +70,11 @@ def write_delimited(
         value = F.col(quote_part(field.name))
         if isinstance(field.dataType, T.StringType):
             problem = F.raise_error(f"column {field.name} holds the null mark").cast("string")
-            value = F.when(value == NULL_MARK, problem).otherwise(value).alias(field.name)
+            text = value
+            if breaks == "escaped":
+                marked = F.raise_error(f"column {field.name} holds a mark of an escaped break").cast("string")
+                text = F.when(value.rlike(f"[{ESCAPED_BREAKS}]"), marked).otherwise(F.translate(value, "\n\r", ESCAPED_BREAKS))
+            value = F.when(value == NULL_MARK, problem).otherwise(text).alias(field.name)
         checked.append(value)
     df.select(*checked).write.mode(mode).options(
         sep=sep,

@@ -19,6 +19,9 @@ from lakeloom.catalog import (
 )
 from lakeloom.storage import delete_folder, glob_paths
 
+#: The property of a published view that names the table of its present version.
+VERSION_PROPERTY = "lakeloom.version"
+
 
 def publish_table(
     df: DataFrame,
@@ -109,6 +112,82 @@ def expire_versions(spark: SparkSession, table: str, path: str) -> None:
             delete_folder(spark, folder)
 
 
+def publish_view(
+    df: DataFrame,
+    name: str,
+    path: str,
+    description: str | None = None,
+    properties: Mapping[str, str] | None = None,
+    column_comments: Mapping[str, str] | None = None,
+    partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
+) -> DataFrame:
+    """Write ``df`` as a new version and make ``name`` a view of it: one statement, whatever has changed.
+
+    Each call writes a version folder below ``path``, registers it as a table of its own, named after the view with a suffix, and
+    gathers its statistics. Then the view is replaced. So a reader sees the one version or the other and never none, also
+    when columns, texts or partitions change, and a failure before the last statement changes nothing. Descriptions,
+    properties and comments are the view's. A name that is a table is never replaced.
+
+    ``partition_by`` writes ``key=value`` folders. ``cluster_by`` deals rows to files by ranges of those columns and sorts
+    them within, so that filters on them skip files and row groups by their least and largest values; statistics of these
+    columns are gathered too.
+    """
+    spark = df.sparkSession
+    unknown = (set(column_comments or {}) | set(partition_by) | set(cluster_by)) - set(df.columns)
+    if unknown:
+        raise ValueError(f"columns that do not exist: {sorted(unknown)}")
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        raise ValueError(f"{name} is a table; drop it before publishing a view by its name")
+    ident = uuid4().hex
+    version, table = f"{path.rstrip('/')}/version-{ident}", f"{name}__v{ident}"
+    laid = df
+    if cluster_by:
+        by = [*partition_by, *cluster_by]
+        laid = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    laid.write.partitionBy(*partition_by).parquet(version)
+    try:
+        columns = ", ".join(f"{quote_part(f.name)} {f.dataType.simpleString()}" for f in df.schema)
+        by = f" PARTITIONED BY ({', '.join(map(quote_part, partition_by))})" if partition_by else ""
+        spark.sql(f"CREATE TABLE {quote_name(table)} ({columns}) USING parquet{by} LOCATION {quote_text(version)}")
+        if partition_by:
+            spark.sql(f"ALTER TABLE {quote_name(table)} RECOVER PARTITIONS")
+        spark.sql(f"ANALYZE TABLE {quote_name(table)} COMPUTE STATISTICS")
+        if cluster_by:
+            spark.sql(f"ANALYZE TABLE {quote_name(table)} COMPUTE STATISTICS FOR COLUMNS {', '.join(map(quote_part, cluster_by))}")
+    except Exception:
+        drop_table(spark, table)
+        delete_folder(spark, version)
+        raise
+    comments = column_comments or {}
+    listed = ", ".join(
+        quote_part(c) + (f" COMMENT {quote_text(comments[c])}" if c in comments else "") for c in df.columns
+    )
+    text = f" COMMENT {quote_text(description)}" if description is not None else ""
+    held = {**(properties or {}), VERSION_PROPERTY: table}
+    pairs = ", ".join(f"{quote_text(k)} = {quote_text(v)}" for k, v in held.items())
+    names = ", ".join(map(quote_part, df.columns))
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {quote_name(name)} ({listed}){text} TBLPROPERTIES ({pairs})"
+        f" AS SELECT {names} FROM {quote_name(table)}"
+    )
+    return spark.table(name)
+
+
+def expire_view_versions(spark: SparkSession, name: str, path: str) -> None:
+    """Drop the tables and folders of versions the view has left behind; their readers must be done."""
+    present = table_properties(spark, name)[VERSION_PROPERTY]
+    database, _, own = name.rpartition(".")
+    for table in spark.catalog.listTables(database or None):
+        full = f"{database}.{table.name}" if database else table.name
+        if table.name.startswith(f"{own}__v") and full != present:
+            drop_table(spark, full)
+    kept = present.rpartition("__v")[2]
+    for folder in glob_paths(spark, f"{path.rstrip('/')}/version-*"):
+        if folder.rsplit("/version-", 1)[1] != kept:
+            delete_folder(spark, folder)
+
+
 def materialize_view(df: DataFrame, name: str) -> DataFrame:
     """Give a lazy model a name SQL can use; nothing is computed or stored."""
     df.createOrReplaceTempView(name)

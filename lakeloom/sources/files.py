@@ -5,13 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloom.catalog import quote_part
+
 Schema = str | T.StructType
 
 # Fixed values that stand outside text: Unicode noncharacters. The first is a null, the others are
 # the separator, quote and escape of text that has none; the writers refuse values that hold them.
 NULL_MARK, NO_SEPARATOR, NO_QUOTE, NO_ESCAPE = "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3"
+# They stand for a line feed and a carriage return inside a value.
+ESCAPED_BREAKS = "\ufdd4\ufdd5"
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
@@ -85,16 +90,27 @@ def read_delimited(
     spark: SparkSession,
     paths: str | Sequence[str],
     schema: Schema | None = None,
+    breaks: str = "quoted",
     **options,
 ) -> DataFrame:
     """Scan delimited text; ``options`` as in :func:`delimited_options`.
 
     A header that does not name the schema's columns, or a value that does not fit its type, is an
     error rather than a null. Without a schema every column is a string, named by the header.
+    ``breaks="escaped"`` reads what the writer put down so: a line is a record, files are split between tasks, and
+    marks inside values become record breaks again.
     """
+    if breaks not in ("quoted", "escaped"):
+        raise ValueError(f"breaks are 'quoted' or 'escaped', not {breaks!r}")
     paths = paths if isinstance(paths, str) else list(paths)
     reader = spark.read.options(**delimited_options(**options))
-    return (reader if schema is None else reader.schema(schema)).csv(paths)
+    found = (reader if schema is None else reader.schema(schema)).csv(paths)
+    if breaks == "quoted":
+        return found
+    texts = [field.name for field in found.schema if isinstance(field.dataType, T.StringType)]
+    return found.select(
+        *[F.translate(quoted, ESCAPED_BREAKS, "\n\r").alias(name) if name in texts else F.col(quoted) for name, quoted in zip(found.columns, map(quote_part, found.columns), strict=True)]
+    )
 
 
 def read_seed(

@@ -236,3 +236,29 @@ def test_json_that_does_not_fit_is_an_error_or_kept(spark, tmp_path):
         files.read_json(spark, str(tmp_path / "j.json"), "a int").collect()
     found = files.read_json(spark, str(tmp_path / "j.json"), "a int", bad_lines="raw")
     assert rows(found) == [(1, None), (None, "not json"), (None, '{"a": "zz"}')]
+
+
+def test_escaped_breaks_come_back_from_files_that_split(spark, tmp_path):
+    odd = ["a\nb", "\r\n", "\n", "", None, 'q"|\\\n"', "plain", "x y\x85z", " \t "]
+    given = [(i, odd[i % len(odd)]) for i in range(3000)]
+    df = spark.createDataFrame(given, "id bigint, `t.x` string").coalesce(1)
+    path = str(tmp_path / "escaped")
+    write_delimited(df, path, breaks="escaped")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        found = files.read_delimited(spark, path, "id bigint, `t.x` string", sep="|", breaks="escaped")
+        assert found.rdd.getNumPartitions() > 2
+        assert rows(found) == sorted(given, key=lambda r: tuple(map(repr, r)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_marks_of_escaped_breaks_are_refused(spark, tmp_path):
+    df = spark.createDataFrame([("a﷔",)], "t string")
+    with pytest.raises(Exception, match="mark of an escaped break"):
+        write_delimited(df, str(tmp_path / "m"), breaks="escaped")
+    with pytest.raises(ValueError, match="quoted"):
+        write_delimited(df, str(tmp_path / "m"), breaks="no")
+    with pytest.raises(ValueError, match="header"):
+        write_delimited(df.toDF("a\nb"), str(tmp_path / "m"), breaks="escaped")
