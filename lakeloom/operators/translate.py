@@ -4,18 +4,44 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from uuid import uuid4
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.storage import folder_bytes
+from lakeloom.storage import delete_folder, folder_bytes, path_exists, subfolders
 
 # Called once per task; gives the function that translates a list of texts.
 TranslatorFactory = Callable[[], Callable[[list[str]], list[str]]]
 
 
+SCHEMA = T.StructType([T.StructField("_digest", T.StringType()), T.StructField("_result", T.StringType())])
+
+
+def stored_translations(spark: SparkSession, store: str) -> DataFrame:
+    """(_digest, _result) of a store, one row per digest, however many runs have translated a text.
+
+    Of different translations of one text the least counts, in every run alike.
+    """
+    # Its files are listed here, so what is found holds for every later action.
+    found = spark.read.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(store)
+    if len(subfolders(spark, store)) < 2 or found.groupBy("_digest").count().where("count > 1").isEmpty():
+        return found
+    return found.groupBy("_digest").agg(F.min("_result").alias("_result"))
+
+
+def compact_store(spark: SparkSession, store: str) -> None:
+    """Rewrite a store to one row per digest in one folder. No run may be under way."""
+    if not path_exists(spark, store):
+        return
+    present = subfolders(spark, store)
+    stored_translations(spark, store).write.parquet(f"{store}/run={uuid4().hex}")
+    for folder in present:
+        delete_folder(spark, folder)
+
+
 def _caller(factory: TranslatorFactory, attempts: int, retry_wait: float) -> Callable:
     """Self-contained, so workers need not be able to import this package."""
 
@@ -62,7 +88,8 @@ def translate_column(
     ``store`` is a folder that keeps translations: texts found there are not translated again, new
     ones are written there before the join. So neither a second action nor a lost executor repeats
     a call, and Spark knows the size of the translations when it plans the join: with small ones
-    the rows are not shuffled at all. Without a store everything stays lazy.
+    the rows are not shuffled at all. Each run writes a folder of its own there, so runs that start together may translate
+    a text twice but neither lose nor multiply rows; :func:`compact_store` tidies up. Without a store everything stays lazy.
 
     AQE sizes tasks by bytes. Where calls are slow, ``tasks`` says how many tasks share them.
     """
@@ -78,19 +105,16 @@ def translate_column(
 
     texts = df.select(F.col(column).alias("_text")).filter("_text is not null").distinct()
     texts = texts.select(F.sha2("_text", 256).alias("_digest"), "_text")
-    schema = T.StructType(
-        [T.StructField("_digest", T.StringType()), T.StructField("_result", T.StringType())]
-    )
     spark = df.sparkSession
     if store is not None and folder_bytes(spark, store) > 0:
-        known = spark.read.schema(schema).parquet(store)
+        known = spark.read.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(store)
         texts = texts.join(known.select("_digest"), "_digest", "left_anti")
     if tasks is not None:
         texts = texts.repartition(tasks, "_digest")
-    translations = texts.mapInArrow(translate_batches, schema)
+    translations = texts.mapInArrow(translate_batches, SCHEMA)
     if store is not None:
-        translations.write.mode("append").parquet(store)
-        translations = spark.read.schema(schema).parquet(store)
+        translations.write.parquet(f"{store.rstrip('/')}/run={uuid4().hex}")
+        translations = stored_translations(spark, store)
     translations = translations.withColumnRenamed("_result", output)
     keyed = df.withColumn("_digest", F.sha2(F.col(column), 256))
     return keyed.join(translations, "_digest", "left").drop("_digest")

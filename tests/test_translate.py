@@ -1,7 +1,10 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import plan, rows
-from lakeloom.operators.translate import translate_column, translate_in_batches
+from lakeloom.operators.translate import compact_store, translate_column, translate_in_batches
 
 
 def stub():
@@ -113,3 +116,33 @@ def test_the_join_carries_digests(spark, testdata):
     assert "sha2" in text and "MapInArrow" in text
     # Other columns are not read.
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
+
+
+def test_a_store_with_a_text_twice_multiplies_no_row(spark, tmp_path):
+    """Two runs that start together both translate a text; each writes a folder of its own."""
+    store = str(tmp_path / "store")
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id int, t string")
+    digest = F.sha2(F.lit("a"), 256).alias("_digest")
+    for result in ("A2", "A1"):
+        spark.range(1).select(digest, F.lit(result).alias("_result")).write.parquet(f"{store}/run={result}")
+    log = tmp_path / "log"
+    log.mkdir()
+    for _ in range(2):
+        found = translate_column(df, "t", "en", logging_stub(str(log)), store=store)
+        assert rows(found) == [(1, "a", "A1"), (2, "a", "A1"), (3, "b", "B")]
+    assert calls(log) == ["b"]
+    compact_store(spark, store)
+    assert len(list((tmp_path / "store").glob("run=*"))) == 1
+    assert rows(translate_column(df, "t", "en", logging_stub(str(log)), store=store)) == rows(found)
+    assert calls(log) == ["b"]
+
+
+def test_two_runs_at_a_time(spark, tmp_path):
+    store, log = str(tmp_path / "store"), tmp_path / "log"
+    log.mkdir()
+    df = spark.range(40).selectExpr("id", "concat('t', id % 10) AS t")
+    with ThreadPoolExecutor(2) as pool:
+        runs = [pool.submit(translate_column, df, "t", "en", logging_stub(str(log)), store) for _ in range(2)]
+        frames = [run.result() for run in runs]
+    for frame in (*frames, translate_column(df, "t", "en", logging_stub(str(log)), store)):
+        assert rows(frame) == [(i, f"t{i % 10}", f"T{i % 10}") for i in sorted(range(40), key=repr)]
