@@ -187,9 +187,12 @@ ORACLE_SQL: dict[str, str] = {
           FROM events
         )
     """,
+    # Values are below 2**20 and multiples of 2**-80: two whole numbers each, added up without error.
     "json_map_total_double": """
-        SELECT round(sum(value), 2) AS total_order_value, count(value) AS valid_documents,
-               count(*) - count(value) AS invalid_documents
+        SELECT CAST(sum(CAST(floor(value * 2**40) AS HUGEINT)) AS DOUBLE) / 2**40
+                 + CAST(sum(CAST((value * 2**40 - floor(value * 2**40)) * 2**40 AS HUGEINT)) AS DOUBLE) / 2**80
+                 AS total_order_value,
+               count(value) AS valid_documents, count(*) - count(value) AS invalid_documents
         FROM events
     """,
     "entity_history": _ENTITY_HISTORY,
@@ -287,6 +290,56 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "incremental_ingest": "SELECT * FROM events",
     "job_entity_history": _ENTITY_HISTORY,
+    "customer_orders_using": _MART,
+    "semi_join_reduced": """
+        SELECT * FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)
+    """,
+    "anti_join_reduced": """
+        WITH ordered AS (
+          SELECT l_partkey, l_suppkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+            JOIN customer ON o_custkey = c_custkey
+          WHERE c_mktsegment = 'HOUSEHOLD'
+        )
+        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem l
+        WHERE NOT EXISTS (
+          SELECT 1 FROM ordered o WHERE o.l_partkey = l.l_partkey AND o.l_suppkey = l.l_suppkey)
+    """,
+    "compare_versions": """
+        WITH other AS (
+          SELECT * REPLACE (CASE WHEN o_orderkey % 97 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus)
+          FROM orders
+          JOIN (VALUES (1), (2)) AS copies(copy)
+            ON copy <= CASE WHEN o_orderkey % 103 = 0 THEN 2 WHEN o_orderkey % 101 = 0 THEN 0 ELSE 1 END
+        ),
+        both_sides AS (
+          SELECT *, 1 AS l, 0 AS r FROM orders UNION ALL SELECT * EXCLUDE (copy), 0, 1 FROM other
+        )
+        SELECT * EXCLUDE (l, r), CAST(sum(l) AS BIGINT) AS n_left, CAST(sum(r) AS BIGINT) AS n_right
+        FROM both_sides GROUP BY ALL HAVING sum(l) <> sum(r)
+    """,
+    "catalog_databases": """
+        SELECT 'lakeloom_sales' AS database, 2 AS n_tables,
+               (SELECT count(*) FROM customer) + (SELECT count(*) FROM orders) AS n_rows
+        UNION ALL
+        SELECT 'lakeloom_goods', 2, (SELECT count(*) FROM part) + (SELECT count(*) FROM supplier)
+    """,
+    "discover_mixed_folder": """
+        SELECT p_partkey, p_name, CASE WHEN p_partkey % 3 <> 2 THEN CAST(p_size AS BIGINT) END AS p_size
+        FROM part
+    """,
+    "publish_clustered": """
+        SELECT o_orderkey, o_orderstatus, o_orderdate, o_totalprice FROM orders
+        WHERE o_orderdate >= '1997-01-01' AND o_orderdate < '1997-07-01'
+    """,
+    "dq_unique_by_hashes": _all(
+        _unique("lineitem", _LINES, "l_orderkey, l_linenumber"),
+        _unique("lineitem", _LINES, "l_orderkey, l_partkey"),
+        _unique("orders", "SELECT * FROM orders", "o_orderkey"),
+        _unique("orders", "SELECT * FROM orders", "o_custkey"),
+        _unique("part", "SELECT * FROM part", "p_name"),
+        _unique("documents", "SELECT * FROM documents", "text"),
+    ),
+    "incremental_ledger": "SELECT * FROM events",
     "job_contact_export": f"""
         SELECT *, '[en] ' || replace(companyname, 'e', 'E') AS companyname_en
         FROM ({_CONTACTS})

@@ -8,11 +8,11 @@ from functools import reduce, wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.catalog import create_database, database_exists, drop_table, list_tables
-from lakeloom.functions.json_maps import json_map_totals
+from lakeloom.catalog import create_database, database_exists, drop_table, list_databases, list_tables
+from lakeloom.functions.json_maps import json_map_exact_totals, json_map_totals
 from lakeloom.functions.money import cents_to_dollars as dollars
 from lakeloom.functions.udfs import string_udf
-from lakeloom.operators import quality
+from lakeloom.operators import compare, quality, reduced_joins
 from lakeloom.operators.columns import constant_column
 from lakeloom.operators.filters import (
     filter_equals,
@@ -25,13 +25,14 @@ from lakeloom.operators.translate import translate_column
 from lakeloom.plans import jobs, models
 from lakeloom.session import fit_shuffles
 from lakeloom.sinks.files import write_delimited, write_json, write_parquet, write_unquoted
-from lakeloom.sinks.tables import materialize_table, materialize_view, publish_table
+from lakeloom.sinks.tables import materialize_table, materialize_view, publish_table, publish_view
 from lakeloom.sources import files
 from lakeloom.sources.discovery import discover_table as discover
 from lakeloom.sources.discovery import read_mixed_headers
 from lakeloom.sources.named import TABLES, create_source_view, load, load_table
 from lakeloom.storage import folder_bytes, scratch_path, set_file_times
 from lakeloom.streaming.ingest import ingest_new_files, ingested
+from lakeloom.streaming.ledger import LedgerIngest
 
 # How the given tables play the models' roles: the status of a successful payment, the listed
 # payment methods (a third one stays unlisted), and the accepted order statuses.
@@ -60,7 +61,8 @@ def _stub_translator() -> Callable:
 def _scratch_database(spark: SparkSession) -> str:
     """A database for tables over given files; its own folder stays empty."""
     if not database_exists(spark, DATABASE):
-        create_database(spark, DATABASE, "Tables of query runs", scratch_path(spark, "database"))
+        # In the warehouse, not in a scratch folder, which may be released before the database is used again.
+        create_database(spark, DATABASE, "Tables of query runs")
     return DATABASE
 
 
@@ -101,8 +103,17 @@ def model_customer_orders(spark, base):
 
 
 def model_customer_orders_unique(spark, base):
-    """The same mart: it has one row per customer."""
-    return model_customer_orders(spark, base)
+    """One row per customer from a single aggregation."""
+    return models.customer_orders_single(
+        load(spark, base, "customers"), load(spark, base, "orders"), _paid(spark, base)
+    )
+
+
+def customer_orders_using(spark, base):
+    """Amounts attached by customer and date."""
+    return models.customer_orders_using(
+        load(spark, base, "customers"), load(spark, base, "orders"), _paid(spark, base)
+    )
 
 
 def payment_method_pivot(spark, base):
@@ -162,13 +173,11 @@ def json_map_total(spark, base):
 
 
 def json_map_total_double(spark, base):
-    """Values of events as JSON maps of doubles, rounded to what sums of doubles agree on."""
+    """Values of events as JSON maps of doubles; the sum is exact and rounded once."""
     events = load_table(spark, base, "events")
     document = F.to_json(F.create_map(F.col("event_type"), F.col("value")))
-    totals = json_map_totals(events.select(document.alias("document")), "document")
-    return totals.select(
-        F.round("total_order_value", 2).alias("total_order_value"), "valid_documents", "invalid_documents"
-    )
+    totals = json_map_exact_totals(events.select(document.alias("document")), "document")
+    return totals.select("total_order_value", "valid_documents", "invalid_documents")
 
 
 # Joins
@@ -182,6 +191,34 @@ def entity_history(spark, base):
     )
 
 
+def semi_join_reduced(spark, base):
+    """The documents labelled good; their texts are not shuffled."""
+    good = load_table(spark, base, "labels").filter("quality = 1")
+    return reduced_joins.semi_join(load_table(spark, base, "documents"), good, ["doc_id"])
+
+
+def anti_join_reduced(spark, base):
+    """The order lines of parts that no household customer has ordered, by part and supplier."""
+    lines, orders = load_table(spark, base, "lineitem"), load_table(spark, base, "orders")
+    chosen = load_table(spark, base, "customer").filter("c_mktsegment = 'HOUSEHOLD'")
+    theirs = reduced_joins.semi_join(orders, chosen, ["o_custkey"], ["c_custkey"])
+    ordered = reduced_joins.semi_join(lines, theirs, ["l_orderkey"], ["o_orderkey"])
+    return reduced_joins.anti_join(lines, ordered, ["l_partkey", "l_suppkey"]).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"
+    )
+
+
+def compare_versions(spark, base):
+    """Orders against a version with some rows changed, some left out and some twice."""
+    orders = load_table(spark, base, "orders")
+    key = F.col("o_orderkey")
+    status = F.when(key % 97 == 0, F.lit("X")).otherwise(F.col("o_orderstatus"))
+    times = F.when(key % 103 == 0, 2).when(key % 101 == 0, 0).otherwise(1)
+    other = orders.withColumn("o_orderstatus", status).withColumn("times", times)
+    other = other.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("times")))).drop("times", "copy")
+    return compare.differing_rows(orders, other.repartition("o_custkey"))
+
+
 # Sources, sinks, catalog
 
 
@@ -209,7 +246,7 @@ def nested_json_history(spark, base):
 def list_catalog(spark, base):
     """Register given tables in a database of their own, list it, and count each listed table."""
     database = "lakeloom_listed"
-    create_database(spark, database, location=scratch_path(spark, "listed"))
+    create_database(spark, database)
     for name in ("customer", "orders", "part", "supplier"):
         table = f"{database}.{name}"
         drop_table(spark, table)
@@ -226,6 +263,27 @@ def list_catalog(spark, base):
     return reduce(DataFrame.unionByName, counts)
 
 
+def catalog_databases(spark, base):
+    """Databases made for the query, found again in the list of databases, each with the rows of its tables."""
+    wanted = {"lakeloom_sales": ("customer", "orders"), "lakeloom_goods": ("part", "supplier")}
+    for database, names in wanted.items():
+        create_database(spark, database)
+        for name in names:
+            table = f"{database}.{name}"
+            drop_table(spark, table)
+            schema = load_table(spark, base, name).schema
+            spark.catalog.createTable(table, path=f"{base}/{name}.parquet", source="parquet", schema=schema)
+    found = [name for name in list_databases(spark) if name in wanted]
+    counts = [
+        spark.table(f"{database}.{table}").agg(F.lit(database).alias("database"), F.count(F.lit(1)).alias("n"))
+        for database in found
+        for table in list_tables(spark, database)
+    ]
+    return reduce(DataFrame.unionByName, counts).groupBy("database").agg(
+        F.count(F.lit(1)).alias("n_tables"), F.sum("n").alias("n_rows")
+    )
+
+
 def scan_catalog_table(spark, base):
     table = f"{_scratch_database(spark)}.orders_files"
     drop_table(spark, table)
@@ -255,10 +313,10 @@ def roundtrip_csv_pipe(spark, base):
 
 
 def roundtrip_csv_quoted(spark, base):
-    """Documents hold separators, quotes and line breaks, so files are bounded, not split."""
+    """Documents hold separators, quotes and line breaks, which are escaped so that files can be split."""
     path = scratch_path(spark, "documents-quoted")
-    write_delimited(load_table(spark, base, "documents"), path, max_records_per_file=20_000)
-    return files.read_delimited(spark, path, TABLES["documents"], sep="|", multiline=True)
+    write_delimited(load_table(spark, base, "documents"), path, breaks="escaped")
+    return files.read_delimited(spark, path, TABLES["documents"], sep="|", breaks="escaped")
 
 
 def roundtrip_parquet(spark, base):
@@ -281,8 +339,8 @@ def roundtrip_one_text_column(spark, base):
     odd = F.when(F.col("doc_id") % 5 == 1, F.lit("")).when(F.col("doc_id") % 5 == 2, F.lit("  "))
     text = F.when(F.col("doc_id") % 5 != 0, F.coalesce(odd, F.col("text")))
     path = scratch_path(spark, "texts")
-    write_delimited(documents.select(text.alias("text")), path, max_records_per_file=20_000)
-    return files.read_delimited(spark, path, "text string", sep="|", multiline=True)
+    write_delimited(documents.select(text.alias("text")), path, breaks="escaped")
+    return files.read_delimited(spark, path, "text string", sep="|", breaks="escaped")
 
 
 def select_columns_over_file(spark, base):
@@ -314,6 +372,16 @@ def discover_mixed_headers(spark, base):
     return read_mixed_headers(spark, paths, files.delimited_options(sep="|"))
 
 
+def discover_mixed_folder(spark, base):
+    """One folder of files with three headers: two orders of columns, and one without the size."""
+    parts = load_table(spark, base, "part")
+    path = scratch_path(spark, "part-csv")
+    headers = (["p_partkey", "p_name", "p_size"], ["p_size", "p_name", "p_partkey"], ["p_name", "p_partkey"])
+    for i, names in enumerate(headers):
+        write_delimited(parts.filter(F.col("p_partkey") % 3 == i).select(*names), path, mode="append")
+    return read_mixed_headers(spark, [path], files.delimited_options(sep="|"))
+
+
 def discover_table(spark, base):
     path = scratch_path(spark, "part-csv")
     write_delimited(load_table(spark, base, "part"), path)
@@ -343,6 +411,25 @@ def publish_partitioned(spark, base):
     return table.filter("o_orderstatus = 'F'")
 
 
+def publish_clustered(spark, base):
+    """A view that is replaced twice, the second time with other columns; rows lie in ranges of their date."""
+    orders = load_table(spark, base, "orders")
+    name, path = f"{_scratch_database(spark)}.orders_view", scratch_path(spark, "orders-view")
+    publish_view(orders.select("o_orderkey", "o_orderdate"), name, path, description="Orders by day.")
+    columns = ["o_orderkey", "o_orderstatus", "o_orderdate", "o_totalprice"]
+    view = publish_view(
+        orders.select(*columns),
+        name,
+        path,
+        description="Orders by status and day.",
+        properties={"class": "sales"},
+        column_comments={"o_totalprice": "Price with tax"},
+        partition_by=["o_orderstatus"],
+        cluster_by=["o_orderdate"],
+    )
+    return view.filter("o_orderdate >= '1997-01-01' AND o_orderdate < '1997-07-01'")
+
+
 def materialize_model(spark, base):
     return materialize_table(
         payment_method_pivot(spark, base),
@@ -375,6 +462,20 @@ def dq_unique(spark, base):
     )
 
 
+def dq_unique_by_hashes(spark, base):
+    """Keys tested by hashes in two passes: some unique, some repeated here and there, one repeated throughout."""
+    lines, parts = load_table(spark, base, "lineitem"), load_table(spark, base, "part")
+    orders, documents = load_table(spark, base, "orders"), load_table(spark, base, "documents")
+    return quality.report(
+        quality.unique_by_hashes(lines, "lineitem", ["l_orderkey", "l_linenumber"]),
+        quality.unique_by_hashes(lines, "lineitem", ["l_orderkey", "l_partkey"]),
+        quality.unique_by_hashes(orders, "orders", "o_orderkey"),
+        quality.unique_by_hashes(orders, "orders", "o_custkey"),
+        quality.unique_by_hashes(parts, "part", "p_name"),
+        quality.unique_by_hashes(documents, "documents", "text"),
+    )
+
+
 def dq_not_null(spark, base):
     m = _models(spark, base)
     return quality.report(
@@ -468,7 +569,7 @@ def _snapshot_runs(spark, base, *cuts):
     """A history after one run per date over the changes before it, and one over all of them."""
     changes = load(spark, base, "status_changes")
     history = SnapshotTable(
-        spark, scratch_path(spark, "history"), ["id"], "updated_at", changes.schema
+        spark, scratch_path(spark, "history"), ["id"], "updated_at", changes.schema, buckets=8
     )
     for cut in cuts:
         history.apply(changes.filter(F.col("updated_at") < F.lit(cut).cast("timestamp_ntz")))
@@ -501,6 +602,21 @@ def incremental_ingest(spark, base):
     return ingested(spark, target, TABLES["events"])
 
 
+def incremental_ledger(spark, base):
+    """As :func:`incremental_ingest`, with a table of files taken; the second of four runs finds nothing new."""
+    root = scratch_path(spark, "ledger")
+    ingest = LedgerIngest(spark, f"{root}/landing", f"{root}/target", f"{root}/ledger", TABLES["events"], max_files_per_batch=2)
+    events = load_table(spark, base, "events")
+    cut = F.expr("ts < timestamp_ntz '2024-01-16 00:00:00'")
+    write_json(events.filter(cut), f"{root}/landing/day=1")
+    ingest.run()
+    ingest.run()
+    write_json(events.filter(~cut), f"{root}/landing/day=2")
+    ingest.run()
+    ingest.run()
+    return ingest.rows()
+
+
 # Whole jobs
 
 
@@ -573,5 +689,14 @@ QUERIES: dict[str, Query] = {
     "incremental_ingest": incremental_ingest,
     "job_entity_history": job_entity_history,
     "job_contact_export": job_contact_export,
+    "customer_orders_using": customer_orders_using,
+    "semi_join_reduced": semi_join_reduced,
+    "anti_join_reduced": anti_join_reduced,
+    "compare_versions": compare_versions,
+    "catalog_databases": catalog_databases,
+    "discover_mixed_folder": discover_mixed_folder,
+    "publish_clustered": publish_clustered,
+    "dq_unique_by_hashes": dq_unique_by_hashes,
+    "incremental_ledger": incremental_ledger,
 }
 QUERIES = {name: _sized(query) for name, query in QUERIES.items()}

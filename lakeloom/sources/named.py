@@ -29,6 +29,7 @@ TABLES = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,"
     " value double, props string",
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
 }
 
 
