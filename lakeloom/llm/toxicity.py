@@ -34,6 +34,10 @@ class FtrlSettings:
     max_rows: int = 40_000
 
 
+#: Places of a state in one row, and rows of a shard that stand in order of their ids.
+PIECE = 1 << 16
+BLOCK_ROWS = 2048
+
 #: Fixed odd multipliers, one per kind of feature.
 UNIGRAM, BIGRAM, TRIGRAM, SKIP = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93
 
@@ -93,26 +97,51 @@ def unpacked(value: bytes) -> np.ndarray:
 
 
 def _shard_pass(state, number: int, settings: FtrlSettings) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """One round over shards: each starts from the common state and gives its own back, at single precision."""
+    """One round over rows (shard, label, features) that stand shard by shard.
+
+    Each shard starts from the common state, which then goes on from batch to batch, so a task holds one state
+    and the rows at hand. Rows of a batch are taken in an order of the round's own. A shard gives its state
+    back at single precision, in pieces.
+    """
     size = 1 << settings.bits
 
+    def pieces(z: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, size + 1, PIECE):
+            columns = [pa.array([values[at : at + PIECE].astype(np.float32).tobytes()], pa.binary()) for values in (z, n)]
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), *columns], ["at", "z", "n"])
+
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        present, z, n = None, np.zeros(0), np.zeros(0)
         for batch in batches:
-            for given, texts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                z, n = (values.astype(np.float64) for values in state.value)
-                order = np.random.default_rng(number).permutation(len(given))
-                one_pass(((np.append(unpacked(texts[i]), size), float(given[i])) for i in order), z, n, settings)
-                columns = [pa.array([values.astype(np.float32).tobytes()], pa.binary()) for values in (z, n)]
-                yield pa.RecordBatch.from_arrays(columns, ["z", "n"])
+            shards = batch.column(0).to_numpy()
+            for shard in dict.fromkeys(shards.tolist()):
+                if shard != present:
+                    if present is not None:
+                        yield from pieces(z, n)
+                    present, (z, n) = shard, (values.astype(np.float64) for values in state.value)
+                places = np.random.default_rng(number).permutation(np.flatnonzero(shards == shard))
+                labels, texts = batch.column(1), batch.column(2)
+                rows = ((np.append(unpacked(texts[i].as_py()), size), float(labels[i].as_py())) for i in places.tolist())
+                one_pass(rows, z, n, settings)
+        if present is not None:
+            yield from pieces(z, n)
 
     return fit
 
 
-def _shard_row(part: pa.Table) -> pa.Table:
-    """The texts of a shard as one row, in an order that does not depend on how they arrived."""
-    part = part.sort_by([(name, "ascending") for name in ("doc_id", "label", "features")])
-    columns = {"labels": [part["label"].to_pylist()], "texts": [part["features"].to_pylist()]}
-    return pa.table(columns, pa.schema([("labels", pa.list_(pa.int32())), ("texts", pa.list_(pa.binary()))]))
+def average(states: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The mean of the shards' states, from their pieces."""
+    totals = np.zeros((2, size + 1))
+    count = 0
+    for batch in states.to_batches():
+        for at, z, n in zip(*(batch.column(name) for name in ("at", "z", "n")), strict=True):
+            at = at.as_py()
+            count += at == 0
+            for total, value in zip(totals, (z, n), strict=True):
+                values = np.frombuffer(value.as_buffer(), np.float32)
+                total[at : at + len(values)] += values
+    z, n = (totals / max(1, count)).astype(np.float32)
+    return z, n
 
 
 def training_sample(labels: DataFrame, max_rows: int) -> DataFrame:
@@ -145,21 +174,27 @@ def train(
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "features"])
 
     extracted = rows.mapInArrow(extract, "doc_id long, label int, features binary")
-    sharded = extracted.groupBy(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(settings.shards)).alias("shard"))
-    # A shard is a row, of max_rows / shards texts or so; a round then moves nothing but states.
-    sample = materialize(sharded.applyInArrow(_shard_row, "labels array<int>, texts array<binary>"), "ftrl-shards")
+    shard = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(settings.shards)).cast("int").alias("shard")
+    # Written shard by shard, in an order that does not depend on how the texts arrived: blocks by hash of about as many
+    # rows as a batch, so that neighbouring ids are spread over a round. A round then streams the rows and moves nothing
+    # but states. A shard that fills several row groups is trained in parts.
+    blocks = max(1, round(picked.count() / settings.shards / BLOCK_ROWS))
+    block = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(blocks)).alias("block")
+    ordered = (
+        extracted.select(shard, "label", "features", block, "doc_id")
+        .repartition(settings.shards, "shard")
+        .sortWithinPartitions("shard", "block", "doc_id", "label", "features")
+    )
+    sample = materialize(ordered.select("shard", "label", "features"), "ftrl-shards")
     z, n = np.zeros(size + 1, np.float32), np.zeros(size + 1, np.float32)
     for number in range(settings.rounds):
         state = docs.sparkSession.sparkContext.broadcast((z, n))
         # One state of 2**bits places per shard, however many the documents.
-        states = sample.mapInArrow(_shard_pass(state, number, settings), "z binary, n binary").toArrow()
+        states = sample.mapInArrow(_shard_pass(state, number, settings), "at long, z binary, n binary").toArrow()
         state.unpersist()
         if not states.num_rows:
             break
-        z, n = (
-            sum(np.frombuffer(value.as_buffer(), np.float32) for value in states[name]) / np.float32(states.num_rows)
-            for name in ("z", "n")
-        )
+        z, n = average(states, size)
     z, n = z.astype(np.float64), n.astype(np.float64)
     weights = weights_of(z, n, settings)
     weights[-1] = -z[-1] / ((settings.beta + np.sqrt(n[-1])) / settings.alpha + settings.l2)
