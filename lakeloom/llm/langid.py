@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import text_slices
+from lakeloom.llm.common import materialize, text_slices
 
 UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
@@ -30,39 +30,12 @@ WORDS_KEPT = 150_000
 SETTLED = 400
 
 
-class KneserNey:
-    """Probabilities of one language's grams, and the back-off weight of each context.
-
-    The highest order uses counts; the others use the number of different characters seen before a
-    gram, or its count where it starts at a word's boundary. One discount per order, n1 / (n1 + 2 n2).
-    """
-
-    def __init__(self, levels: list[dict[str, int]], alphabet: int):
-        self.uniform = 1.0 / alphabet
-        self.probs: dict[str, float] = {}
-        self.weights: dict[str, float] = {}
-        for k, level in enumerate(levels):
-            if k + 1 < len(levels):
-                before = Counter(gram[1:] for gram in levels[k + 1])
-                level = {gram: before[gram] or n for gram, n in level.items()}
-            spread = Counter(level.values())
-            discount = spread[1] / (spread[1] + 2 * spread[2]) if spread[1] and spread[2] else 0.5
-            total: Counter = Counter()
-            kinds: Counter = Counter()
-            for gram, n in level.items():
-                total[gram[:-1]] += n
-                kinds[gram[:-1]] += 1
-            self.weights |= {context: discount * kinds[context] / total[context] for context in total}
-            self.probs |= {
-                gram: (n - discount) / total[gram[:-1]] + self.weights[gram[:-1]] * self.prob(gram[1:])
-                for gram, n in level.items()
-            }
-
-    def prob(self, gram: str) -> float:
-        if not gram:
-            return self.uniform
-        known = self.probs.get(gram)
-        return self.weights.get(gram[:-1], 1.0) * self.prob(gram[1:]) if known is None else known
+def words_of(text: str | None) -> list[str]:
+    """Runs of letters in lower case; digits, fractions, raised and Roman numerals are no letters."""
+    words = WORD.findall((text or "").lower())
+    if all(map(str.isalpha, words)):
+        return words
+    return [part for word in words for part in "".join(c if c.isalpha() else " " for c in word).split()]
 
 
 def rolled(codes: np.ndarray, order: int) -> list[np.ndarray]:
@@ -98,6 +71,12 @@ class LanguageModel:
     centre: np.ndarray | None = None
     limit: np.ndarray | None = None
 
+    def arrays(self) -> tuple:
+        """The parts of the model, which executors without this package can load."""
+        return (
+            self.languages, self.hashes, self.log_probs, self.log_weights, self.floor, self.scale, self.centre, self.limit
+        )
+
     def find(self, k: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.minimum(np.searchsorted(self.hashes[k], wanted), len(self.hashes[k]) - 1)
         return at, self.hashes[k][at] == wanted
@@ -149,7 +128,7 @@ class Scorer:
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(cross-entropy per character and language, characters) of each text."""
-        found = [WORD.findall((text or "").lower()) for text in texts]
+        found = [words_of(text) for text in texts]
         flat = [word for words in found for word in words]
         if len(self.known) > WORDS_KEPT:
             self.__init__(self.model)
@@ -171,7 +150,7 @@ def count_grams(docs: DataFrame, order: int) -> DataFrame:
         for batch in batches:
             words: dict[str, Counter] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words.setdefault(lang, Counter()).update(WORD.findall((text or "").lower()))
+                words.setdefault(lang, Counter()).update(words_of(text))
             for lang, counted in words.items():
                 grams: Counter = Counter()
                 for word, times in counted.items():
@@ -186,22 +165,114 @@ def count_grams(docs: DataFrame, order: int) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def estimate(grams: pa.Table, order: int) -> LanguageModel:
-    """Models of the counts (lang, gram, n), joined into one table per order."""
-    levels: dict[str, list[dict[str, int]]] = {}
-    for lang, gram, n in zip(*(grams[name].to_pylist() for name in ("lang", "gram", "n")), strict=True):
-        levels.setdefault(lang, [{} for _ in range(order)])[len(gram) - 1][gram] = n
-    alphabet = len({gram for each in levels.values() for gram in each[0]}) + 1
-    model = LanguageModel(sorted(levels))
-    parts = [KneserNey(levels[lang], alphabet) for lang in model.languages]
-    for k in range(order if parts else 0):
-        names = sorted({gram for each in levels.values() for gram in each[k]})
-        hashes = np.array([rolled(code_points(gram), k + 1)[k][-1] for gram in names], np.uint64)
-        at = np.argsort(hashes)
-        model.hashes.append(hashes[at])
-        model.log_probs.append(np.log([[part.prob(names[i]) for part in parts] for i in at]))
-        model.log_weights.append(np.log([[part.weights.get(names[i], 1.0) for part in parts] for i in at]))
-    model.floor = np.log([part.weights[""] * part.uniform for part in parts]) if parts else np.zeros(0)
+def smoothed(counts: DataFrame, languages: list[str], order: int) -> tuple[DataFrame, DataFrame]:
+    """What Kneser-Ney smoothing takes from the counts (lang, gram, n).
+
+    Gives (k, lang, gram, own), the discounted share of each gram of k characters in its context, and (k, lang, gram,
+    weight), the back-off weight of each context. The highest order uses counts; the others the number of different
+    characters seen before a gram, or its count where it starts at a word's boundary. One discount per language and order,
+    n1 / (n1 + 2 n2).
+    """
+    names = F.array(*map(F.lit, languages))
+    sized = counts.select((F.array_position(names, F.col("lang")) - 1).cast("int").alias("lang"), "gram", F.length("gram").alias("k"), "n")
+    before = sized.where("k > 1").groupBy("lang", F.col("gram").substr(F.lit(2), F.col("k")).alias("gram")).agg(F.count("*").alias("before"))
+    levels = sized.join(before, ["lang", "gram"], "left").select(
+        "lang", "gram", "k", F.when(F.col("k") < order, F.coalesce("before", "n")).otherwise(F.col("n")).alias("n")
+    )
+    levels = materialize(levels, "langid-levels")
+    spread = levels.groupBy("lang", "k").agg(F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2"))
+    discount = F.when((F.col("n1") > 0) & (F.col("n2") > 0), F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(0.5)
+    # One row per language and order.
+    levels = levels.join(spread.select("lang", "k", discount.alias("discount")), ["lang", "k"])
+    context = F.col("gram").substr(F.lit(1), F.col("k") - 1)
+    contexts = levels.groupBy("lang", "k", context.alias("context")).agg(
+        F.sum("n").alias("total"), F.count("*").alias("kinds"), F.first("discount").alias("discount")
+    )
+    joined = levels.withColumn("context", context).join(contexts.drop("kinds", "discount"), ["lang", "k", "context"])
+    own = joined.select("k", "lang", "gram", ((F.col("n") - F.col("discount")) / F.col("total")).alias("own"))
+    weights = contexts.select(
+        (F.col("k") - 1).alias("k"), "lang", F.col("context").alias("gram"), (F.col("discount") * F.col("kinds") / F.col("total")).alias("weight")
+    )
+    return own, weights
+
+
+def gram_hashes(grams: list[str], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of grams of k characters, of each without its first, and of each without its last character."""
+    codes = code_points("".join(grams)).reshape(len(grams), k)
+
+    def hashed(part: np.ndarray) -> np.ndarray:
+        value = np.zeros(len(part), np.uint64)
+        for place in range(part.shape[1] - 1, -1, -1):
+            value = value * MULTIPLIER + part[:, place] + np.uint64(1)
+        return (value ^ (value >> np.uint64(31))) * MULTIPLIER
+
+    return hashed(codes), hashed(codes[:, 1:]), hashed(codes[:, :-1])
+
+
+def hashed_grams(rows: DataFrame, value: str) -> DataFrame:
+    """Rows (k, lang, gram, value) with hashes in place of the grams: numbers only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column(0).to_numpy()
+            hashes = np.zeros((3, len(sizes)), np.uint64)
+            for k in np.unique(sizes).tolist():
+                at = np.flatnonzero(sizes == k)
+                hashes[:, at] = gram_hashes(batch.column(2).take(pa.array(at)).to_pylist(), k)
+            columns = [pa.array(column.view(np.int64)) for column in hashes]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns, batch.column(3)], ["k", "lang", "hash", "rest", "context", value])
+
+    return rows.mapInArrow(run, f"k int, lang int, hash long, rest long, context long, {value} double")
+
+
+def estimate(counts: DataFrame, languages: list[str], order: int, max_bytes: int) -> LanguageModel:
+    """Models of the counts (lang, gram, n), joined into one table per order.
+
+    Spark counts, smooths and hashes; the driver receives arrays of numbers, after a check of what they and the tables
+    made of them take, and adds up the orders: a gram's probability is its own share plus its context's
+    weight times the probability of the gram without its first character.
+    """
+    model = LanguageModel(languages)
+    if not languages:
+        model.floor = np.zeros(0)
+        return model
+    own, weights = smoothed(materialize(counts, "langid-counts"), languages, order)
+    own, weights = (materialize(hashed_grams(rows, name), f"langid-{name}") for rows, name in ((own, "own"), (weights, "weight")))
+    sizes = own.agg(F.count("*").alias("rows"), F.count_distinct("k", "hash").alias("grams")).first()
+    needed = 100 * sizes["rows"] + 16 * sizes["grams"] * len(languages)
+    if not sizes["rows"]:
+        return LanguageModel([], floor=np.zeros(0))
+    if needed > max_bytes:
+        raise ValueError(f"the language models take {needed} bytes, over max_bytes={max_bytes}: raise it or learn from fewer rows")
+    own, weights = ({name: column.to_numpy() for name, column in zip(table.column_names, table.columns, strict=True)} for table in (own.toArrow(), weights.toArrow()))
+    alphabet = len(np.unique(own["hash"][own["k"] == 1])) + 1
+    n = len(languages)
+    empty = weights["k"] == 0
+    first = np.ones(n)
+    first[weights["lang"][empty]] = weights["weight"][empty]
+    model.floor = np.log(first / alphabet)
+    probs = np.full((1, n), 1.0 / alphabet)
+    known = np.zeros(1, np.uint64)
+    back = first[None, :]
+    for k in range(1, order + 1):
+        rows = own["k"] == k
+        hashes, at, which = np.unique(own["hash"][rows].view(np.uint64), return_index=True, return_inverse=True)
+        shares = np.zeros((len(hashes), n))
+        shares[which, own["lang"][rows]] = own["own"][rows]
+        if k == 1:
+            probs = shares + back * probs
+        else:
+            rest = np.searchsorted(known, own["rest"][rows].view(np.uint64)[at])
+            context = np.searchsorted(known, own["context"][rows].view(np.uint64)[at])
+            probs = shares + back[context] * probs[rest]
+        known = hashes
+        back = np.ones((len(hashes), n))
+        mine = weights["k"] == k
+        place = np.searchsorted(known, weights["hash"][mine].view(np.uint64))
+        back[place, weights["lang"][mine]] = weights["weight"][mine]
+        model.hashes.append(hashes)
+        model.log_probs.append(np.log(probs))
+        model.log_weights.append(np.log(back))
     return model
 
 
@@ -239,6 +310,7 @@ def train(
     order: int = 5,
     max_rows_per_language: int = 1500,
     max_languages: int = 400,
+    max_bytes: int = 512 << 20,
     id_column: str = "doc_id",
     text_column: str = "text",
     lang_column: str = "lang",
@@ -246,8 +318,9 @@ def train(
     """Fit and calibrate on the rows of ``docs`` with a language and a letter in the text.
 
     About ``max_rows_per_language`` rows of each language are read, chosen by a hash of the id: all if there
-    are fewer. A fifth of them calibrates. More than ``max_languages`` languages are an error. Without any
-    row the model knows no language and every text is undetermined.
+    are fewer. A fifth of them calibrates. More than ``max_languages`` languages, or models of more than ``max_bytes``
+    together, are an error that names the parameter. Without any row the model knows no language and every text
+    is undetermined.
     """
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang")
@@ -256,12 +329,14 @@ def train(
     if len(sizes) > max_languages:
         raise ValueError(f"more than max_languages={max_languages} languages")
     if not sizes:
-        return estimate(pa.table({"lang": [], "gram": [], "n": []}), order)
+        return estimate(rows, [], order, max_bytes)
     share = F.create_map(*(F.lit(x) for row in sizes for x in (row["lang"], max_rows_per_language / row["count"])))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(1 << 30)
     rows = rows.where((place < share[F.col("lang")]) & F.col("text").rlike(r"\p{L}"))
     part = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(5))
-    model = estimate(count_grams(rows.where(part != 0), order).toArrow(), order)
+    learned = rows.where(part != 0)
+    languages = sorted(row["lang"] for row in learned.select("lang").distinct().collect())
+    model = estimate(count_grams(learned, order), languages, order, max_bytes)
     if not model.languages:
         return model
     held = entropies(rows.where((part == 0) & F.col("lang").isin(model.languages)), model).toArrow()
@@ -273,10 +348,10 @@ def train(
 
 def entropies(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """(lang, entropy array<double>, chars) of (lang, text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.arrays())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer(LanguageModel(*shared.value))
         for batch in batches:
             entropy, chars = scorer(batch.column(1).to_pylist())
             arrays = [batch.column(0), pa.array(entropy.tolist(), pa.list_(pa.float64())), pa.array(chars)]
@@ -292,10 +367,10 @@ def identify_udf(spark: SparkSession, model: LanguageModel) -> Callable[[Column]
     ones; ``und`` with score 0 where the text is null, has no letter, or no language was learned. ``rejected``
     is true for ``und`` and for texts beyond the calibrated limit of their language.
     """
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(model.arrays())
 
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = shared.value
+        model = LanguageModel(*shared.value)
         scorer = Scorer(model)
         for part in parts:
             names, scores, rejected = [], [], []
