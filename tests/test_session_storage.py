@@ -74,3 +74,22 @@ def test_scratch_can_be_released(spark):
     assert storage.glob_paths(spark, path)
     storage.release_scratch(spark)
     assert not storage.glob_paths(spark, path)
+
+
+def test_a_step_releases_its_own_scratch_only(spark):
+    paths = [storage.scratch_path(spark, label) for label in ("before", "kept-x", "gone")]
+    since = storage.scratch_mark() - 2
+    for path in paths:
+        spark.range(1).write.parquet(path)
+    storage.release_scratch(spark, since, keep=(f"{storage.scratch_root(spark)}/lakeloom/kept-",))
+    assert [storage.path_exists(spark, path) for path in paths] == [True, True, False]
+    storage.release_scratch(spark, since)
+    assert [storage.path_exists(spark, path) for path in paths] == [True, False, False]
+
+
+def test_short_files(spark, tmp_path):
+    path = str(tmp_path / "note")
+    assert storage.read_text_file(spark, path) == ""
+    for text in ("é\nb", ""):
+        storage.write_text_file(spark, path, text)
+        assert storage.read_text_file(spark, path) == text
