@@ -569,7 +569,7 @@ def _snapshot_runs(spark, base, *cuts):
     """A history after one run per date over the changes before it, and one over all of them."""
     changes = load(spark, base, "status_changes")
     history = SnapshotTable(
-        spark, scratch_path(spark, "history"), ["id"], "updated_at", changes.schema, buckets=8
+        spark, scratch_path(spark, "history"), ["id"], "updated_at", changes.schema, buckets=4
     )
     for cut in cuts:
         history.apply(changes.filter(F.col("updated_at") < F.lit(cut).cast("timestamp_ntz")))
