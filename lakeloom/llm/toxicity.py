@@ -105,10 +105,10 @@ def _shard_pass(state, number: int, settings: FtrlSettings) -> Callable[[Iterato
     """
     size = 1 << settings.bits
 
-    def pieces(z: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def pieces(shard: int, z: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         for at in range(0, size + 1, PIECE):
             columns = [pa.array([values[at : at + PIECE].astype(np.float32).tobytes()], pa.binary()) for values in (z, n)]
-            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), *columns], ["at", "z", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([shard], pa.int32()), *columns], ["at", "shard", "z", "n"])
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         present, z, n = None, np.zeros(0), np.zeros(0)
@@ -117,31 +117,24 @@ def _shard_pass(state, number: int, settings: FtrlSettings) -> Callable[[Iterato
             for shard in dict.fromkeys(shards.tolist()):
                 if shard != present:
                     if present is not None:
-                        yield from pieces(z, n)
+                        yield from pieces(present, z, n)
                     present, (z, n) = shard, (values.astype(np.float64) for values in state.value)
                 places = np.random.default_rng(number).permutation(np.flatnonzero(shards == shard))
                 labels, texts = batch.column(1), batch.column(2)
                 rows = ((np.append(unpacked(texts[i].as_py()), size), float(labels[i].as_py())) for i in places.tolist())
                 one_pass(rows, z, n, settings)
         if present is not None:
-            yield from pieces(z, n)
+            yield from pieces(present, z, n)
 
     return fit
 
 
-def average(states: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The mean of the shards' states, from their pieces."""
-    totals = np.zeros((2, size + 1))
-    count = 0
-    for batch in states.to_batches():
-        for at, z, n in zip(*(batch.column(name) for name in ("at", "z", "n")), strict=True):
-            at = at.as_py()
-            count += at == 0
-            for total, value in zip(totals, (z, n), strict=True):
-                values = np.frombuffer(value.as_buffer(), np.float32)
-                total[at : at + len(values)] += values
-    z, n = (totals / max(1, count)).astype(np.float32)
-    return z, n
+def _mean_piece(part: pa.Table) -> pa.Table:
+    """The mean of the shards' states in one piece, added up in order of the shards."""
+    part = part.sort_by([(name, "ascending") for name in ("shard", "z")])
+    sums = {name: sum(np.frombuffer(value.as_buffer(), np.float32).astype(np.float64) for value in part[name]) for name in ("z", "n")}
+    means = {name: pa.array([(total / part.num_rows).astype(np.float32).tobytes()], pa.binary()) for name, total in sums.items()}
+    return pa.table({"at": part["at"][:1], **means})
 
 
 def training_sample(labels: DataFrame, max_rows: int) -> DataFrame:
@@ -182,19 +175,21 @@ def train(
     block = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(blocks)).alias("block")
     ordered = (
         extracted.select(shard, "label", "features", block, "doc_id")
-        .repartition(settings.shards, "shard")
+        .repartitionById(settings.shards, F.col("shard"))
         .sortWithinPartitions("shard", "block", "doc_id", "label", "features")
     )
     sample = materialize(ordered.select("shard", "label", "features"), "ftrl-shards")
     z, n = np.zeros(size + 1, np.float32), np.zeros(size + 1, np.float32)
     for number in range(settings.rounds):
         state = docs.sparkSession.sparkContext.broadcast((z, n))
-        # One state of 2**bits places per shard, however many the documents.
-        states = sample.mapInArrow(_shard_pass(state, number, settings), "at long, z binary, n binary").toArrow()
+        # Shards' states are averaged piece by piece; one of 2**bits places comes to the driver, whatever the documents.
+        states = sample.mapInArrow(_shard_pass(state, number, settings), "at long, shard int, z binary, n binary")
+        mean = states.groupBy("at").applyInArrow(_mean_piece, "at long, z binary, n binary").toArrow()
         state.unpersist()
-        if not states.num_rows:
+        if not mean.num_rows:
             break
-        z, n = average(states, size)
+        mean = mean.sort_by("at")
+        z, n = (np.concatenate([np.frombuffer(value.as_buffer(), np.float32) for value in mean[name]]) for name in ("z", "n"))
     z, n = z.astype(np.float64), n.astype(np.float64)
     weights = weights_of(z, n, settings)
     weights[-1] = -z[-1] / ((settings.beta + np.sqrt(n[-1])) / settings.alpha + settings.l2)
