@@ -1,6 +1,8 @@
 import hashlib
+import random
 import re
 
+import numpy as np
 import pytest
 
 from lakeloom.llm import decontaminate
@@ -72,3 +74,38 @@ def test_a_benchmark_beyond_the_bound_is_an_error(spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     with pytest.raises(ValueError, match="max_bytes"):
         decontaminate.contamination_udf(items, max_bytes=10)
+
+
+@pytest.mark.parametrize("settings", [{"max_bytes": 1}, {"max_bytes": 40, "max_nodes": 30}, {"max_bytes": 1000, "max_nodes": 1}])
+def test_a_large_benchmark_is_taken_in_parts(spark, settings):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string, n_words string")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    whole = decontaminate.contamination(docs, items).collect()
+    found = decontaminate.contamination(docs, items, **settings).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(map(tuple, whole), key=str)
+    clean = decontaminate.clean(docs, items, max_bytes=settings["max_bytes"]).collect()
+    assert sorted(map(tuple, clean), key=str) == sorted(map(tuple, decontaminate.clean(docs, items).collect()), key=str)
+    assert len(clean) == sum(not row.contaminated for row in whole) < len(DOCS)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_the_automaton_finds_what_plain_code_finds(monkeypatch, seed):
+    rnd = random.Random(seed)
+    for _ in range(60):
+        names = [f"w{i}" for i in range(rnd.choice([2, 4, 30]))]
+        items = [(i, " ".join(rnd.choices(names, k=rnd.choice([0, 1, 2, 3, 5, 8, 20])))) for i in range(rnd.randint(0, 6))]
+        size = rnd.choice([1, 2, 3, 5, 13])
+        automaton = decontaminate.build([pair for i, text in items for pair in decontaminate.windows_of(str(i), text.encode(), size)])
+        monkeypatch.setattr(decontaminate, "LANE", rnd.choice([1, 3, 256]))
+        texts = [" ".join(rnd.choices([*names, "other"], k=rnd.randint(0, 60))) for _ in range(5)]
+        for text, (n, stretches, found) in zip(texts, automaton.find([text.encode() for text in texts]), strict=True):
+            row = decontaminate.judged(n, stretches, [automaton.names[i] for i in found.tolist()], [], 20)
+            assert tuple(row[k] for k in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")) == plain(text, items, size)
+
+
+def test_an_automaton_takes_under_60_bytes_for_each_of_its_benchmark():
+    words = np.random.default_rng(1).integers(0, 20_000, 60_000)
+    text = b" ".join(b"word%d" % word for word in words)
+    automaton = decontaminate.build(list(decontaminate.windows_of("a", text, 13)))
+    arrays = (automaton.edges, automaton.fail, automaton.depth, automaton.out, automaton.first, automaton.items)
+    assert sum(array.nbytes for array in arrays) + 150 * len(automaton.words) < 60 * len(text)
