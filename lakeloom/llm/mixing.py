@@ -39,13 +39,13 @@ def source_key(source: Column) -> Column:
 
 
 def source_targets(sized: DataFrame, settings: MixSettings) -> DataFrame:
-    """(key, source_size, target) of each source, from (key, size).
+    """(key, source_size, target) of each source, from (key, size, copies).
 
     Targets are the water level: weight times one common factor, or the source's cap where that is less. With
     sources sorted by cap per weight, the factor is the first that stays below the next cap, so one
     pass over one row per source replaces the rounds of sharing out what is left.
     """
-    sizes = sized.groupBy("key").agg(F.sum("size").alias("source_size"))
+    sizes = sized.groupBy("key").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"))
     weight = F.element_at(F.array(*(F.lit(w) for w in settings.weights)), F.pmod(F.col("place") - 1, F.lit(len(settings.weights))) + 1)
     by_name = Window.orderBy("key")
     ranked = sizes.withColumn("place", F.row_number().over(by_name)).withColumn("weight", weight.cast("long"))
@@ -107,24 +107,27 @@ def slots(targets: DataFrame, settings: MixSettings) -> DataFrame:
 def positions(sized: DataFrame, targets: DataFrame, settings: MixSettings) -> DataFrame:
     """Each document's place in the shuffled stream of its source.
 
-    The order is by md5 of the id, then id and size. Sums run within stretches of digests and over the sums
-    of the stretches, so no source is one task.
+    The order is by md5 of the whole row, then id and size. Sums run within stretches of digests and over the sums
+    of the stretches, so no source is one task; rows that are equal in all of it are one row with its number of ``copies``, which
+    follow each other in the stream.
     """
     by_bucket = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sized.groupBy("key", "bucket")
-        .agg(F.sum("size").alias("held"))
+        .agg(F.sum(F.col("size") * F.col("copies")).alias("held"))
         .select("key", "bucket", F.coalesce(F.sum("held").over(by_bucket), F.lit(0)).alias("offset"))
     )
     order = Window.partitionBy("key", "bucket").orderBy("digest", "doc_id", "size")
-    before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    held = F.sum(F.col("size") * F.col("copies"))
+    before = F.coalesce(held.over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return (
         sized.withColumn("before", before)
         .withColumn("row", F.row_number().over(order))
         .join(offsets, ["key", "bucket"])
-        .withColumn("start", F.col("offset") + F.col("before"))
+        .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+        .withColumn("start", F.col("offset") + F.col("before") + F.col("copy") * F.col("size"))
         .join(targets.select("key", "source_size", "target", "take", "block_size"), "key")
-        .drop("digest", "offset", "before")
+        .drop("digest", "offset", "before", "copies")
     )
 
 
@@ -138,22 +141,24 @@ def schedule(
     """The mix as pieces of documents: (slot, doc_id, first_word, words, ...), slots in mix order.
 
     Every document has a row at least; one that the mix does not take, such as a text without words, has
-    a row with null ``slot`` and 0 ``words``. ``(key, bucket, row)`` tells rows of the input apart, also
+    a row with null ``slot`` and 0 ``words``. ``(key, bucket, row, copy)`` tells rows of the input apart, also
     repeated ones. A null text has no words, null sources are one source, sources of no words get target 0. Reruns
     give the same rows, in whatever order the input comes.
     """
     digits = len(f"{settings.buckets - 1:x}")
-    digest = F.md5(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary"))
-    sized = materialize(
-        docs.select(
-            F.col(id_column).cast("long").alias("doc_id"),
-            source_key(F.col(source_column)).alias("key"),
-            digest.alias("digest"),
-            F.substring(digest, 1, digits).alias("bucket"),
-            F.coalesce(F.regexp_count(F.col(text_column), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        ),
-        "mix-sizes",
+    size = F.coalesce(F.regexp_count(F.col(text_column), F.lit(WORD)), F.lit(0)).cast("long")
+    # Of the text as well as the id, so that rows of one id, or of none, are spread.
+    text = F.md5(F.coalesce(F.col(text_column), F.lit("")).cast("binary"))
+    parts = F.concat_ws("|", F.coalesce(F.col(id_column).cast("string"), F.lit("")), text)
+    rows = docs.select(
+        F.col(id_column).cast("long").alias("doc_id"),
+        source_key(F.col(source_column)).alias("key"),
+        F.md5(parts.cast("binary")).alias("digest"),
+        size.alias("size"),
     )
+    # Equal rows are counted in each task before any are shuffled.
+    sized = rows.groupBy("key", "digest", "doc_id", "size").agg(F.count(F.lit(1)).alias("copies"))
+    sized = materialize(sized.withColumn("bucket", F.substring("digest", 1, digits)), "mix-sizes")
     total = F.sum("target").over(Window.partitionBy())
     block = F.greatest(F.ceil(total / F.lit(1 << settings.slot_bits)), F.lit(1))
     targets = (
@@ -189,13 +194,14 @@ def schedule(
         "key",
         "bucket",
         "row",
+        "copy",
     )
 
 
 def taken(pieces: DataFrame) -> DataFrame:
     """(doc_id, size, source_size, target, taken): one row per document row of a schedule."""
     return (
-        pieces.groupBy("key", "bucket", "row", "doc_id", "size", "source_size", "target")
+        pieces.groupBy("key", "bucket", "row", "copy", "doc_id", "size", "source_size", "target")
         .agg(F.sum("words").alias("taken"))
         .select("doc_id", "size", "source_size", "target", "taken")
     )

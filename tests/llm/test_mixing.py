@@ -90,3 +90,24 @@ def test_plan_is_native(spark):
     docs = spark.createDataFrame([(1, "a b", "a", "")], SCHEMA)
     text = plan(mixing.taken(mixing.schedule(docs)))
     assert "Python" not in text and "Arrow" not in text and "CartesianProduct" not in text
+
+
+def test_rows_of_no_id_and_equal_rows_are_spread(spark):
+    """Two thirds of the rows have no id: they are sorted in many buckets, and equal rows travel as one."""
+    rows = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, id, NULL) AS doc_id",
+        "if(id % 3 = 1, 'same text here', concat('w ', id)) AS text",
+        "'s' AS source",
+    )
+    pieces = mixing.schedule(rows)
+    found = mixing.taken(pieces).collect()
+    assert len(found) == 3000
+    assert sum(row.taken for row in found) == pytest.approx(1.5 * (1000 * 3 + 2000 * 2), abs=3)
+    assert all(row.taken <= 2 * row.size for row in found)
+    buckets = pieces.select("key", "bucket", "row", "copy", "doc_id").distinct().collect()
+    per_bucket = {}
+    for row in buckets:
+        per_bucket.setdefault(row.bucket, set()).add(row.row)
+    assert max(map(len, per_bucket.values())) < 40
+    again = mixing.taken(mixing.schedule(rows.repartition(7))).collect()
+    assert sorted(map(str, found)) == sorted(map(str, again))
