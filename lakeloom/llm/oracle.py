@@ -53,10 +53,13 @@ FROM urls u LEFT JOIN matched m ON m.place = 1 AND u.page_id = m.page_id AND u.u
 
 OP4 = r"""
 WITH last AS (
-  SELECT conv_id, max(turn) AS last_turn, arg_max(text, turn) AS reply
-  FROM conversations WHERE role = 'assistant' GROUP BY conv_id
+  SELECT conv_id, turn AS last_turn, text AS reply
+  FROM (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC NULLS LAST, text DESC NULLS LAST) AS place
+    FROM conversations WHERE role = 'assistant'
+  ) WHERE place = 1
 ),
-sides AS (
+given AS (
   SELECT c.conv_id, c.turn, c.role, c.text, false AS rejected FROM conversations c
   UNION ALL
   SELECT c.conv_id, c.turn, c.role, CASE WHEN o.conv_id IS NOT NULL THEN n.reply ELSE c.text END, true
@@ -65,8 +68,12 @@ sides AS (
   LEFT JOIN last n ON n.conv_id = xor(c.conv_id, 1)
   WHERE o.conv_id IS NULL OR n.conv_id IS NOT NULL
 ),
+sides AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, rejected
+  FROM given WHERE conv_id IS NOT NULL
+),
 placed AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id, rejected ORDER BY turn, role, text) AS p FROM sides
+  SELECT *, row_number() OVER (PARTITION BY conv_id, rejected ORDER BY turn NULLS FIRST, role, text) AS p FROM sides
 ),
 differing AS (
   SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, min(coalesce(a.p, b.p)) AS first
@@ -76,7 +83,7 @@ differing AS (
   GROUP BY 1
 ),
 rendered AS (
-  SELECT p.conv_id, p.rejected, p.p, p.role, p.p < coalesce(first, 1000000) AS common,
+  SELECT p.conv_id, p.rejected, p.p, p.role, first IS NULL OR p.p < first AS common,
     '<|im_start|>' || replace(role, '<|', '< |') || chr(10) AS head,
     replace(text, '<|', '< |') || '<|im_end|>' AS body
   FROM placed p LEFT JOIN differing USING (conv_id)
@@ -147,7 +154,7 @@ FROM words LEFT JOIN covered USING (doc) LEFT JOIN named USING (doc)
 OP9 = r"""
 WITH sized AS (
   SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS key,
-    md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS digest,
+    md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || md5(coalesce(text, ''))) AS digest,
     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
   FROM documents
 ),
