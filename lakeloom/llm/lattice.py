@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.common import binary_values, materialize
@@ -29,16 +29,21 @@ VOCABULARY_MARK = "▁"
 BASE = np.uint64(0x9E3779B97F4A7C15)
 FILTER_BITS = 22
 BYTES_AT_ONCE = 1 << 18
+#: Words longer than this are matched block by block.
+LONG = 1 << 14
 DISTINCT_AT_ONCE = 200_000
 LN10 = float(np.log(10.0))
 
 
 @dataclass(frozen=True)
 class LatticeSettings:
-    """``head`` words at most go to every task. ``prior`` is the weight, in pieces, of the vocabulary's own
-    scores against the counts of the corpus; ``rank_offset`` turns a score that is a rank into a share."""
+    """``head`` words at most, and ``head_bytes`` of them, go to every task. ``prior`` is the weight, in pieces, of the
+    vocabulary's own scores against the counts of the corpus; ``rank_offset`` turns a score that is a rank into a share.
+    ``whole_words`` makes every training word a piece of its own beside the vocabulary's."""
 
     head: int = 100_000
+    head_bytes: int = 8 << 20
+    whole_words: bool = False
     rounds: int = 2
     prior: float = 10_000.0
     rank_offset: float = 2.7
@@ -153,10 +158,36 @@ class Lattice:
                 data = b"".join(MARK + words[i] for i in part)
                 yield part, np.frombuffer(data, np.uint8).reshape(len(part), size + 1)
 
+    def _long_totals(self, letters: np.ndarray, backward: bool) -> np.ndarray:
+        """The sums of :meth:`_forward` or :meth:`_backward` for one long word, matched block by block."""
+        width, reach = len(letters), self.longest
+        total = np.full(width + 1, -np.inf)
+        total[width if backward else 0] = 0.0
+        blocks = range(0, width, LONG)
+        for low in reversed(blocks) if backward else blocks:
+            high = min(low + LONG, width)
+            # Pieces that start, or else end, in the block.
+            a, b = (low, min(width, high + reach - 1)) if backward else (max(0, low - reach + 1), high)
+            steps, _ = self._steps(letters[None, a:b])
+            places = range(high - 1, low - 1, -1) if backward else range(low + 1, high + 1)
+            for place in places:
+                if backward:
+                    sizes = range(1, min(len(steps), b - place) + 1)
+                    parts = [total[place + size] + steps[size - 1][0, place - a] for size in sizes]
+                else:
+                    sizes = range(1, min(len(steps), place - a) + 1)
+                    parts = [total[place - size] + steps[size - 1][0, place - size - a] for size in sizes]
+                top = max(parts)
+                total[place] = top + np.log(sum(np.exp(part - top) for part in parts if part > -np.inf))
+        return total
+
     def log_likelihood(self, words: list[bytes]) -> np.ndarray:
         """Natural log of the marginal probability of each word."""
         result = np.empty(len(words))
         for ids, letters in self._groups(words):
+            if letters.shape[1] > LONG:
+                result[ids] = [self._long_totals(row, False)[-1] for row in letters]
+                continue
             steps, _ = self._steps(letters)
             result[ids] = self._forward(steps, *letters.shape)[:, -1]
         return result
@@ -165,6 +196,10 @@ class Lattice:
         """Expected number of each piece in the words, each word as often as ``times`` says."""
         result = np.zeros(len(self.log_probs))
         for ids, letters in self._groups(words):
+            if letters.shape[1] > LONG:
+                for i, row in zip(ids, letters, strict=True):
+                    result += times[i] * self._long_counts(row)
+                continue
             steps, found = self._steps(letters)
             ahead, behind = self._forward(steps, *letters.shape), self._backward(steps, *letters.shape)
             whole = ahead[:, -1]
@@ -174,6 +209,19 @@ class Lattice:
         return result
 
 
+    def _long_counts(self, letters: np.ndarray) -> np.ndarray:
+        """Expected number of each piece in one long word."""
+        ahead, behind = self._long_totals(letters, False), self._long_totals(letters, True)
+        result, whole = np.zeros(len(self.log_probs)), ahead[-1]
+        for low in range(0, len(letters), LONG):
+            high = min(low + LONG, len(letters))
+            for size, (_, start, piece) in enumerate(self._matches(letters[None, low : min(len(letters), high + self.longest - 1)]), 1):
+                inside = start < high - low
+                start, piece = start[inside] + low, piece[inside]
+                result += np.bincount(piece, np.exp(ahead[start] + self.log_probs[piece] + behind[start + size] - whole), len(result))
+        return result
+
+
 def tokens(text: bytes) -> list[bytes]:
     """Words between ASCII white space, A-Z lower-cased."""
     return text.lower().split()
@@ -232,6 +280,29 @@ def fit_pieces(words: DataFrame, ends: int, pieces: list[bytes], prior: np.ndarr
     return np.log(probs) + np.log1p(-end), float(np.log(end))
 
 
+def with_whole_words(words: DataFrame, total: int, kinds: int, end: float) -> Column:
+    """Log10 probability of a word as a piece of its own or by its segmentations, from its count and the latter.
+
+    ``end`` is the natural log of the probability of an end, which is no word's.
+    """
+    spread = words.agg(F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).first()
+    discount = spread["n1"] / (spread["n1"] + 2 * spread["n2"]) if spread["n1"] and spread["n2"] else 0.5
+    word = float(np.log10(-np.expm1(end)))
+    rest = F.lit(float(np.log10(discount * kinds / total))) + F.col("lattice")
+    whole = F.when(F.col("n") > 0, F.log10((F.col("n") - discount) / total) + word)
+    # The larger first, so that neither power overflows or is lost.
+    top = F.greatest(whole, rest)
+    return F.when(whole.isNull(), rest).otherwise(top + F.log10(F.pow(F.lit(10.0), whole - top) + F.pow(F.lit(10.0), rest - top)))
+
+
+def frequent_words(scored: DataFrame, settings: LatticeSettings) -> DataFrame:
+    """The most frequent words, ``head`` of them and ``head_bytes`` at most together."""
+    order = Window.orderBy(F.desc("n"), "word").rowsBetween(Window.unboundedPreceding, 0)
+    # One task adds up ``head`` rows; longer words than the bound allows are left out before.
+    few = scored.where(F.octet_length("word") <= settings.head_bytes).orderBy(F.desc("n"), "word").limit(settings.head)
+    return few.withColumn("held", F.sum(F.octet_length("word")).over(order)).where(F.col("held") <= settings.head_bytes).drop("held")
+
+
 def score_documents(
     docs: DataFrame,
     training: Column,
@@ -246,6 +317,10 @@ def score_documents(
     whole text, summed over segmentations; ``base_score`` that under word counts with one added. A
     null or empty text is an end alone. Without training rows pieces keep their prior and no word is known. Equal
     and null ids are kept apart. Other columns are not read.
+
+    With ``whole_words`` a word that was seen c times is also a piece of its own, with probability (c - d) / n: d is the absolute
+    discount n1 / (n1 + 2 n2) of the words' counts, and what it takes off is the share of all other segmentations. So the
+    model holds every word of the corpus, however many, and still gives each unseen one a probability.
     """
     spark = docs.sparkSession
     mark = F.coalesce(training, F.lit(False))
@@ -264,11 +339,11 @@ def score_documents(
             yield pa.array(lattice.log_likelihood(part.to_pylist()) / LN10)
 
     base = F.log10((F.col("n") + 1) / F.lit(float(train_tokens + kinds + 1)))
-    scored = materialize(
-        words.select("word", "n", base.alias("base"), F.arrow_udf(likelihood, "double")(F.col("word")).alias("lattice")),
-        "word-scores",
-    )
-    head = scored.orderBy(F.desc("n"), "word").limit(settings.head).toArrow()
+    scored = words.select("word", "n", base.alias("base"), F.arrow_udf(likelihood, "double")(F.col("word")).alias("lattice"))
+    if settings.whole_words and held[0]:
+        scored = scored.withColumn("lattice", with_whole_words(words, held[0], held[1], end))
+    scored = materialize(scored, "word-scores")
+    head = frequent_words(scored, settings).toArrow()
     names = head["word"].to_pylist()
     numbers = [head[name].to_numpy() for name in ("n", "base", "lattice")]
     table = spark.sparkContext.broadcast((names, numbers))

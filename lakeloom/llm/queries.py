@@ -108,8 +108,11 @@ def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
 def op5_lattice(spark: SparkSession, folder: str) -> DataFrame:
     """Log10 probability of every document, learned from those whose remainder by 7 is not 2."""
     learned = remainder("doc_id", 7) != 2
-    scored = lattice.score_documents(table(spark, folder, "documents"), learned, VOCABULARY)
-    return scored.withColumn("held_out", ~F.col("training")).drop("training")
+    settings = lattice.LatticeSettings(whole_words=True)
+    scored = lattice.score_documents(table(spark, folder, "documents"), learned, VOCABULARY, settings)
+    return scored.select(
+        "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
 
 
 def op6_neighbours(spark: SparkSession, folder: str) -> DataFrame:
