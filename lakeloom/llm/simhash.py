@@ -5,14 +5,16 @@ each sorted chunk stands a tree: a node keeps the mask of the bits that all belo
 their pattern. Two nodes whose shared bits already differ in too many places are dropped with all
 below them; two nodes that cannot differ in more are linked as a whole.
 
-Texts that differ in few bits agree on one of a few bit segments, so chunks hold the fingerprints
-of one segment value. A segment value with very many fingerprints becomes many chunks, compared
-pair by pair in separate rows.
+Texts that differ in few bits agree on some of a few bit segments, so chunks hold the fingerprints
+of one value of one choice of segments. The more fingerprints there are, the more bits a choice has, so that chunks of
+one value stay few. A value with very many fingerprints becomes many chunks, compared pair by pair in separate rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -79,16 +81,38 @@ def gray_rank(value: Column) -> Column:
     return value
 
 
-def segments(distance: int) -> list[tuple[int, int]]:
-    """(lowest bit, width) of ``distance + 1`` segments that cover all bits.
-
-    Words within the distance agree on one segment at least.
-    """
-    n = distance + 1
+def segments(n: int) -> list[tuple[int, int]]:
+    """(lowest bit, width) of ``n`` segments that cover all bits."""
     cuts = [BITS * i // n for i in range(n + 1)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def key_plan(distance: int, n: int) -> list[tuple[tuple[int, int], ...]]:
+    """Choices of segments for ``n`` fingerprints: words within the distance agree on all segments of one choice at least.
+
+    Of ``distance + k`` segments words within the distance agree on ``k`` at least, so all choices of ``k`` do for any ``k``. More
+    segments make more keys of more bits: the plan taken makes the fewest entries, counting a comparison as a fiftieth.
+    """
+
+    def cost(k: int) -> float:
+        return math.comb(distance + k, k) * (1 + n / 2 ** (BITS * k / (distance + k)) / 50)
+
+    fitting = [k for k in range(1, 5) if BITS * k / (distance + k) <= 40] or [1]
+    k = min(fitting, key=cost)
+    return list(combinations(segments(distance + k), k))
+
+
+def plan_keys(plan: list[tuple[tuple[int, int], ...]], word: Column) -> Column:
+    """The keys of a word: for each choice its number and the word's bits in its segments."""
+    keys = []
+    for number, chosen in enumerate(plan):
+        bits = F.lit(0).cast("long")
+        for low, width in chosen:
+            bits = F.shiftleft(bits, width).bitwiseOR(F.shiftrightunsigned(word, low).bitwiseAND((1 << width) - 1))
+        keys.append(F.lit(number << 42).cast("long").bitwiseOR(bits))
+    return F.array(*keys)
+
+
 class GrayTree:
     """Masks and patterns over a run of fingerprints in Gray order; level 0 holds the words."""
 
@@ -198,17 +222,12 @@ def _edges(words: np.ndarray, labels: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(column) for column in pair], ["a", "b"])
 
 
-def links(words: DataFrame, distance: int = 4) -> DataFrame:
+def links(words: DataFrame, distance: int = 4, plan: list[tuple[tuple[int, int], ...]] | None = None) -> DataFrame:
     """(a, b): edges among distinct fingerprints (column ``fp``) that connect exactly the groups which
-    pairs at ``distance`` bits or fewer connect. Not every such pair is an edge."""
-    parts = segments(distance)
-    keys = F.array(
-        *(
-            F.lit(number << 32) + F.shiftrightunsigned("fp", low).bitwiseAND((1 << width) - 1)
-            for number, (low, width) in enumerate(parts)
-        )
-    )
-    entries = words.select(F.explode(keys).alias("key"), "fp").withColumn("rank", gray_rank(F.col("fp")))
+    pairs at ``distance`` bits or fewer connect. Not every such pair is an edge. ``plan`` is :func:`key_plan`'s for their number
+    unless given, and changes no group."""
+    plan = plan or key_plan(distance, words.count())
+    entries = words.select(F.explode(plan_keys(plan, F.col("fp"))).alias("key"), "fp").withColumn("rank", gray_rank(F.col("fp")))
     ordered = entries.repartitionByRange("key", "rank").sortWithinPartitions("key", "rank")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,3 +1,5 @@
+from itertools import combinations
+
 import numpy as np
 import pytest
 import xxhash
@@ -66,6 +68,26 @@ def test_groups_of_many_chunks_are_compared_with_each_other(spark, monkeypatch):
     assert len(set(zip(got, expected, strict=True))) == len(set(got)) == len(set(expected))
 
 
+@pytest.mark.parametrize("k", [1, 2, 3, 4])
+def test_any_choice_of_segments_finds_the_same_groups(spark, k):
+    words = noisy(k, 8, 200, 4)
+    frame = spark.createDataFrame([(int(x),) for x in words.view(np.int64)], "fp long")
+    plan = list(combinations(simhash.segments(4 + k), k))
+    labels = {row.node: row.component for row in connected_components(simhash.links(frame, 4, plan)).collect()}
+    got = [labels.get(int(x), int(x)) for x in words.view(np.int64)]
+    expected = plain_groups(words, 4)
+    assert len(set(zip(got, expected, strict=True))) == len(set(got)) == len(set(expected))
+
+
+def test_more_fingerprints_get_more_bits():
+    sizes = [sum(width for _, width in simhash.key_plan(4, n)[0]) for n in (10, 10**5, 10**7, 10**9, 10**12)]
+    assert sizes == sorted(sizes) and sizes[0] in (12, 13) and sizes[2] >= 21 and sizes[-1] >= 27
+    for n in (10, 10**7, 10**12):
+        for distance in (0, 1, 4, 8):
+            plan = simhash.key_plan(distance, n)
+            assert all(sum(width for _, width in chosen) <= 42 or len(plan[0]) == 1 for chosen in plan)
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(40)]
     star = [(100, i) for i in range(101, 140)]
