@@ -6,16 +6,21 @@ since the last round are compared. A search starts at a few entry nodes and at t
 has one, and opens the nearest nodes found until none is left to open among the best.
 
 Equal vectors are one node of the graph, so however many copies a vector has, each is found through it and
-none crowds the others out.
+none crowds the others out. The graph works on vectors of half precision, each at a scale of its own and all less the
+median of a sample, so neither a common offset nor a few huge vectors blur the others. :func:`nearest_exact` compares every query
+with every row, block by block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,38 +30,39 @@ from lakeloom.llm.common import materialize
 @dataclass(frozen=True)
 class GraphSettings:
     """``links``: neighbours of a node; ``reverse``: nodes that name it and take part in a round, chosen by
-    hash. The start deals every node to its ``cells`` nearest of ``pivots`` pivots at most, one per ``per_pivot`` nodes,
-    and compares it within parts of about ``part`` nodes of a cell. ``rounds`` at most, fewer once under ``settled``
-    of the links change. ``pool``: best nodes a query keeps in its search, ``opened`` of them at most per
-    step, ``steps`` at most; ``entries``: nodes every query starts from."""
+    hash. The start deals every node to its ``cells`` nearest of the pivots, one per ``per_pivot`` nodes but ``pivots`` at most,
+    and compares it within parts of about ``part`` nodes of a cell. Rounds go on until under ``settled`` of the links
+    change; a graph of n nodes has ``rounds`` rounds at most and one more for each doubling beyond ``rounds_from`` nodes.
+    ``pool``: best nodes a query keeps in its search, ``opened`` of them at most per step; the search ends when all of the
+    pool are opened, or after ``steps`` steps; ``entries``: nodes every query starts from. ``sample``: vectors that the common
+    median and scale come from."""
 
     links: int = 32
     reverse: int = 24
-    pivots: int = 256
+    pivots: int = 4096
     cells: int = 4
     per_pivot: int = 200
     part: int = 1024
     rounds: int = 4
+    rounds_from: int = 65_536
     settled: float = 0.05
     pool: int = 256
     opened: int = 48
-    steps: int = 12
+    steps: int = 64
     entries: int = 16
+    sample: int = 4096
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     """(vec_id, vector array<double>) of the rows that take part.
 
-    Null ids and null, empty, all-zero vectors and those with null or non-finite components do not, nor do
-    those of a length other than the most frequent one.
+    Null ids and null, empty, all-zero vectors and those with null or non-finite components do not.
     """
     rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).cast("array<double>").alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    rows = rows.where(
+    return rows.where(
         F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & finite & F.exists("vector", lambda x: x != 0)
     )
-    sizes = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").limit(1)
-    return rows.join(F.broadcast(sizes.select("size")), F.size("vector") == F.col("size"), "left_semi")
 
 
 def distinct_vectors(rows: DataFrame, copies: int) -> tuple[DataFrame, DataFrame]:
@@ -72,20 +78,40 @@ def distinct_vectors(rows: DataFrame, copies: int) -> tuple[DataFrame, DataFrame
 
 
 def _stack(column: pa.Array) -> np.ndarray:
-    """Vectors stored as half-precision bytes; the graph only compares, so that is enough for it."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.float16).astype(np.float32)
+    """The vectors of packed bytes, a row each, at single precision; the graph only compares, so that is enough for it."""
+    values = column.to_pylist()
+    if not values:
+        return np.zeros((0, 0), np.float32)
+    data = np.frombuffer(b"".join(values), np.uint8).reshape(len(values), -1)
+    scale = np.ascontiguousarray(data[:, :4]).view(np.float32)
+    return np.ascontiguousarray(data[:, 4:]).view(np.float16).astype(np.float32) * scale
 
 
-def _packed(nodes: DataFrame) -> DataFrame:
-    """Vectors shrunk to half precision around their mean, at one common scale."""
+def _packed(nodes: DataFrame, sample: int) -> DataFrame:
+    """Adds ``packed``: a scale of the vector's own, then its components at half precision.
+
+    First the median of ``sample`` vectors, chosen by hash, is taken off and all are divided by the median size of
+    what is left. Vectors more than 10**15 times that size are moved to it.
+    """
+    # At most ``sample`` vectors.
+    some = nodes.select("vector").orderBy(F.xxhash64("node"), "node").limit(sample).toArrow()["vector"].combine_chunks()
+    if not len(some):
+        return nodes.withColumn("packed", F.lit(b""))
+    table = some.flatten().to_numpy().reshape(len(some), -1)
+    # Halves first, so that the largest doubles do not overflow.
+    centre = np.median(table / 2, axis=0)
+    scale = float(np.median(np.abs(table / 2 - centre).max(axis=1))) or 1.0
 
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
-            table = part.flatten().to_numpy().reshape(len(part), -1)
-            yield pa.array([row.tobytes() for row in (table / scale).astype(np.float16)], pa.binary())
+            rows = (part.flatten().to_numpy().reshape(len(part), -1) / 2 - centre) / scale
+            rows = np.clip(np.nan_to_num(rows, posinf=1e15, neginf=-1e15), -1e15, 1e15)
+            own = np.abs(rows).max(axis=1, keepdims=True)
+            own[own == 0] = 1.0
+            halves = (rows / own).astype(np.float16)
+            data = np.concatenate([own.astype(np.float32).view(np.uint8), halves.view(np.uint8)], axis=1)
+            yield pa.array([row.tobytes() for row in data], pa.binary())
 
-    largest = nodes.agg(F.max(F.array_max(F.transform("vector", F.abs)))).first()[0]
-    scale = (largest or 1.0) / 16.0
     return nodes.withColumn("packed", F.arrow_udf(run, "binary")(F.col("vector")))
 
 
@@ -97,12 +123,12 @@ def _start(nodes: DataFrame, settings: GraphSettings) -> DataFrame:
     wanted = max(1, min(settings.pivots, count // settings.per_pivot))
     # At most ``pivots`` vectors.
     chosen = nodes.select("packed").orderBy(F.xxhash64("node"), "node").limit(wanted).toArrow()["packed"].combine_chunks()
-    centres = _stack(chosen).reshape(wanted, -1)
+    centres = _stack(chosen)
     near = min(settings.cells, wanted)
 
     def nearest_cells(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
-            data = _stack(part).reshape(len(part), -1)
+            data = _stack(part)
             far = (centres * centres).sum(axis=1) - 2 * (data @ centres.T)
             yield pa.array(np.argpartition(far, near - 1, axis=1)[:, :near].tolist(), pa.list_(pa.int32()))
 
@@ -114,7 +140,7 @@ def _start(nodes: DataFrame, settings: GraphSettings) -> DataFrame:
     share = F.pmod(F.xxhash64("node"), parts[F.col("cell")])
 
     def compare(group: pa.Table) -> pa.Table:
-        node, data = group["node"].to_numpy(), _stack(group["packed"].combine_chunks()).reshape(group.num_rows, -1)
+        node, data = group["node"].to_numpy(), _stack(group["packed"].combine_chunks())
         far = _distances(data)
         np.fill_diagonal(far, np.inf)
         keep = min(settings.links, len(node) - 1)
@@ -160,7 +186,7 @@ def _round(graph: DataFrame, nodes: DataFrame, settings: GraphSettings) -> DataF
             lists = batch.column(0)
             offsets, items = lists.offsets.to_numpy(), lists.values
             other, fresh = items.field("other").to_numpy(), items.field("fresh").to_numpy(zero_copy_only=False)
-            reach, data = items.field("reach").to_numpy(), _stack(items.field("packed")).reshape(len(items), -1)
+            reach, data = items.field("reach").to_numpy(), _stack(items.field("packed"))
             out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             for a, b in zip(offsets, offsets[1:], strict=False):
                 x, ids, limit, new = data[a:b], other[a:b], reach[a:b], fresh[a:b]
@@ -181,7 +207,8 @@ def neighbour_graph(nodes: DataFrame, settings: GraphSettings = GraphSettings())
     Written after each round, so an executor lost costs one round.
     """
     graph = materialize(_start(nodes, settings), "neighbour-graph")
-    for _ in range(settings.rounds):
+    doublings = max(0, math.ceil(math.log2(max(1, nodes.count()) / settings.rounds_from)))
+    for _ in range(settings.rounds + doublings):
         found = _round(graph, nodes, settings)
         before = graph.withColumn("fresh", F.lit(False))
         graph = materialize(_nearest(before.unionByName(found), settings.links), "neighbour-graph")
@@ -197,25 +224,33 @@ def euclidean(a: Column, b: Column) -> Column:
     return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, x: total + x))
 
 
-def _apart(targets: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    for one, two in targets:
-        x, y = (_stack(part).reshape(len(part), -1) for part in (one, two))
-        yield pa.array(np.sqrt(((x - y) ** 2).sum(axis=1)))
+def _apart(measured: Accumulator | None) -> Callable[[Iterator[tuple[pa.Array, pa.Array]]], Iterator[pa.Array]]:
+    def apart(targets: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for one, two in targets:
+            if measured is not None:
+                measured.add(len(one))
+            x, y = _stack(one), _stack(two)
+            yield pa.array(np.sqrt(((x - y) ** 2).sum(axis=1)))
+
+    return apart
 
 
-def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, settings: GraphSettings = GraphSettings()) -> DataFrame:
+def search(
+    queries: DataFrame, nodes: DataFrame, graph: DataFrame, settings: GraphSettings = GraphSettings(), measured: Accumulator | None = None
+) -> DataFrame:
     """(query, node, distance): up to ``pool`` nearest nodes found for each row of (query, target, packed, home).
 
     ``home`` is the node of the query's own vector, null if it is not in the graph. Each step opens the nearest
     unopened nodes of all queries at once: their neighbours in both directions are joined, measured and merged. The
-    way goes by the packed vectors, the distances returned are those of the given ones.
+    way goes by the packed vectors, the distances returned are those of the given ones. ``measured`` counts the distances
+    on the way.
     """
     ahead = graph.select("node", "other")
     behind = _few(graph.select(F.col("other").alias("node"), F.col("node").alias("other")), "node", "other", settings.reverse)
     around = materialize(ahead.union(behind).distinct(), "search-graph")
     vectors = nodes.select("node", "packed")
     targets = queries.select("query", F.col("packed").alias("target"))
-    apart = F.arrow_udf(_apart, "float")
+    apart = F.arrow_udf(_apart(measured), "float")
 
     # As many as ``entries`` rows, whatever the number of nodes.
     entries = nodes.select("node").orderBy(F.xxhash64("node"), "node").limit(settings.entries).collect()
@@ -223,12 +258,12 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, settings: Gra
     begun = queries.select("query", F.explode(F.array_distinct(F.concat(F.array("home"), starts))).alias("node"))
     begun = begun.where("node is not null")
 
-    def measured(pairs: DataFrame) -> DataFrame:
+    def distances(pairs: DataFrame) -> DataFrame:
         joined = pairs.join(vectors, "node").join(targets, "query")
         return joined.select("query", "node", apart("target", "packed").alias("distance"), F.lit(False).alias("done"))
 
     order = Window.partitionBy("query").orderBy("distance", "node")
-    pool = materialize(measured(begun), "search-pool")
+    pool = materialize(distances(begun), "search-pool")
     for _ in range(settings.steps):
         opened = pool.where("not done").withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= settings.opened)
         opened = materialize(opened.select("query", "node"), "search-opened")
@@ -239,12 +274,78 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, settings: Gra
         marked = pool.join(opened.withColumn("now", F.lit(True)), ["query", "node"], "left").select(
             "query", "node", "distance", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done")
         )
-        merged = marked.unionByName(measured(fresh)).withColumn("place", F.row_number().over(order))
+        merged = marked.unionByName(distances(fresh)).withColumn("place", F.row_number().over(order))
         pool = materialize(merged.where(F.col("place") <= settings.pool).drop("place"), "search-pool")
     exact = pool.select("query", "node").join(nodes.select("node", "vector"), "node").join(queries.select("query", "target"), "query")
     return exact.select("query", "node", euclidean(F.col("target"), F.col("vector")).alias("distance"))
 
 
+def nearest_exact(rows: DataFrame, queries: DataFrame, k: int, block: int = 2048) -> DataFrame:
+    """(query_id, rank, vec_id, score) by comparing each of (query, target) with every row of (vec_id, vector).
+
+    Queries are taken in blocks by hash of about ``block``; the rows pass each block once, and every task keeps the
+    ``k`` nearest of its rows, with ties to the smaller id, before any are merged. All lengths may be mixed: a vector is compared
+    with those of its own length.
+    """
+    asked = materialize(queries.select("query", "target"), "exact-queries")
+    blocks = -(-asked.count() // block)
+    found = []
+    for number in range(blocks):
+        # About ``block`` vectors.
+        part = asked.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == number).toArrow()
+        by_size: dict[int, tuple[list[int], list[np.ndarray]]] = {}
+        for query, target in zip(part["query"].to_pylist(), part["target"], strict=True):
+            values = target.values.to_numpy(zero_copy_only=False)
+            ids, vectors = by_size.setdefault(len(values), ([], []))
+            ids.append(query)
+            vectors.append(values)
+        targets = {size: (np.array(ids), np.array(vectors)) for size, (ids, vectors) in by_size.items()}
+        if targets:
+            shared = rows.sparkSession.sparkContext.broadcast(targets)
+            found.append(rows.select("vec_id", "vector").mapInArrow(_scan(shared, k), "query_id long, vec_id long, score double"))
+    if not found:
+        return rows.selectExpr("vec_id AS query_id", "0 AS rank", "vec_id", "double(0) AS score").where("false")
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    merged = reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(order))
+    return merged.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _scan(shared, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The ``k`` nearest rows of a task for each query of a block."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            lists = batch.column(1)
+            ids, offsets = batch.column(0).to_numpy(), lists.offsets.to_numpy()
+            flat, sizes = lists.values.to_numpy(zero_copy_only=False), np.diff(offsets)
+            for size, (queries, targets) in shared.value.items():
+                own = np.flatnonzero(sizes == size)
+                for at in range(0, len(own), 256):
+                    some = own[at : at + 256]
+                    table = flat[offsets[some][:, None] + np.arange(size)]
+                    # Summed component by component, as the scores of the search are.
+                    far = np.zeros((len(targets), len(some)))
+                    with np.errstate(over="ignore"):
+                        for i in range(size):
+                            step = targets[:, i, None] - table[None, :, i]
+                            far += step * step
+                    far = np.sqrt(far)
+                    far[queries[:, None] == ids[some]] = np.nan
+                    score, name = best.get(size, (np.full((len(targets), 0), np.nan), np.zeros((len(targets), 0), np.int64)))
+                    score = np.concatenate([score, far], axis=1)
+                    name = np.concatenate([name, np.broadcast_to(ids[some], far.shape)], axis=1)
+                    keep = np.lexsort((name, score), axis=1)[:, :k]
+                    best[size] = (np.take_along_axis(score, keep, axis=1), np.take_along_axis(name, keep, axis=1))
+        for size, (score, name) in best.items():
+            queries = np.broadcast_to(shared.value[size][0][:, None], score.shape)
+            there = ~np.isnan(score)
+            columns = [pa.array(values[there]) for values in (queries, name, score)]
+            yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
+
+    return scan
+
+
 def nearest(
     vectors: DataFrame,
     is_query: Column,
@@ -252,25 +353,41 @@ def nearest(
     settings: GraphSettings = GraphSettings(),
     id_column: str = "vec_id",
     vector_column: str = "embedding",
+    exact: bool = False,
+    measured: Accumulator | None = None,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest other rows found for each row that ``is_query`` marks.
 
     Every row that takes part (see :func:`usable`) is indexed; the score is the Euclidean distance in double
     precision of the given vectors, ties go to the smaller id, and ``rank`` counts from 1. Fewer than ``k`` other rows
     are all returned. Rows that repeat an id and a vector are one row; an empty table gives no rows. Other columns are
-    not read.
+    not read. Vectors are near only to those of their own length: the most frequent length is searched by the graph, the others
+    are compared in full. ``exact`` compares all of them in full. ``measured`` counts the distances of the search.
     """
     marked = vectors.select(F.col(id_column), F.col(vector_column), is_query.alias("marked"))
     rows = materialize(usable(marked, id_column, vector_column).distinct(), "vectors")
     wanted = marked.where("marked").select(F.col(id_column).cast("long").alias("vec_id")).distinct()
+    asked = rows.join(wanted, "vec_id", "left_semi")
+    if exact:
+        return nearest_exact(rows, asked.selectExpr("vec_id AS query", "vector AS target"), k)
+    sizes = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").limit(2).collect()
+    main = F.size("vector") == (sizes[0]["size"] if sizes else 0)
+    found = _by_graph(rows.where(main), asked.where(main), k, settings, measured)
+    if len(sizes) < 2:
+        return found
+    rest = nearest_exact(rows.where(~main), asked.where(~main).selectExpr("vec_id AS query", "vector AS target"), k)
+    return found.unionByName(rest)
+
+
+def _by_graph(rows: DataFrame, asked: DataFrame, k: int, settings: GraphSettings, measured: Accumulator | None) -> DataFrame:
+    """The search of :func:`nearest` for vectors of one length."""
     nodes, copies = distinct_vectors(rows, k + 1)
-    nodes = materialize(_packed(nodes), "graph-nodes")
+    nodes = materialize(_packed(nodes, settings.sample), "graph-nodes")
     graph = neighbour_graph(nodes, settings)
-    asked = rows.join(wanted, "vec_id", "left_semi")
     homes = nodes.select(F.col("node").alias("home"), "vector", "packed")
     queries = asked.join(homes, "vector").select(F.col("vec_id").alias("query"), F.col("vector").alias("target"), "packed", "home")
     queries = materialize(queries, "search-queries")
-    found = search(queries, nodes, graph, settings)
+    found = search(queries, nodes, graph, settings, measured)
     others = found.join(copies, "node").where(F.col("vec_id") != F.col("query"))
     order = Window.partitionBy("query").orderBy("distance", "vec_id")
     ranked = others.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -58,3 +58,64 @@ def test_rows_that_take_no_part(spark):
 @pytest.mark.parametrize("rows", [[], [(1, [1.0, 2.0], "x")], [(1, None, "x")]])
 def test_too_few_rows(spark, rows):
     assert neighbours.nearest(spark.createDataFrame(rows, SCHEMA), F.lit(True)).collect() == []
+
+
+def recall(found, rows, queries, k=10):
+    """Share of the true nearest found, ties aside."""
+    vectors = np.array([v for _, v in rows])
+    ids = np.array([i for i, _ in rows])
+    hits = 0
+    for number, vector in queries:
+        far = np.sqrt(((vectors - vector) ** 2).sum(axis=1))
+        far[ids == number] = np.inf
+        hits += len({row.vec_id for row in found if row.query_id == number} & set(ids[np.argsort(far)[:k]].tolist()))
+    return hits / (k * len(queries))
+
+
+@pytest.mark.parametrize("case", ["outlier", "offset"])
+def test_recall_with_an_outlier_and_with_an_offset(spark, case):
+    data = np.random.default_rng(6).normal(size=(3000, 16))
+    if case == "outlier":
+        data[17] = 1e9
+    else:
+        data += 20_000.0
+    rows = [(i, v) for i, v in enumerate(data)]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    found = neighbours.nearest(frame, F.col("vec_id") % 50 == 0).collect()
+    assert recall(found, rows, rows[::50]) >= 0.9
+
+
+def test_recall_where_a_query_measures_few_vectors(spark):
+    """20,000 vectors without clusters; under a tenth of them is measured for a query."""
+    data = np.random.default_rng(7).normal(size=(20_000, 16)).astype(np.float32).astype(float)
+    rows = [(i, v) for i, v in enumerate(data)]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    measured = spark.sparkContext.accumulator(0)
+    settings = neighbours.GraphSettings(pool=40, opened=20, reverse=12, rounds=3)
+    found = neighbours.nearest(frame, F.col("vec_id") % 200 == 0, settings=settings, measured=measured).collect()
+    assert recall(found, rows, rows[::200]) >= 0.9
+    assert measured.value / len(rows[::200]) < 0.1 * len(rows)
+
+
+def test_the_exact_way_is_brute_force(spark, cloud):
+    odd = [(2000, np.array([1.0, 2.0])), (2001, np.array([1.0, 2.5])), (2050, np.array([1e300, -1e300]))]
+    frame = spark.createDataFrame([(i, v.tolist(), "x") for i, v in cloud + odd], "vec_id long, embedding array<double>, score string")
+    asked = F.col("vec_id") % 50 == 0
+    expected = exact(cloud, [row for row in cloud if row[0] % 50 == 0], 10)
+    expected |= exact(odd, [row for row in odd if row[0] % 50 == 0], 10)
+    found = neighbours.nearest(frame, asked, exact=True).collect()
+    for number, best in expected.items():
+        mine = sorted((row.rank, row.vec_id, row.score) for row in found if row.query_id == number)
+        assert [i for _, i, _ in mine] == [i for _, i in best]
+        assert [score for _, _, score in mine] == pytest.approx([distance for distance, _ in best])
+    blocks = neighbours.nearest_exact(
+        frame.selectExpr("vec_id", "embedding AS vector"), frame.where(asked).selectExpr("vec_id AS query", "embedding AS target"), 10, block=5
+    )
+    assert sorted(map(tuple, blocks.collect())) == sorted(map(tuple, found))
+
+
+def test_other_lengths_are_compared_among_themselves(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(1, 8)] + [(20 + i, [float(i), 0.0, 1.0]) for i in range(3)]
+    found = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.lit(True)).collect()
+    assert {row.query_id for row in found} == {i for i, _ in rows}
+    assert sorted((row.rank, row.vec_id, row.score) for row in found if row.query_id == 20) == [(1, 21, 1.0), (2, 22, 2.0)]
