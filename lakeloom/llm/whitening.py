@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -153,6 +154,30 @@ def _sums(fitted: DataFrame, centres: dict[int, tuple[int, list[int]]], turn: di
     return result
 
 
+def _totals(fitted: DataFrame) -> DataFrame:
+    """(size, place, n, total): number and sum of the entries of the fit list by length of vector and place.
+
+    Tasks add up whole numbers and Spark adds them up as decimals, so the sums are exact in any order.
+    """
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[int, list[int]]] = {}
+        for batch in batches:
+            for _, x in _matrices(batch, 0):
+                # Few enough rows for 64 bits, unless entries are huge.
+                kind = np.int64 if np.abs(x.astype(np.float64)).max() < 2.0**50 else object
+                sums = x.astype(kind).sum(axis=0).tolist()
+                n, before = held.get(x.shape[1], (0, [0] * x.shape[1]))
+                held[x.shape[1]] = n + len(x), [a + b for a, b in zip(before, sums, strict=True)]
+        for size, (n, sums) in held.items():
+            columns = [pa.array([value] * size, kind) for value, kind in ((size, pa.int32()), (n, pa.int64()))]
+            totals = pa.array(list(map(Decimal, sums)), pa.decimal128(38, 0))
+            yield pa.RecordBatch.from_arrays([columns[0], pa.array(range(size), pa.int32()), columns[1], totals], ["size", "place", "n", "total"])
+
+    parts = fitted.select("x").mapInArrow(add, "size int, place int, n long, total decimal(38,0)")
+    return parts.groupBy("size", "place").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+
+
 def fit(vectors: DataFrame, components: int = 16) -> dict[int, Whitening]:
     """Whitening of each length of vector in the column ``x`` (array<long>, none null), over its distinct vectors.
 
@@ -160,14 +185,8 @@ def fit(vectors: DataFrame, components: int = 16) -> dict[int, Whitening]:
     kept, fewer where the vectors span fewer dimensions.
     """
     listed = materialize(vectors.select("x").where(F.size("x") > 0).distinct(), "whitening-fit")
-    # Sums of whole numbers as decimals: exact in any order.
-    totals = (
-        listed.select(F.size("x").alias("size"), F.posexplode("x").alias("place", "value"))
-        .groupBy("size", "place")
-        .agg(F.sum(F.col("value").cast("decimal(20,0)")).alias("total"), F.count("*").alias("n"))
-    )
     centres: dict[int, tuple[int, list[int]]] = {}
-    for row in totals.orderBy("size", "place").toArrow().to_pylist():
+    for row in _totals(listed).orderBy("size", "place").toArrow().to_pylist():
         centres.setdefault(row["size"], (row["n"], []))[1].append(int(row["total"]))
     models = {}
     for size, scatter in _sums(listed, centres).items():
