@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 from uuid import uuid4
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +17,9 @@ from lakeloom.storage import delete_folder, folder_bytes, path_exists, subfolder
 # Called once per task; gives the function that translates a list of texts.
 TranslatorFactory = Callable[[], Callable[[list[str]], list[str]]]
 
+# UTF-8 bytes of text that a call gets; an Arrow batch may hold 64 MB.
+CALL_BYTES = 1 << 20
+
 
 SCHEMA = T.StructType([T.StructField("_digest", T.StringType()), T.StructField("_result", T.StringType())])
 
@@ -43,9 +47,14 @@ def compact_store(spark: SparkSession, store: str) -> None:
 
 
 def _caller(factory: TranslatorFactory, attempts: int, retry_wait: float) -> Callable:
-    """Self-contained, so workers need not be able to import this package."""
+    """Gives, once started, the translations of a column without nulls, in order and a piece at a time.
+
+    A piece has about :data:`CALL_BYTES` of text, a longer text is a piece of its own, and only the
+    piece at hand is turned into Python strings. Self-contained, so workers need not be able to
+    import this package.
+    """
 
-    def start() -> Callable[[list[str]], list[str]]:
+    def start() -> Callable[[pa.Array], Iterator[pa.Array]]:
         translate = factory()
 
         def call(texts: list[str]) -> list[str]:
@@ -61,7 +70,17 @@ def _caller(factory: TranslatorFactory, attempts: int, retry_wait: float) -> Cal
                 raise ValueError(f"{len(texts)} texts gave {len(results)} translations")
             return results
 
-        return call
+        def pieces(column: pa.Array) -> Iterator[pa.Array]:
+            first, held = 0, 0
+            for i, size in enumerate(pc.binary_length(column).to_pylist()):
+                if i > first and held + size > CALL_BYTES:
+                    yield pa.array(call(column.slice(first, i - first).to_pylist()), pa.string())
+                    first, held = i, 0
+                held += size
+            if first < len(column):
+                yield pa.array(call(column.slice(first).to_pylist()), pa.string())
+
+        return pieces
 
     return start
 
@@ -91,17 +110,19 @@ def translate_column(
     the rows are not shuffled at all. Each run writes a folder of its own there, so runs that start together may translate
     a text twice but neither lose nor multiply rows; :func:`compact_store` tidies up. Without a store everything stays lazy.
 
-    AQE sizes tasks by bytes. Where calls are slow, ``tasks`` says how many tasks share them.
+    AQE sizes tasks by bytes. Where calls are slow, ``tasks`` says how many tasks share them. A call
+    gets about :data:`CALL_BYTES` of text, however large Spark makes the Arrow batches.
     """
     start = _caller(factory, attempts, retry_wait)
 
     def translate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        call = start()
+        pieces = start()
         for batch in batches:
-            results = call(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(results, pa.string())], ["_digest", "_result"]
-            )
+            done = 0
+            for results in pieces(batch.column(1)):
+                digests = batch.column(0).slice(done, len(results))
+                yield pa.RecordBatch.from_arrays([digests, results], ["_digest", "_result"])
+                done += len(results)
 
     texts = df.select(F.col(column).alias("_text")).filter("_text is not null").distinct()
     texts = texts.select(F.sha2("_text", 256).alias("_digest"), "_text")
@@ -138,13 +159,11 @@ def translate_in_batches(
     names = [*df.columns, output]
 
     def translate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        call = start()
+        pieces = start()
         for batch in batches:
-            values = batch.column(position).to_pylist()
-            distinct = list(dict.fromkeys(value for value in values if value is not None))
-            known = dict(zip(distinct, call(distinct))) if distinct else {}
-            results = pa.array([known.get(value) for value in values], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, results], names)
+            values = batch.column(position).dictionary_encode()
+            known = pa.concat_arrays([pa.array([], pa.string()), *pieces(values.dictionary)])
+            yield pa.RecordBatch.from_arrays([*batch.columns, known.take(values.indices)], names)
 
     schema = T.StructType([*df.schema.fields, T.StructField(output, T.StringType())])
     return df.mapInArrow(translate_batches, schema)

@@ -82,6 +82,23 @@ def test_batches_share_calls(spark, tmp_path):
     assert calls(tmp_path) == ["spital"]
 
 
+@pytest.mark.parametrize("operator", [translate_column, translate_in_batches])
+def test_a_call_gets_a_bounded_part_of_a_batch(spark, tmp_path, operator):
+    # 12 texts, 8 of 300 KB and 4 of 1.2 MB, each twice, and a null, in one batch.
+    text = "rpad(concat(id % 12, ':é'), if(id % 3 = 0, 1200000, 300000), 'x')"
+    df = spark.range(25).selectExpr("id", f"if(id = 24, null, {text}) AS t").coalesce(1)
+    result = operator(df, "t", "en", logging_stub(str(tmp_path)))
+    measured = result.selectExpr("id", "upper(t) <=> en AS same", "length(en) AS size").collect()
+    assert sorted((row["id"], row["same"], row["size"]) for row in measured) == [
+        (i, True, 1200000 if i % 3 == 0 else 300000) for i in range(24)
+    ] + [(24, True, None)]
+    # No call gets more than 1 MB, but for a single text that is longer.
+    found = [file.read_text().split() for file in tmp_path.iterdir()]
+    assert sorted(text.split(":")[0] for texts in found for text in texts) == sorted(map(str, range(12)))
+    assert all(len(texts) == 1 or sum(len(text.encode()) for text in texts) <= 1 << 20 for texts in found)
+    assert any(len(texts) > 1 for texts in found)
+
+
 def test_a_failing_call_is_tried_again(spark):
     def factory():
         failures = []
